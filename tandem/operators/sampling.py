@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.functions import hashing
@@ -40,15 +40,24 @@ def with_exact_split(df: DataFrame, keys: list[str], test_size: float = 0.1, see
     return placed.withColumn("split", F.when(F.col("_position") < tests, "test").otherwise("train")).drop("_position")
 
 
-def completion_point(length, seed: int, *keys):
+def completion_point(length: Column, seed: int, *keys: Column) -> Column:
     """Seeded cut in the middle 40 % of a text of ``length`` characters, at least 1 from either end."""
     low = F.floor(F.lit(0.3) * length)
     high = F.floor(F.lit(0.7) * length)
-    width = F.greatest(high - low, F.lit(1))
-    drawn = low + F.pmod(hashing.seeded_number(seed, *keys), width)
+    drawn = low + F.pmod(hashing.seeded_number(seed, *keys), F.greatest(high - low, F.lit(1)))
     return F.greatest(F.least(drawn, length - 1), F.lit(1))
 
 
+def completion_pairs(df: DataFrame, text: str, keys: list[str], seed: int = 42) -> DataFrame:
+    """Cut each text of two or more characters into ``head`` and ``tail`` at a seeded point."""
+    point = completion_point(F.length(text), seed, *map(F.col, keys)).cast("int")
+    cut = df.withColumn("_point", point)
+    return cut.withColumns({
+        "head": F.substring(F.col(text), F.lit(1), F.col("_point")),
+        "tail": F.substring(F.col(text), F.col("_point") + 1, F.length(text)),
+    }).drop("_point")
+
+
 def distinct_texts(df: DataFrame, column: str) -> DataFrame:
     """Each text once; copies are dropped before the shuffle as well as after it."""
     return df.select(column).distinct()
