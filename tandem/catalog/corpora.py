@@ -203,11 +203,11 @@ SELECT ch, count(*) AS texts FROM chars WHERE ch NOT IN (SELECT ch FROM known) G
 def q19_new_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = t.table(spark, sf_dir, "benchmark")
     vocabulary = benchmark.select(F.explode(F.split("text", "")).alias("token"))
-    return profile.new_characters(t.table(spark, sf_dir, "documents"), vocabulary)
+    return profile.new_characters(t.spread_table(spark, sf_dir, "documents"), vocabulary)
 
 
 @query("q19_character_vocabulary", """
 SELECT ch, count(*) AS texts FROM (SELECT unnest(list_distinct(string_split(text, ''))) AS ch FROM documents) GROUP BY ch
 """)
 def q19_character_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.character_counts(t.table(spark, sf_dir, "documents"))
+    return profile.character_counts(t.spread_table(spark, sf_dir, "documents"))

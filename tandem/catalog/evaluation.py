@@ -17,7 +17,7 @@ from tandem.operators.scoring import score_batches, score_segments
 from tandem.plans.jobs import evaluate
 from tandem.session import scratch_path, stage
 from tandem.sinks.writers import export_truth, prediction_name, write_evaluation, write_lines
-from tandem.sources.evaluation import read_predictions, read_truth
+from tandem.sources.evaluation import list_predictions, read_predictions, read_truth
 
 KEY = alignment.KEY
 SQL_KEY = "model, src_lang, tgt_lang"
@@ -202,6 +202,19 @@ def q21_direction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return there.unionByName(absent)
 
 
+@query("q21_predictions_found", t.with_(t.SQL_BITEXT, t.sql_systems(), SQL_GRID) + f"""
+SELECT {SQL_KEY.replace('src_lang, tgt_lang', "replace(src_lang, ' ', '_') AS src_lang, replace(tgt_lang, ' ', '_') AS tgt_lang")},
+       ({SQL_KEY}) IN (SELECT ({SQL_KEY}) FROM systems) AS available
+FROM grid
+""")
+def q21_predictions_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, folders = evaluation_files(spark, sf_dir)
+    files = list_predictions(spark, folders)
+    grid = with_grid(files.select("model").distinct(), [name.replace(" ", "_") for name in GRID_LANGUAGES])
+    there = alignment.available(grid, files).withColumn("available", F.lit(True))
+    return there.unionByName(alignment.missing(grid, files).withColumn("available", F.lit(False)))
+
+
 @query("q22_segment_means", t.with_(t.SQL_BITEXT, t.sql_systems(), sql_means()) + f"""
 SELECT {SQL_KEY}, CASE WHEN tgt_lang = 'English' THEN 'en' ELSE 'zh' END AS lang,
        round(p, 6) AS p, round(r, 6) AS r, round(f1, 6) AS f1, round(score, 6) AS score

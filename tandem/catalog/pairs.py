@@ -11,6 +11,7 @@ from tandem.catalog.registry import query
 from tandem.functions.prompts import chat_both_ways, prompt
 from tandem.operators.directions import direction_error, split_directions, with_default_sides
 from tandem.operators.pairs import both_directions, interleave, ordered_pairs
+from tandem.operators.sampling import rows_at
 from tandem.plans.jobs import dictionary_examples
 
 PAIR_TEMPLATES = ["inference", "sft", "sft_one_line", "eval"]
@@ -61,6 +62,18 @@ def q11_sft_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("row_id", "src_lang", "tgt_lang", F.inline(F.array(*texts)))
 
 
+@query("q11_selected_prompts", f"""
+SELECT doc_id, prompt FROM (
+  SELECT doc_id, lang AS src_lang, 'English' AS tgt_lang, text AS src_text, {SQL_PROMPTS['inference']} AS prompt
+  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))
+""")
+def q11_selected_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = t.table(spark, sf_dir, "labels").filter("quality = 1")
+    rows = rows_at(t.table(spark, sf_dir, "documents"), chosen, "doc_id")
+    asked = prompt("inference", src_lang=F.col("lang"), tgt_lang=F.lit("English"), src_text=F.col("text"))
+    return rows.select("doc_id", asked.alias("prompt"))
+
+
 SQL_SYSTEM = "'Translate the given {} words to {}.'"
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.functions.text import CJK_RANGES, PUNCTUATION_RULES, WHITESPACE
+from tandem.functions.text import CJK_RANGES, DIGIT_RULES, PUNCTUATION, WHITESPACE
 from tandem.operators.indexing import number_rows
 from tandem.operators.pairs import zip_columns
+from tandem.session import spread
 
 LANGS = ["de", "en", "es", "fr"]
 CODES = {"deu_Latn": "German", "eng_Latn": "English", "spa_Latn": "Spanish", "fra_Latn": "French"}
@@ -21,9 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table for work that is heavy per row: dealt out if its files have fewer splits than cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document: doc_id, lang, source, pos, text."""
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text")
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -31,14 +37,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines with white space around them and a blank line after each document."""
     padded = F.concat(F.lit(" \t"), F.col("text"), F.lit("　 "))
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.posexplode(F.split(F.concat("text", F.lit("\n")), "\n")).alias("pos", "text")
     ).withColumn("text", padded)
 
 
 def bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that answers them: seg, src, tgt."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread_table(spark, sf_dir, "conversations")
     user = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("src"))
     answer = turns.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt")
@@ -143,6 +149,6 @@ def sql_strip(column: str) -> str:
 def sql_tokens(column: str) -> str:
     """The evaluation tokenizer as a DuckDB expression."""
     text = f"regexp_replace({sql_strip(column)}, '([{CJK_RANGES}])', ' \\1 ', 'g')"
-    for pattern, replacement in PUNCTUATION_RULES:
+    for pattern, replacement in ((f"([{PUNCTUATION}])", " $1 "), *DIGIT_RULES):
         text = f"regexp_replace({text}, '{pattern}', '{replacement.replace('$', chr(92))}', 'g')"
     return f"list_filter(string_split_regex({text}, '{WHITESPACE}+'), lambda t: t <> '')"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The code points that count as white space, and the ranges whose characters the
-# evaluation tokenizer sets apart (Han, kana-block symbols, full-width forms, CJK punctuation).
+# The code points that count as white space (as ranges), and the ranges whose characters
+# the evaluation tokenizer sets apart (Han, phonetic symbols, full-width forms, CJK punctuation).
 WHITESPACE = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -17,9 +19,10 @@ CJK_RANGES = (
     r"\x{3100}-\x{312f}\x{31a0}-\x{31bf}\x{31c0}-\x{31ef}\x{fe10}-\x{fe1f}\x{fe30}-\x{fe4f}"
     r"\x{2600}-\x{27bf}\x{3200}-\x{33ff}"
 )
-# The evaluation tokenizer's punctuation rules, applied in this order.
-PUNCTUATION_RULES = (
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+# The punctuation that the evaluation tokenizer sets apart, and its rules around digits,
+# applied in this order.
+PUNCTUATION = r"\{-\~\[-\` -\&\(-\+\:-\@\/"
+DIGIT_RULES = (
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
@@ -31,9 +34,20 @@ CHUNK_LENGTH = 500
 TOKEN_BUDGET = 512
 
 
+def _members(character_class: str) -> str:
+    """The characters of a class written as ``\\x{..}`` code points and ranges of them."""
+    found = ""
+    for first, last in re.findall(r"\\x\{(\w+)\}(?:-\\x\{(\w+)\})?", character_class):
+        found += "".join(map(chr, range(int(first, 16), int(last or first, 16) + 1)))
+    return found
+
+
+_WHITESPACE_CHARACTERS = _members(WHITESPACE)
+
+
 def strip(text: Column) -> Column:
-    """Remove Unicode white space from both ends (``trim`` only knows the space character)."""
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    """Remove Unicode white space from both ends (plain ``trim`` only knows the space character)."""
+    return F.btrim(text, F.lit(_WHITESPACE_CHARACTERS))
 
 
 def is_filled(text: Column) -> Column:
@@ -90,8 +104,8 @@ def eval_tokens(text: Column, tokenize: str = "zh") -> Column:
     """
     spaced = strip(text)
     if tokenize == "zh":
-        spaced = F.regexp_replace(spaced, f"([{CJK_RANGES}])", " $1 ")
-        for pattern, replacement in PUNCTUATION_RULES:
+        spaced = F.regexp_replace(spaced, f"([{CJK_RANGES}{PUNCTUATION}])", " $1 ")
+        for pattern, replacement in DIGIT_RULES:
             spaced = F.regexp_replace(spaced, pattern, replacement)
     elif tokenize == "char":
         spaced = F.regexp_replace(spaced, "(?s)(.)", "$1 ")

@@ -12,20 +12,26 @@ def aligned_pairs(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     """Hypothesis and reference of every (model, direction, line); unmatched lines drop out.
 
     ``predictions`` has model, src_lang, tgt_lang, line_no, text; ``truth`` has lang, line_no, text.
-    The join key contains the line number, so it is fine-grained and no key is hot.
     """
     refs = truth.select(F.col("lang").alias("tgt_lang"), "line_no", F.col("text").alias("ref"))
-    return predictions.withColumnRenamed("text", "mt").join(refs, ["tgt_lang", "line_no"])
+    joined = predictions.withColumnRenamed("text", "mt").join(refs, ["tgt_lang", "line_no"])
+    return joined.select(*KEY, "line_no", "mt", "ref")
 
 
 def aligned_triples(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """Source, hypothesis and reference of every line that all three sides have."""
-    sources = truth.select(F.col("lang").alias("src_lang"), "line_no", F.col("text").alias("src"))
-    return (
-        aligned_pairs(predictions, truth)
-        .join(sources, ["src_lang", "line_no"])
-        .select(*KEY, "line_no", "src", "mt", "ref")
+    """Source, hypothesis and reference of every line that all three sides have.
+
+    The languages of a truth line are gathered into one map first, so the predictions are joined once
+    and not once per side. A line number has one row per language and system, so no key is hot.
+    """
+    texts = truth.groupBy("line_no").agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "text"))).alias("_texts")
+    )
+    sides = predictions.join(texts, "line_no").select(
+        *KEY, "line_no", F.col("_texts")[F.col("src_lang")].alias("src"), F.col("text").alias("mt"),
+        F.col("_texts")[F.col("tgt_lang")].alias("ref"),
     )
+    return sides.filter(F.col("src").isNotNull() & F.col("ref").isNotNull())
 
 
 def alignment_report(predictions: DataFrame, truth: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def require_alignment(predictions: DataFrame, truth: DataFrame) -> None:
 
 
 def available(grid: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Requested (model, direction) cells that have predictions."""
+    """Requested (model, direction) cells that have predictions, or a listed prediction file."""
     return grid.join(predictions.select(*KEY).distinct(), KEY, "left_semi")
 
 

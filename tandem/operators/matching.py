@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 256
+BLOCK = 512
 _BEST = "side string, block bigint, pos array<bigint>, best array<double>"
 
 
@@ -47,10 +47,15 @@ def token_bests(tokens: DataFrame, keys: list[str], block: int = BLOCK) -> DataF
     ]).filter(F.col("_last_mt").isNotNull() & F.col("_last_ref").isNotNull())
 
     def copies(side: str, other: str) -> DataFrame:
-        """Each block once per block of the other side, keyed by the pair of block numbers."""
+        """Each block once per block of the other side, keyed by the pair of block numbers.
+
+        The number of partners is looked up per block, not per segment, so no join key is hot.
+        """
+        numbers = F.sequence(F.lit(0).cast("bigint"), F.col(f"_last_{side}"))
         partners = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"_last_{other}")))
         return (
-            _blocks(tokens, keys, side, block).join(counts, keys)
+            _blocks(tokens, keys, side, block)
+            .join(counts.select(*keys, f"_last_{other}", F.explode(numbers).alias("_block")), [*keys, "_block"])
             .select(*keys, F.col("_block").alias(f"_{side}"), partners.alias(f"_{other}"),
                     F.col("_cells").alias(f"_cells_{side}"))
         )

@@ -22,6 +22,11 @@ def shuffled_positions(df: DataFrame, keys: list[str], seed: int = 42, into: str
     return number_rows(digested, ["_digest", *keys], into=into).drop("_digest")
 
 
+def rows_at(df: DataFrame, indices: DataFrame, index: str) -> DataFrame:
+    """The rows whose ``index`` is listed in a table of that column."""
+    return df.join(indices.select(index), index, "left_semi")
+
+
 def sample_rows(df: DataFrame, keys: list[str], count: int, seed: int = 10) -> DataFrame:
     """The first ``count`` rows of the seeded order; each task keeps only its own ``count`` best."""
     return shuffled(df, keys, seed).limit(count)

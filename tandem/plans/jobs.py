@@ -20,7 +20,7 @@ from tandem.operators.sampling import shuffled
 from tandem.operators.scoring import BatchFunction, score_batches, score_segments
 from tandem.session import stage
 from tandem.sources.lines import load_monolingual
-from tandem.sources.parallel import load_dictionaries
+from tandem.sources.parallel import load_numbered_dictionaries
 
 
 def monolingual_corpus(
@@ -32,25 +32,33 @@ def monolingual_corpus(
 
 
 def training_examples(
-    wide: DataFrame, keys: list[str], languages: list[str] | None = None, template: str = "sft"
+    wide: DataFrame, keys: list[str], languages: list[str] | None = None,
+    formatting: str | Callable[[DataFrame], DataFrame] = "sft",
 ) -> DataFrame:
-    """Every ordered language pair of every row as a prompt; row-local from wide table to prompt."""
+    """Every ordered language pair of every row as a prompt; row-local from wide table to prompt.
+
+    ``formatting`` is a template name, or the caller's own function from the table of pairs to prompts.
+    """
     languages = languages or [c for c in wide.columns if c not in keys]
-    return ordered_pairs(wide, languages, keys).withColumn("prompt", prompt(template))
+    pairs = ordered_pairs(wide, languages, keys)
+    if callable(formatting):
+        return pairs.transform(formatting)
+    return pairs.withColumn("prompt", prompt(formatting))
 
 
 def dictionary_examples(
-    spark: SparkSession, paths: list[str], seed: int = 42, template: str = "sft"
+    spark: SparkSession, paths: list[str], seed: int = 42,
+    formatting: str | Callable[[DataFrame], DataFrame] = "sft",
 ) -> DataFrame:
-    """CSV dictionaries to shuffled training prompts; the seeded sort is the only shuffle.
+    """CSV dictionaries to shuffled training prompts.
 
-    Rows are identified by their content, so equal rows may change places without any effect.
+    Rows are shuffled by a digest of their place in the dictionaries, so copies of one row are dealt
+    out evenly over order and partitions.
     """
-    wide = load_dictionaries(spark, paths)
-    languages = wide.columns
-    cells = [F.coalesce(F.md5(name), F.lit("-")) for name in languages]
-    keyed = wide.withColumn("row_key", F.md5(F.concat_ws(":", *cells)))
-    return training_examples(shuffled(keyed, ["row_key"], seed), ["row_key"], languages, template)
+    keys = ["source_no", "line_no"]
+    wide = load_numbered_dictionaries(spark, paths)
+    languages = [c for c in wide.columns if c not in keys]
+    return training_examples(shuffled(wide, keys, seed), keys, languages, formatting)
 
 
 def translation_run(

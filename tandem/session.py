@@ -33,6 +33,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan out to all cores if it has fewer splits than cores; a large scan is left as it is.
+
+    For plain scans only, whose number of partitions is known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and return the stored table, with its lineage cut.
 

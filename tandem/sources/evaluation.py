@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.functions.paths import parent_name
+from tandem.functions.paths import logical_name, parent_name
 from tandem.functions.text import strip
 from tandem.operators.indexing import number_lines
 from tandem.sources.lines import scan_lines
@@ -31,6 +31,19 @@ def read_predictions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def list_predictions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(model, src_lang, tgt_lang) of every prediction file, from the file listing alone."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    path = F.col("_metadata.file_path")
+    named = files.select(parent_name(path).alias("model"), logical_name(path).alias("name"))
+    return named.filter(F.col("name").rlike(PREDICTION_NAME)).select(
+        "model",
+        F.regexp_extract("name", PREDICTION_NAME, 1).alias("src_lang"),
+        F.regexp_extract("name", PREDICTION_NAME, 2).alias("tgt_lang"),
+    ).distinct()
+
+
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
     """(lang, line_no, text) of every ``{language}.txt``."""
     scan = scan_lines(spark, path)

@@ -10,11 +10,10 @@ from tandem.functions.text import CHUNK_LENGTH, chunks, is_filled, strip
 from tandem.operators.indexing import number_lines
 
 
-def read_manifest(path: str) -> list[str]:
-    """Paths listed in a small local text file, one per line; blank lines are skipped, none is an error."""
-    with open(path, encoding="utf-8") as manifest:
-        paths = [line.strip() for line in manifest]
-    paths = [line for line in paths if line]
+def read_manifest(spark: SparkSession, path: str) -> list[str]:
+    """Paths listed in a small text file, one per line; blank lines are skipped, none is an error."""
+    listed = spark.read.text(path).select(strip(F.col("value")).alias("path")).filter(is_filled(F.col("path")))
+    paths = [row.path for row in listed.collect()]
     if not paths:
         raise ValueError(f"no paths listed in {path}")
     return paths

@@ -24,6 +24,14 @@ def read_dictionary(spark: SparkSession, path: str, multi_line: bool = True) ->
     return spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
 
 
+def _located(table: DataFrame) -> DataFrame:
+    """Add where each row was read, as :func:`tandem.sources.lines.scan_lines` does."""
+    return table.select(
+        "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def merge_schemas(tables: list[DataFrame]) -> DataFrame:
     """Append tables; columns appear in first-seen order and are NULL where a table lacks them."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
@@ -34,9 +42,18 @@ def load_dictionaries(spark: SparkSession, paths: list[str], multi_line: bool =
     return merge_schemas([read_dictionary(spark, path, multi_line) for path in paths])
 
 
+def load_numbered_dictionaries(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
+    """The same with (source_no, line_no): which dictionary, and which row of it, counted from 0."""
+    tables = [
+        _located(read_dictionary(spark, path, multi_line)).withColumn("source_no", F.lit(number))
+        for number, path in enumerate(paths)
+    ]
+    return number_lines(merge_schemas(tables), group=["source_no"])
+
+
 def load_dictionary_manifest(spark: SparkSession, manifest: str, multi_line: bool = True) -> DataFrame:
     """The dictionaries whose paths a manifest lists."""
-    return load_dictionaries(spark, read_manifest(manifest), multi_line)
+    return load_dictionaries(spark, read_manifest(spark, manifest), multi_line)
 
 
 def aligned_lines(
