@@ -32,7 +32,7 @@ def read_predictions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def list_predictions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(model, src_lang, tgt_lang) of every prediction file, from the file listing alone."""
+    """(model, src_lang, tgt_lang) of every non-empty prediction file, from the file listing alone."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     path = F.col("_metadata.file_path")

@@ -1,0 +1,93 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tandem.functions import text as tx
+from tandem.functions.paths import logical_name, parent_name, part_number
+
+
+def column(df, expression):
+    return [row[0] for row in df.select(expression).collect()]
+
+
+def test_strip_removes_what_python_strips(texts):
+    points = [p for p in range(0x3100) if p not in range(0xD800, 0xE000)] + [0xFEFF, 0x200B, 0x20BB7]
+    values = [f"{chr(p)}{chr(p)}a b{chr(p)}" for p in points]
+    assert column(texts(values), tx.strip(F.col("text"))) == [value.strip() for value in values]
+
+
+def test_strip_blank_and_null(texts):
+    assert column(texts(["", " \u3000\n", None, "x"]), tx.strip(F.col("text"))) == ["", "", None, "x"]
+
+
+@pytest.mark.parametrize("size", [1, 3, 500])
+def test_chunks_are_code_point_slices(texts, size):
+    values = ["", "a", "a" * 499, "b" * 500, "c" * 501, "d" * 1000, "e" * 1001, "f" * 499 + "\U00020bb7g", "x\ny\r\nz\u2028w"]
+    found = column(texts(values), tx.chunks(F.col("text"), size))
+    assert found == [[v[i:i + size] for i in range(0, len(v), size)] for v in values]
+    assert ["".join(parts) for parts in found] == values
+
+
+def test_markers_and_usable(texts):
+    assert column(texts(["ab"]), tx.with_markers(F.col("text"))) == ["<|startoftext|>ab<|endoftext|>"]
+    assert column(texts(["", " \u3000 ", "a", "ab", " a"]), tx.is_usable_example(F.col("text"))) == [
+        False, False, False, True, True]
+
+
+def test_newline_modes(texts):
+    df = texts([" a\nb\n"])
+    assert column(df, tx.flatten_newlines(F.col("text"))) == [" a b "]
+    assert column(df, tx.flatten_newlines(F.col("text"), "remove")) == ["ab"]
+    assert column(df, tx.flatten_newlines(F.col("text"), "none")) == [" a\nb\n"]
+    with pytest.raises(ValueError):
+        tx.flatten_newlines(F.col("text"), "other")
+
+
+def test_tokenizer_sample(texts):
+    found = column(texts(["Good morning, 你好嗎？3.5-4 (ok)", "", " . "]), tx.eval_tokens(F.col("text")))
+    assert found == ["Good morning , 你 好 嗎 ？ 3.5 - 4 ( ok )".split(), [], ["."]]
+
+
+def rules_one_by_one(text):
+    cjk = "".join(re.sub(r"\\x\{(\w+)\}", lambda m: "\\u" + m[1].rjust(4, "0"), tx.CJK_RANGES))
+    text = re.sub(f"[{cjk}]", r" \g<0> ", text.strip())
+    for pattern, replacement in ((f"([{tx.PUNCTUATION}])", " $1 "), *tx.DIGIT_RULES):
+        text = re.sub(pattern, re.sub(r"\$(\d)", r"\\\1", replacement), text)
+    return text.split()
+
+
+def test_tokenizer_equals_rules_applied_in_order(texts):
+    draw = random.Random(7)
+    letters = "a1.,-.,-5 (好）、\u3000\u00a0é\U00020bb7\t\n\u201c{~"
+    values = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 14))) for _ in range(20000)]
+    assert column(texts(values), tx.eval_tokens(F.col("text"))) == [rules_one_by_one(v) for v in values]
+
+
+def test_other_tokenizers(texts):
+    df = texts(["ab, 好\u3000c"])
+    assert column(df, tx.eval_tokens(F.col("text"), "none")) == [["ab,", "好", "c"]]
+    assert column(df, tx.eval_tokens(F.col("text"), "char")) == [["a", "b", ",", "好", "c"]]
+    with pytest.raises(ValueError):
+        tx.eval_tokens(F.col("text"), "other")
+
+
+def test_characters(texts):
+    df = texts(["aba\n\U00020bb7", ""])
+    assert column(df, tx.characters(F.col("text"))) == [["a", "b", "a", "\n", "\U00020bb7"], []]
+    assert column(df, tx.distinct_characters(F.col("text"))) == [["a", "b", "\n", "\U00020bb7"], []]
+
+
+def test_token_budget_and_response(spark):
+    df = spark.createDataFrame([([1, 2, 3, 9, 4], 2), ([1], 3), ([], 0)], "ids array<int>, prompt int")
+    assert column(df, tx.budgeted(F.col("ids"), 3)) == [[1, 2, 3], [1], []]
+    assert column(df, tx.exceeds_budget(F.col("ids"), 3)) == [True, False, False]
+    assert column(df, tx.response_ids(F.col("ids"), F.col("prompt"), [9])) == [[3, 4], [], []]
+
+
+def test_paths(texts):
+    df = texts(["file:/a%20b/dev.x", "hdfs://h/m/name=p%2520q_to_r.txt/part-00012-uu.c000.txt", "file:/m/a+b.txt"])
+    assert column(df, logical_name(F.col("text"))) == ["dev.x", "p q_to_r.txt", "a+b.txt"]
+    assert column(df, parent_name(F.col("text"))) == ["a b", "m", "m"]
+    assert column(df, part_number(F.col("text"))) == [None, 12, None]
