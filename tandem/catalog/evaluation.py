@@ -235,7 +235,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = score_batches(triples, overlap_scorer, ["mt", "ref"], "p double, r double, f1 double", batch_size=10)
     scored = score_segments(matched, jaccard_scorer, "score double", batch_size=8)
     means = report.segment_means(scored, ["p", "r", "f1", "score"])
-    found = report.evaluation_records(corpus_bleu(triples, KEY), means, means)
+    found = report.evaluation_records(corpus_bleu(triples, KEY), means)
     return found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)
 
 

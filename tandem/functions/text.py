@@ -95,7 +95,7 @@ def file_safe(name: Column) -> Column:
 
 def characters(text: Column) -> Column:
     """Array of code points; empty for the empty text."""
-    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    return F.array_remove(F.split(text, ""), "")
 
 
 def distinct_characters(text: Column) -> Column:

@@ -44,9 +44,10 @@ def to_long(df: DataFrame, languages: list[str], keys: list[str]) -> DataFrame:
 def zip_columns(long: DataFrame, languages: list[str], key: str = "line_no", strict: bool = False) -> DataFrame:
     """Put the texts of all languages with the same position side by side.
 
-    Uneven languages leave NULLs; with ``strict`` they are an error instead.
+    Uneven languages leave NULLs; with ``strict`` they are an error instead. The rows are shuffled before
+    the aggregation because it cannot shrink them: a (position, language) occurs once.
     """
-    wide = long.groupBy(key).pivot("lang", languages).agg(F.first("text"))
+    wide = long.repartition(key).groupBy(key).pivot("lang", languages).agg(F.first("text"))
     if not strict:
         return wide
     missing = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in languages]))

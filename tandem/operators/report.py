@@ -19,16 +19,14 @@ def segment_means(scores: DataFrame, columns: list[str], keys: list[str] | None
     return scores.groupBy(*(keys or KEY)).agg(*[F.avg(c).alias(c) for c in columns])
 
 
-def evaluation_records(bleu: DataFrame, match: DataFrame, system: DataFrame) -> DataFrame:
+def evaluation_records(bleu: DataFrame, means: DataFrame) -> DataFrame:
     """One row per (model, direction): rounded metrics, the learned system score as it is, raw values beside.
 
-    ``match`` has p, r, f1 and ``system`` has score, each already averaged per key.
+    ``means`` has p, r, f1 and score, each already averaged per key.
     """
-    joined = (
-        bleu.select(*KEY, F.col("bleu").alias("bleu_raw"))
-        .join(match.select(*KEY, *[F.col(c).alias(f"{c}_raw") for c in ("p", "r", "f1")]), KEY)
-        .join(system.select(*KEY, F.col("score").alias("comet_score")), KEY)
-    )
+    joined = bleu.select(*KEY, F.col("bleu").alias("bleu_raw")).join(
+        means.select(*KEY, *[F.col(c).alias(f"{c}_raw") for c in ("p", "r", "f1")],
+                     F.col("score").alias("comet_score")), KEY)
     return joined.select(
         *KEY,
         rounded(F.col("bleu_raw")).alias("bleu_score"),
@@ -42,9 +40,9 @@ def evaluation_records(bleu: DataFrame, match: DataFrame, system: DataFrame) ->
 
 def side_by_side(predictions: DataFrame, models: list[str]) -> DataFrame:
     """Outputs of several models for the same line in one row, with a flag whether all agree."""
-    wide = (
-        predictions.groupBy("src_lang", "tgt_lang", "line_no").pivot("model", models).agg(F.first("text"))
-    )
+    line = ["src_lang", "tgt_lang", "line_no"]
+    chosen = predictions.filter(F.col("model").isin(models))
+    wide = chosen.repartition(*line).groupBy(*line).pivot("model", models).agg(F.first("text"))
     texts = F.array(*[F.col(name) for name in models])
     return wide.withColumn("same", F.size(F.array_distinct(texts)) == 1)
 

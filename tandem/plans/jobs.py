@@ -18,7 +18,7 @@ from tandem.operators.pairs import ordered_pairs, to_long
 from tandem.operators.report import KEY, evaluation_records, segment_means
 from tandem.operators.sampling import shuffled
 from tandem.operators.scoring import BatchFunction, score_batches, score_segments
-from tandem.session import stage
+from tandem.session import spread, stage
 from tandem.sources.lines import load_monolingual
 from tandem.sources.parallel import load_numbered_dictionaries
 
@@ -91,17 +91,16 @@ def evaluate(
     """Evaluation record of every (model, direction): BLEU, match means, learned system score.
 
     The matching scorer returns p, r and f1 and sees which metric language applies in ``lang``; the
-    system scorer returns score. The aligned lines are stored once and shared by all metrics.
+    system scorer returns score. The aligned lines are stored once; BLEU reads them in one pass and both
+    scorers in another.
     """
     safe = {side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")}
     triples = aligned_triples(
         predictions.withColumns(safe), truth.withColumn("lang", file_safe(F.col("lang")))
     ).withColumn("lang", metric_language(F.col("tgt_lang")))
-    triples = stage(triples, "triples")
-    match = score_batches(
+    triples = spread(stage(triples, "triples"))
+    scored = score_batches(
         triples, make_match, ["mt", "ref", "lang"], "p double, r double, f1 double", batch_size=10
     )
-    system = score_segments(triples, make_system, "score double", batch_size=8)
-    return evaluation_records(
-        corpus_bleu(triples, KEY), segment_means(match, ["p", "r", "f1"]), segment_means(system, ["score"])
-    )
+    scored = score_segments(scored, make_system, "score double", batch_size=8)
+    return evaluation_records(corpus_bleu(triples, KEY), segment_means(scored, ["p", "r", "f1", "score"]))

@@ -29,8 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing is created yet.
+
+    All tables of one application lie in one folder, which can be dropped when the application is over.
+    """
+    return f"{shared_dir(spark)}/tandem-{spark.conf.get('spark.app.id', 'local')}/{label}-{uuid.uuid4().hex}"
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ def write_lines(df: DataFrame, path: str, name: Column, order_by: list[str], tex
 
     A logical file is the folder ``name=X`` of part files, which this package reads back as one file.
     The sort is range-partitioned on (name, order), so a single huge file is written by many tasks.
+    Range sorts read their input twice: pass a stored table, not model output that is still to come.
     """
     ordering = ["name", *order_by]
     (
@@ -38,8 +39,16 @@ def write_lines(df: DataFrame, path: str, name: Column, order_by: list[str], tex
     )
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def write_predictions(df: DataFrame, path: str, newlines: str = "space", mode: str = "append") -> None:
-    """Store (run, model, src_lang, tgt_lang, line_no, text) as Parquet, one folder per run and direction."""
+    """Store (run, model, src_lang, tgt_lang, line_no, text) as Parquet, one folder per run and direction.
+
+    Every stretch of ``ROWS_PER_FILE`` lines goes its own way, so a direction that holds most rows is
+    written by many tasks. The hash shuffle computes the predictions once, where a range sort would
+    run the model a second time to sample its keys.
+    """
     flat = df.withColumns({
         "text": flatten_newlines(F.col("text"), newlines),
         "src_lang": file_safe(F.col("src_lang")),
@@ -47,7 +56,7 @@ def write_predictions(df: DataFrame, path: str, newlines: str = "space", mode: s
     })
     partitions = ["run", "src_lang", "tgt_lang"]
     (
-        flat.repartitionByRange(*partitions, "model", "line_no")
+        flat.repartition(*partitions, "model", F.floor(F.col("line_no") / ROWS_PER_FILE))
         .sortWithinPartitions(*partitions, "model", "line_no")
         .write.mode(mode).partitionBy(*partitions).parquet(path)
     )
