@@ -16,7 +16,7 @@ from tandem.operators.indexing import number_rows
 from tandem.operators.scoring import score_batches, score_segments
 from tandem.plans.jobs import evaluate
 from tandem.session import scratch_path, stage
-from tandem.sinks.writers import export_truth, prediction_name, write_evaluation, write_lines
+from tandem.sinks.writers import export_predictions, export_truth, write_evaluation
 from tandem.sources.evaluation import list_predictions, read_predictions, read_truth
 
 KEY = alignment.KEY
@@ -145,8 +145,8 @@ def q18_corpus_bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def evaluation_files(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
-    """Truth folder and one prediction folder per model."""
+def evaluation_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Truth folder, and a folder of prediction folders, one per model."""
     pairs = number_rows(t.bitext(spark, sf_dir), ["seg"], into="line_no").select(
         "line_no", *[flatten_newlines(F.col(c)).alias(c) for c in ("src", "tgt")]
     )
@@ -155,13 +155,9 @@ def evaluation_files(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
     sides = F.array(F.struct(F.lit(left).alias("lang"), F.col("src").alias("text")),
                     F.struct(F.lit(right).alias("lang"), F.col("tgt").alias("text")))
     export_truth(pairs.select("line_no", F.inline(sides)), truth)
-    root = scratch_path(spark, "results")
-    outputs = t.systems_of(pairs, "line_no")
-    folders = [f"{root}/{model}" for model in t.MODELS]
-    for model, folder in zip(t.MODELS, folders):
-        write_lines(outputs.filter(F.col("model") == model), folder,
-                    prediction_name(F.col("src_lang"), F.col("tgt_lang")), ["line_no"], text="mt")
-    return truth, folders
+    results = scratch_path(spark, "results")
+    export_predictions(t.systems_of(pairs, "line_no").withColumnRenamed("mt", "text"), results)
+    return truth, results
 
 
 SQL_FILE_SYSTEMS = (t.SQL_BITEXT, """
@@ -171,16 +167,16 @@ numbered AS (SELECT row_number() OVER (ORDER BY seg) - 1 AS seg, src, tgt FROM b
 
 @query("q20_aligned_triples", t.with_(*SQL_FILE_SYSTEMS) + f"SELECT {SQL_KEY}, line_no, src, mt, ref FROM stripped")
 def q20_aligned_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    truth, folders = evaluation_files(spark, sf_dir)
-    return alignment.aligned_triples(read_predictions(spark, folders), read_truth(spark, truth))
+    truth, results = evaluation_files(spark, sf_dir)
+    return alignment.aligned_triples(read_predictions(spark, results), read_truth(spark, truth))
 
 
 @query("q20_alignment_report", t.with_(*SQL_FILE_SYSTEMS) + f"""
 SELECT {SQL_KEY}, count(*) AS n_src, count(*) AS n_mt, count(*) AS n_ref, true AS aligned FROM stripped GROUP BY {SQL_KEY}
 """)
 def q20_alignment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    truth, folders = evaluation_files(spark, sf_dir)
-    return alignment.alignment_report(read_predictions(spark, folders), read_truth(spark, truth))
+    truth, results = evaluation_files(spark, sf_dir)
+    return alignment.alignment_report(read_predictions(spark, results), read_truth(spark, truth))
 
 
 SQL_GRID = """
@@ -208,8 +204,8 @@ SELECT {SQL_KEY.replace('src_lang, tgt_lang', "replace(src_lang, ' ', '_') AS sr
 FROM grid
 """)
 def q21_predictions_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, folders = evaluation_files(spark, sf_dir)
-    files = list_predictions(spark, folders)
+    _, results = evaluation_files(spark, sf_dir)
+    files = list_predictions(spark, results)
     grid = with_grid(files.select("model").distinct(), [name.replace(" ", "_") for name in GRID_LANGUAGES])
     there = alignment.available(grid, files).withColumn("available", F.lit(True))
     return there.unionByName(alignment.missing(grid, files).withColumn("available", F.lit(False)))
@@ -304,6 +300,6 @@ def q27_against_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q32_evaluate_files", t.with_(*SQL_FILE_SYSTEMS, sql_bleu("stripped"), sql_means("stripped"), SQL_RECORDS)
        + SQL_SELECT_RECORDS)
 def q32_evaluate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    truth, folders = evaluation_files(spark, sf_dir)
-    found = evaluate(read_predictions(spark, folders), read_truth(spark, truth), overlap_scorer, jaccard_scorer)
+    truth, results = evaluation_files(spark, sf_dir)
+    found = evaluate(read_predictions(spark, results), read_truth(spark, truth), overlap_scorer, jaccard_scorer)
     return found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)

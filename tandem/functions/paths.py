@@ -20,10 +20,13 @@ def logical_name(path: Column) -> Column:
 
 
 def parent_name(path: Column) -> Column:
-    """Name of the folder that holds the logical file."""
+    """Name of the folder that holds the logical file; M for a folder ``model=M``."""
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     above = F.substring_index(F.substring_index(path, "/", -3), "/", 1)
-    return _decoded(F.when(folder.startswith("name="), above).otherwise(folder))
+    parent = _decoded(F.when(folder.startswith("name="), above).otherwise(folder))
+    return F.when(
+        parent.startswith("model="), _decoded(F.substring(parent, F.lit(7), F.length(parent)))
+    ).otherwise(parent)
 
 
 def part_number(path: Column) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -23,28 +24,36 @@ def score_batches(
 ) -> DataFrame:
     """Add the ``outputs`` (a DDL string) that a model computes from the ``inputs`` columns.
 
-    ``make_scorer`` runs once per task, where it may load a model; the function it returns gets at most
-    ``batch_size`` rows and returns one list per output column. Rows keep all their columns, so order
-    is a matter of keys, never of position. ``partitions`` with ``spread_by`` deals the rows out by
-    key before scoring. Write the result before using it twice: scoring is the expensive step.
+    ``make_scorer`` runs once per task, where it may load a model; the function it returns gets a pandas
+    frame of at most ``batch_size`` rows and returns one list per output column. All other columns stay
+    in their Arrow batch, so rows keep their keys, and order is a matter of keys, never of position.
+    ``partitions`` with ``spread_by`` deals the rows out by key before scoring. Write the result before
+    using it twice: scoring is the expensive step.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     added = T.StructType.fromDDL(outputs)
     schema = T.StructType([*df.schema.fields, *added.fields])
-    names = [field.name for field in added.fields]
+    added_types = df.sparkSession.createDataFrame([], added).toArrow().schema
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make_scorer()
-        for frame in frames:
+        for batch in batches:
+            frame = batch.select(inputs).to_pandas()
+            results: dict[str, list] = {name: [] for name in added_types.names}
             for start in range(0, len(frame), batch_size):
-                batch = frame.iloc[start : start + batch_size].reset_index(drop=True)
-                results = scorer(batch[inputs])
-                yield batch.assign(**{name: pd.Series(list(results[name]), dtype=object) for name in names})
+                rows = frame.iloc[start : start + batch_size].reset_index(drop=True)
+                found = scorer(rows)
+                for name, values in results.items():
+                    values.extend(found[name])
+            columns = [pa.array(results[field.name], type=field.type) for field in added_types]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *columns], names=[*batch.schema.names, *added_types.names]
+            )
 
     if partitions:
         df = df.repartition(partitions, *(spread_by or []))
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def tokenize_batches(

@@ -21,20 +21,26 @@ def prediction_name(src: Column, tgt: Column) -> Column:
     return file_safe(F.concat(src, F.lit("_to_"), tgt, F.lit(".txt")))
 
 
-def write_lines(df: DataFrame, path: str, name: Column, order_by: list[str], text: str = "text") -> None:
+def write_lines(
+    df: DataFrame, path: str, name: Column, order_by: list[str], text: str = "text", model: Column | None = None
+) -> None:
     """Write one logical text file per ``name``, lines in the order of ``order_by``.
 
     A logical file is the folder ``name=X`` of part files, which this package reads back as one file.
-    The sort is range-partitioned on (name, order), so a single huge file is written by many tasks.
-    Range sorts read their input twice: pass a stored table, not model output that is still to come.
+    With ``model`` the files of each model go to its own folder ``model=M``, all in one job. The sort is
+    range-partitioned on (model, name, order), so a single huge file is written by many tasks. Range
+    sorts read their input twice: pass a stored table, not model output that is still to come.
     """
-    ordering = ["name", *order_by]
+    folders = {"name": name} if model is None else {"model": model, "name": name}
+    ordering = [*folders, *order_by]
+    lines = df.select(
+        *[value.alias(folder) for folder, value in folders.items()], *order_by, F.col(text).alias("value")
+    )
     (
-        df.select(name.alias("name"), *order_by, F.col(text).alias("value"))
-        .repartitionByRange(*ordering)
+        lines.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
-        .select("name", "value")
-        .write.partitionBy("name")
+        .select(*folders, "value")
+        .write.partitionBy(*folders)
         .text(path)
     )
 
@@ -63,9 +69,10 @@ def write_predictions(df: DataFrame, path: str, newlines: str = "space", mode: s
 
 
 def export_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:
-    """Text export of one model's predictions: a logical file per direction."""
+    """Text export of predictions: a folder per model, a logical file per direction in it."""
     flat = df.withColumn("text", flatten_newlines(F.col("text"), newlines))
-    write_lines(flat, path, prediction_name(F.col("src_lang"), F.col("tgt_lang")), ["line_no"])
+    name = prediction_name(F.col("src_lang"), F.col("tgt_lang"))
+    write_lines(flat, path, name, ["line_no"], model=F.col("model"))
 
 
 def export_truth(long: DataFrame, path: str) -> None:

@@ -117,10 +117,11 @@ def test_prediction_store_and_exports(spark, tmp_path):
     writers.write_predictions(df, str(tmp_path / "store"))
     stored = spark.read.parquet(str(tmp_path / "store")).filter("tgt_lang = 'Simplified_Chinese'")
     assert sorted((r.line_no, r.text) for r in stored.collect()) == [(i, f"t{i} x") for i in range(5)]
-    writers.export_predictions(df, str(tmp_path / "m"))
+    both = df.unionByName(df.withColumn("model", F.lit("n 2")))
+    writers.export_predictions(both, str(tmp_path / "m"))
     again = evaluation.read_predictions(spark, str(tmp_path / "m"))
     assert sorted(map(tuple, again.collect())) == [
-        ("m", "Cantonese", "Simplified_Chinese", i, f"t{i} x") for i in range(5)]
+        (model, "Cantonese", "Simplified_Chinese", i, f"t{i} x") for model in ("m", "n 2") for i in range(5)]
     writers.write_evaluation(df.select("model", "line_no"), str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 5
 

@@ -90,4 +90,6 @@ def test_paths(texts):
     df = texts(["file:/a%20b/dev.x", "hdfs://h/m/name=p%2520q_to_r.txt/part-00012-uu.c000.txt", "file:/m/a+b.txt"])
     assert column(df, logical_name(F.col("text"))) == ["dev.x", "p q_to_r.txt", "a+b.txt"]
     assert column(df, parent_name(F.col("text"))) == ["a b", "m", "m"]
+    deep = texts(["file:/r/model=a%20b/name=x.txt/part-0.txt", "file:/r/model=c/x.txt"])
+    assert column(deep, parent_name(F.col("text"))) == ["a b", "c"]
     assert column(df, part_number(F.col("text"))) == [None, 12, None]
