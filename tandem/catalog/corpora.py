@@ -10,7 +10,7 @@ from tandem.catalog.registry import query
 from tandem.functions.text import chunks, eval_tokens, flatten_newlines, is_filled
 from tandem.operators import profile
 from tandem.operators.indexing import first_rows, number_rows, row_slice
-from tandem.operators.pairs import to_long
+from tandem.operators.pairs import language_column, to_long
 from tandem.plans.jobs import monolingual_corpus
 from tandem.session import scratch_path
 from tandem.sinks.writers import export_truth, write_lines
@@ -175,9 +175,9 @@ def q08_row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_slice(numbered_lines(spark, raw_files(spark, sf_dir)), 100, 400)
 
 
-@query("q08_first_rows", t.with_(t.SQL_WIDE) + "SELECT row_id, de FROM wide WHERE row_id < 50")
+@query("q08_first_rows", t.with_(t.SQL_WIDE) + "SELECT row_id, de AS text FROM wide WHERE row_id < 50")
 def q08_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_rows(t.wide(spark, sf_dir), 50, index="row_id").select("row_id", "de")
+    return first_rows(language_column(t.wide(spark, sf_dir), "de", ["row_id"]), 50, index="row_id")
 
 
 @query("q08_row_index", "SELECT doc_id, row_number() OVER (ORDER BY lang, doc_id) - 1 AS row_id FROM documents")

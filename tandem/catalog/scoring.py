@@ -12,11 +12,12 @@ from tandem.functions import text as tx
 from tandem.operators.indexing import batch_number, number_rows
 from tandem.operators.matching import greedy_match
 from tandem.operators.scoring import score_batches, tokenize_batches
-from tandem.plans.jobs import translation_run
+from tandem.operators.translation import towards, translate
+from tandem.plans.jobs import translate_file, translation_run
 from tandem.session import scratch_path
-from tandem.sinks.writers import write_predictions
+from tandem.sinks.writers import write_lines, write_predictions
 from tandem.sources.parallel import load_aligned
-from tandem.streaming.incoming import incoming_lines, scored_lines, start_scoring
+from tandem.streaming.incoming import incoming_lines, start_scoring
 
 
 def reversing_scorer():
@@ -120,6 +121,18 @@ def q31_translation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(predictions.schema).parquet(path)
 
 
+@query("q33_translate_file", t.with_(t.SQL_BITEXT) + f"""
+SELECT 'run-1' AS run, 'stub' AS model, 'Cantonese' AS src_lang, 'Traditional Chinese' AS tgt_lang, {t.SQL_LINE_NO} AS line_no,
+       'Traditional Chinese:' || chr(10) || reverse(replace(src, chr(10), ' ')) AS text
+FROM bitext
+""")
+def q33_translate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "sentences")
+    turns = t.bitext(spark, sf_dir).withColumn("text", tx.flatten_newlines(F.col("src")))
+    write_lines(turns, path, F.lit("sentences.txt"), ["seg"])
+    return translate_file(spark, path, "Traditional Chinese", True, labelled_scorer, "run-1", "stub")
+
+
 @query("q40_stream_score", t.with_(t.SQL_RAW_LINES) + """
 SELECT 'Cantonese' AS src_lang, 'English' AS tgt_lang, text, 'Translate the given Cantonese words into English.' AS system,
        reverse(text) AS result
@@ -127,7 +140,7 @@ FROM raw_lines
 """)
 def q40_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = incoming_lines(spark, f"{raw_files(spark, sf_dir)}/*", files_per_batch=8)
-    scored = scored_lines(lines, "English", True, reversing_scorer, batch_size=16).select(
+    scored = translate(towards(lines, "English", True), reversing_scorer, batch_size=16).select(
         "src_lang", "tgt_lang", "text", F.col("messages")[0]["content"].alias("system"), "result"
     )
     output = scratch_path(spark, "scored")

@@ -6,6 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def languages_of(wide: DataFrame, keys: list[str]) -> list[str]:
+    """The languages of a wide table: all its columns but the keys."""
+    return [name for name in wide.columns if name not in keys]
+
+
+def language_column(wide: DataFrame, language: str, keys: list[str]) -> DataFrame:
+    """The texts of one language."""
+    return wide.select(*keys, F.col(language).alias("text"))
+
+
 def ordered_pairs(df: DataFrame, languages: list[str], keys: list[str], keep_nulls: bool = False) -> DataFrame:
     """Every ordered pair of different languages of a wide row, source-major.
 

@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.functions.languages import PIVOT, metric_language
-from tandem.functions.prompts import chat, prompt
+from tandem.functions.prompts import prompt
 from tandem.functions.text import CHUNK_LENGTH, file_safe, with_markers
-from tandem.operators.alignment import aligned_triples
+from tandem.operators.alignment import aligned_triples, require_alignment
 from tandem.operators.bleu import corpus_bleu
 from tandem.operators.directions import in_all_directions
 from tandem.operators.indexing import first_rows
-from tandem.operators.pairs import ordered_pairs, to_long
+from tandem.operators.pairs import languages_of, ordered_pairs, to_long
 from tandem.operators.report import KEY, evaluation_records, segment_means
 from tandem.operators.sampling import shuffled
 from tandem.operators.scoring import BatchFunction, score_batches, score_segments
+from tandem.operators.translation import towards, translate
 from tandem.session import spread, stage
-from tandem.sources.lines import load_monolingual
+from tandem.sources.lines import load_monolingual, numbered_lines
 from tandem.sources.parallel import load_numbered_dictionaries
 
 
@@ -39,7 +40,7 @@ def training_examples(
 
     ``formatting`` is a template name, or the caller's own function from the table of pairs to prompts.
     """
-    languages = languages or [c for c in wide.columns if c not in keys]
+    languages = languages or languages_of(wide, keys)
     pairs = ordered_pairs(wide, languages, keys)
     if callable(formatting):
         return pairs.transform(formatting)
@@ -57,7 +58,7 @@ def dictionary_examples(
     """
     keys = ["source_no", "line_no"]
     wide = load_numbered_dictionaries(spark, paths)
-    languages = [c for c in wide.columns if c not in keys]
+    languages = languages_of(wide, keys)
     return training_examples(shuffled(wide, keys, seed), keys, languages, formatting)
 
 
@@ -67,17 +68,28 @@ def translation_run(
 ) -> DataFrame:
     """Translate every row between the pivot and each other language, both ways, in one job.
 
-    The scorer sees ``src_lang, tgt_lang, text, messages`` and returns ``result``. The result is one
-    prediction row per line and direction.
+    The result is one prediction row per line and direction; see
+    :func:`tandem.operators.translation.translate` for the scorer.
     """
     lines = first_rows(wide, sample_size)
     long = to_long(lines, languages, ["line_no"]).filter(F.col("text").isNotNull())
     asked = in_all_directions(long, languages, pivot)
-    asked = asked.withColumn("messages", chat(F.col("src_lang"), F.col("tgt_lang"), F.col("text")))
-    scored = score_batches(
-        asked, make_scorer, ["src_lang", "tgt_lang", "text", "messages"], "result string", batch_size,
-        partitions, ["src_lang", "tgt_lang", "line_no"],
-    )
+    scored = translate(asked, make_scorer, batch_size, pivot, partitions, ["src_lang", "tgt_lang", "line_no"])
+    return _predictions(scored, run, model)
+
+
+def translate_file(
+    spark: SparkSession, path: str, lang: str, from_pivot: bool, make_scorer: Callable[[], BatchFunction],
+    run: str, model: str, batch_size: int = 8, sample_size: int | None = None, pivot: str = PIVOT,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Translate the lines of one file, as they are, in one direction."""
+    lines = first_rows(numbered_lines(spark, path, stripped=False), sample_size)
+    scored = translate(towards(lines, lang, from_pivot, pivot), make_scorer, batch_size, pivot, partitions, ["line_no"])
+    return _predictions(scored, run, model)
+
+
+def _predictions(scored: DataFrame, run: str, model: str) -> DataFrame:
     return scored.select(
         F.lit(run).alias("run"), F.lit(model).alias("model"), "src_lang", "tgt_lang", "line_no",
         F.col("result").alias("text"),
@@ -86,14 +98,17 @@ def translation_run(
 
 def evaluate(
     predictions: DataFrame, truth: DataFrame, make_match: Callable[[], BatchFunction],
-    make_system: Callable[[], BatchFunction],
+    make_system: Callable[[], BatchFunction], strict: bool = False,
 ) -> DataFrame:
     """Evaluation record of every (model, direction): BLEU, match means, learned system score.
 
     The matching scorer returns p, r and f1 and sees which metric language applies in ``lang``; the
-    system scorer returns score. The aligned lines are stored once; BLEU reads them in one pass and both
+    system scorer returns score. Lines without a partner drop out, unless ``strict`` makes them an error.
+    The aligned lines are stored once; BLEU reads them in one pass and both
     scorers in another.
     """
+    if strict:
+        require_alignment(predictions, truth)
     safe = {side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")}
     triples = aligned_triples(
         predictions.withColumns(safe), truth.withColumn("lang", file_safe(F.col("lang")))

@@ -1,18 +1,13 @@
-"""Scoring of lines as they arrive: a stateless stream from a text folder to Parquet."""
+"""Scoring of lines as they arrive: a stateless stream from a text folder to Parquet.
 
-from __future__ import annotations
+Between source and sink stand the batch operators ``towards`` and ``translate``, which keep no state.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tandem.functions.languages import PIVOT
-from tandem.functions.prompts import chat
-from tandem.operators.directions import direction
-from tandem.operators.scoring import BatchFunction, score_batches
-
 
 def incoming_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Stream of lines from files that appear in ``path``."""
@@ -23,23 +18,6 @@ def incoming_lines(spark: SparkSession, path: str, files_per_batch: int = 1000)
     )
 
 
-def scored_lines(
-    lines: DataFrame, lang: str, from_pivot: bool, make_scorer: Callable[[], BatchFunction],
-    batch_size: int = 2, pivot: str = PIVOT,
-) -> DataFrame:
-    """Add direction, chat messages and the model's answer in ``result``.
-
-    The scorer sees the columns ``text`` and ``messages`` and returns ``result``.
-    """
-    if lang == pivot:
-        raise ValueError(f"both sides are {pivot}")
-    asked = lines.select("*", direction(F.lit(lang), F.lit(from_pivot), pivot).alias("_d")).select(
-        *lines.columns, "_d.src_lang", "_d.tgt_lang"
-    )
-    asked = asked.withColumn("messages", chat(F.col("src_lang"), F.col("tgt_lang"), F.col("text")))
-    return score_batches(asked, make_scorer, ["text", "messages"], "result string", batch_size)
-
-
 def start_scoring(scored: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
     """Append scored lines to Parquet until the files present now are done.
 

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from tandem.catalog.evaluation import jaccard_scorer, overlap_scorer
 from tandem.catalog.scoring import code_point_tokenizer, labelled_scorer, reversing_scorer
 from tandem.operators.scoring import score_batches, score_segments, tokenize_batches
-from tandem.plans.jobs import evaluate, monolingual_corpus, translation_run
+from tandem.operators.translation import towards, translate
+from tandem.plans.jobs import evaluate, monolingual_corpus, translate_file, translation_run
 from tandem.session import scratch_path, shared_dir, stage
-from tandem.streaming.incoming import incoming_lines, scored_lines, start_scoring
+from tandem.streaming.incoming import incoming_lines, start_scoring
 
 
 def sizing_scorer():
@@ -63,6 +64,19 @@ def test_translation_run_all_directions(spark):
         (1, "French", "Cantonese", "Cantonese:\niuo")])
 
 
+def test_translate_file_and_refusals(spark, files):
+    root = files({"s.txt": " a\n\nb\nc"})
+    found = translate_file(spark, f"{root}/s.txt", "English", False, labelled_scorer, "r", "m", sample_size=3)
+    assert sorted((r.line_no, r.src_lang, r.tgt_lang, r.text) for r in found.collect()) == [
+        (0, "English", "Cantonese", "Cantonese:\na "), (1, "English", "Cantonese", "Cantonese:\n"),
+        (2, "English", "Cantonese", "Cantonese:\nb")]
+    bad = spark.createDataFrame([("English", "French", "x")], "src_lang string, tgt_lang string, text string")
+    with pytest.raises(Exception, match="either side must be Cantonese"):
+        translate(bad, reversing_scorer).collect()
+    default = spark.createDataFrame([(None, "French", "xy")], "src_lang string, tgt_lang string, text string")
+    assert translate(default, reversing_scorer).first()[:2] == ("Cantonese", "French")
+
+
 def test_evaluate_matches_names_with_blanks(spark):
     truth = spark.createDataFrame([(lang, i, f"{i} same words in here") for lang in ("Cantonese", "Simplified Chinese")
                                    for i in range(3)], "lang string, line_no bigint, text string")
@@ -71,6 +85,8 @@ def test_evaluate_matches_names_with_blanks(spark):
         "line_no", "text")
     row = evaluate(predictions, truth, overlap_scorer, jaccard_scorer).first()
     assert (row.bleu_score, row.bert_f1, row.comet_score) == (100.0, 1.0, 1.0)
+    with pytest.raises(ValueError, match="misaligned"):
+        evaluate(predictions.limit(2), truth, overlap_scorer, jaccard_scorer, strict=True)
 
 
 def test_monolingual_plan(spark, files):
@@ -84,7 +100,8 @@ def test_stream_resumes_after_the_last_batch(spark, files, tmp_path):
 
     def run():
         lines = incoming_lines(spark, root)
-        start_scoring(scored_lines(lines, "English", False, reversing_scorer), output, checkpoint).awaitTermination()
+        scored = translate(towards(lines, "English", False), reversing_scorer).drop("messages")
+        start_scoring(scored, output, checkpoint).awaitTermination()
         return sorted((r.src_lang, r.tgt_lang, r.text, r.result) for r in spark.read.parquet(output).collect())
 
     root = files({"a.txt": "ab\ncd"})
@@ -92,7 +109,7 @@ def test_stream_resumes_after_the_last_batch(spark, files, tmp_path):
     files({"b.txt": "ef"})
     assert run() == run() and len(run()) == 3
     with pytest.raises(ValueError):
-        scored_lines(incoming_lines(spark, root), "Cantonese", False, reversing_scorer)
+        towards(incoming_lines(spark, root), "Cantonese", False)
 
 
 class FakeConf:
