@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.functions.text import CJK_RANGES, DIGIT_RULES, PUNCTUATION, WHITESPACE
+from tandem.functions.text import CJK_RANGES, DIGIT_RULES, WHITESPACE
 from tandem.operators.indexing import number_rows
 from tandem.operators.pairs import zip_columns
 from tandem.session import spread
@@ -139,6 +139,7 @@ systems AS (
 """
 
 
+SQL_PUNCTUATION = r"([\{-\~\[-\` -\&\(-\+\:-\@\/])"
 SQL_LINE_NO = "row_number() OVER (ORDER BY seg) - 1"
 
 
@@ -149,6 +150,6 @@ def sql_strip(column: str) -> str:
 def sql_tokens(column: str) -> str:
     """The evaluation tokenizer as a DuckDB expression."""
     text = f"regexp_replace({sql_strip(column)}, '([{CJK_RANGES}])', ' \\1 ', 'g')"
-    for pattern, replacement in ((f"([{PUNCTUATION}])", " $1 "), *DIGIT_RULES):
+    for pattern, replacement in ((SQL_PUNCTUATION, " $1 "), *DIGIT_RULES):
         text = f"regexp_replace({text}, '{pattern}', '{replacement.replace('$', chr(92))}', 'g')"
     return f"list_filter(string_split_regex({text}, '{WHITESPACE}+'), lambda t: t <> '')"

@@ -19,9 +19,9 @@ CJK_RANGES = (
     r"\x{3100}-\x{312f}\x{31a0}-\x{31bf}\x{31c0}-\x{31ef}\x{fe10}-\x{fe1f}\x{fe30}-\x{fe4f}"
     r"\x{2600}-\x{27bf}\x{3200}-\x{33ff}"
 )
-# The punctuation that the evaluation tokenizer sets apart, and its rules around digits,
-# applied in this order.
-PUNCTUATION = r"\{-\~\[-\` -\&\(-\+\:-\@\/"
+# The ASCII punctuation that the evaluation tokenizer always sets apart. Full stop and comma
+# are set apart after a non-digit, then before a non-digit; a hyphen is set apart after a digit.
+PUNCTUATION = "!\"#$%&()*+/:;<=>?@[\\]^_`{|}~"
 DIGIT_RULES = (
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
@@ -43,13 +43,12 @@ def _members(character_class: str) -> str:
 
 
 _WHITESPACE_CHARACTERS = _members(WHITESPACE)
-# All rules but the first digit rule only put blanks around single characters, and after that rule no
-# two of ``.`` and ``,`` touch, so one pass does what the rules do one after another. The look-ahead
-# passes over letters, digits and blanks quickly.
-_SET_APART = (
-    r"(?=[\x{21}-\x{2f}\x{3a}-\x{40}\x{5b}-\x{60}\x{7b}-\x{7e}\x{2600}-\x{ffef}])"
-    rf"(?:[{PUNCTUATION}{CJK_RANGES}]|[\.,](?=[^0-9])|(?<=[0-9])-)"
-)
+# Java tests a class of single Latin-1 characters with one table look-up, but a union of ranges range by
+# range for every character. So the classes that meet every character are spelled out one by one, and the
+# unions are used only on texts that have a character beyond Latin.
+_PUNCTUATION_CLASS = "[" + "".join(f"\\{ch}" for ch in PUNCTUATION) + "]"
+_LATIN_BLANKS = "[" + "".join(f"\\x{ord(ch):02x}" for ch in _WHITESPACE_CHARACTERS if ord(ch) < 256) + "]+"
+_WIDE = r"[\x{1680}-\x{ffef}]"
 
 
 def strip(text: Column) -> Column:
@@ -110,14 +109,20 @@ def eval_tokens(text: Column, tokenize: str = "zh") -> Column:
     ``char`` takes single non-blank characters; ``none`` splits on white space only.
     """
     spaced = strip(text)
+    plain = F.regexp_replace(spaced, WHITESPACE, " ")
     if tokenize == "zh":
-        spaced = F.regexp_replace(spaced, DIGIT_RULES[0][0], DIGIT_RULES[0][1])
-        spaced = F.regexp_replace(spaced, _SET_APART, " $0 ")
+        padded = F.regexp_replace(plain, f"[{CJK_RANGES}]", " $0 ")
+        spaced = F.when(spaced.rlike(_WIDE), padded).otherwise(spaced)
+        spaced = F.regexp_replace(spaced, _PUNCTUATION_CLASS, " $0 ")
+        for pattern, replacement in DIGIT_RULES:
+            spaced = F.regexp_replace(spaced, pattern, replacement)
     elif tokenize == "char":
-        spaced = F.regexp_replace(spaced, "(?s)(.)", "$1 ")
-    elif tokenize != "none":
+        spaced = F.regexp_replace(plain, "(?s).", "$0 ")
+    elif tokenize == "none":
+        spaced = F.when(spaced.rlike(_WIDE), plain).otherwise(spaced)
+    else:
         raise ValueError(f"unknown tokenizer {tokenize!r}")
-    return F.array_remove(F.split(spaced, f"{WHITESPACE}+"), "")
+    return F.array_remove(F.split(spaced, _LATIN_BLANKS), "")
 
 
 def budgeted(tokens: Column, budget: int = TOKEN_BUDGET) -> Column:

@@ -22,14 +22,11 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def ngrams(tokens: Column, order: int) -> Column:
-    """All runs of ``order`` tokens, glued by a control character."""
-    if order == 1:
-        return tokens
-    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (order - 1), F.lit(0)))
-    return F.transform(
-        starts,
-        lambda token, i: F.concat_ws(_GLUE, token, *[F.get(tokens, i + step) for step in range(1, order)]),
+def _longer(grams: Column, tokens: Column, order: int) -> Column:
+    """The runs of ``order + 1`` tokens, made of the runs of ``order`` tokens and the token after each."""
+    count = F.greatest(F.size(tokens) - order, F.lit(0))
+    return F.zip_with(
+        F.slice(grams, 1, count), F.slice(tokens, order + 1, count), lambda gram, token: F.concat(gram, F.lit(_GLUE), token)
     )
 
 
@@ -54,27 +51,39 @@ def _numbered(ordered: Column) -> Column:
     return _bind(starts, expand)
 
 
-def multiset_overlap(left: Column, right: Column) -> Column:
-    """Sum over elements of the smaller of both counts, for two arrays of strings.
+def _further_matches(left: Column, right: Column) -> Column:
+    """Matches of second, third, ... copies; there are none unless both sides repeat an element."""
+    def repeated(grams: Column) -> Column:
+        return F.size(F.array_distinct(grams)) < F.size(grams)
+
+    def copies_of(grams: Column) -> Column:
+        return _bind(_bind(F.sort_array(grams), _repeats), _numbered)
+
+    copies = F.size(F.array_intersect(copies_of(left), copies_of(right)))
+    return F.when(repeated(left) & repeated(right), copies).otherwise(0)
 
-    Every common element matches once; further matches come from the repeated copies alone, which
-    are few in real text.
-    """
-    def further(a: Column, b: Column) -> Column:
-        both = (F.size(a) > 0) & (F.size(b) > 0)
-        return F.when(both, F.size(F.array_intersect(_numbered(a), _numbered(b)))).otherwise(0)
 
-    def total(a: Column, b: Column) -> Column:
-        extra = _bind(_repeats(a), lambda x: _bind(_repeats(b), lambda y: further(x, y)))
-        return F.size(F.array_intersect(a, b)) + extra
+def _matches(hyp: Column, ref: Column, left: Column, right: Column, order: int) -> Column:
+    """Clipped matches for ``order`` up to 4, given the runs of ``order`` tokens of both sides.
 
-    return _bind(F.sort_array(left), lambda a: _bind(F.sort_array(right), lambda b: total(a, b)))
+    A gram matches as often as the side with fewer copies has it: once if both have it at all, and more
+    only through repeated copies, which are few in real text. Without a common gram there is no longer one.
+    """
+    def counts(common: Column) -> Column:
+        here = F.array(F.when(common == 0, 0).otherwise(common + _further_matches(left, right)))
+        if order == MAX_ORDER:
+            return here
+        deeper = _bind(_longer(left, hyp, order), lambda a: _bind(
+            _longer(right, ref, order), lambda b: _matches(hyp, ref, a, b, order + 1)))
+        nothing = F.array_repeat(F.lit(0), MAX_ORDER - order)
+        return F.concat(here, F.when(common == 0, nothing).otherwise(deeper))
+
+    return _bind(F.size(F.array_intersect(left, right)), counts)
 
 
-def _matches(order: int) -> Column:
-    """Clipped matches of one order between the token columns ``_hyp`` and ``_ref``."""
-    return _bind(F.col("_hyp"), lambda hyp: _bind(
-        F.col("_ref"), lambda ref: multiset_overlap(ngrams(hyp, order), ngrams(ref, order))))
+def clipped_matches(hyp: Column, ref: Column) -> Column:
+    """Clipped n-gram matches of two token arrays, as an array for orders 1 to 4."""
+    return _bind(hyp, lambda h: _bind(ref, lambda r: _matches(h, r, h, r, 1)))
 
 
 def segment_statistics(df: DataFrame, keys: list[str], hyp: str = "mt", ref: str = "ref",
@@ -83,12 +92,14 @@ def segment_statistics(df: DataFrame, keys: list[str], hyp: str = "mt", ref: str
     tokens = df.select(
         *keys, eval_tokens(F.col(hyp), tokenize).alias("_hyp"), eval_tokens(F.col(ref), tokenize).alias("_ref")
     )
-    matches = [_matches(order).cast("bigint").alias(f"correct_{order}") for order in range(1, MAX_ORDER + 1)]
+    counted = tokens.withColumn("_correct", clipped_matches(F.col("_hyp"), F.col("_ref")))
+    orders = range(1, MAX_ORDER + 1)
+    matches = [F.col("_correct")[order - 1].cast("bigint").alias(f"correct_{order}") for order in orders]
     totals = [
         F.greatest(F.size("_hyp") - (order - 1), F.lit(0)).cast("bigint").alias(f"total_{order}")
-        for order in range(1, MAX_ORDER + 1)
+        for order in orders
     ]
-    return tokens.select(
+    return counted.select(
         *keys, F.size("_hyp").cast("bigint").alias("sys_len"), F.size("_ref").cast("bigint").alias("ref_len"),
         *matches, *totals,
     )
