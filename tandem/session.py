@@ -7,25 +7,14 @@ in ``spark.checkpoint.dir`` and read back, so they also survive the loss of any
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for scratch tables: the cluster's checkpoint folder, or a temporary one in local mode."""
+    """Folder for scratch tables: the cluster's checkpoint folder, or where it is unset one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tandem-")
-    return _LOCAL_DIRS[app]
+    return configured.rstrip("/") if configured else spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -55,3 +44,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """Scratch tables of one job; ``release`` deletes all but the ones named."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        """As ``stage``; a second table under a label replaces the first, which is deleted."""
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        old = self.paths.get(label)
+        self.paths[label] = path
+        if old:
+            release(self.spark, old)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self, *keep: str) -> None:
+        for label in [label for label in self.paths if label not in keep]:
+            release(self.spark, self.paths.pop(label))
