@@ -6,8 +6,11 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tandem.catalog.registry import Query
+from tandem.llm.decontaminate import contamination
+from tandem.llm.near_dups import near_duplicates
 from tandem.llm.tokens import token_counts
 
 QUERIES: dict[str, Query] = {}
@@ -34,3 +37,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     specification = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
     return token_counts(table(spark, sf_dir, "documents"), specification)
+
+
+@query("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+SQL_PLAIN_WORDS = "regexp_extract_all(translate(text, '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@query("op8_decontamination", f"""
+WITH doc_words AS (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS word
+  FROM (SELECT doc_id, {SQL_PLAIN_WORDS} AS w FROM documents)),
+items AS (SELECT item_id, {SQL_PLAIN_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, list_slice(w, s + 1, s + least(len(w), 10)) AS v
+  FROM (SELECT item_id, w, unnest(range(len(w) - least(len(w), 10) + 1)) AS s FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(v) AS k FROM windows),
+texts AS (SELECT doc_id, {SQL_PLAIN_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, s, k, list_slice(w, s + 1, s + k) AS v
+  FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS s FROM texts, sizes WHERE len(w) >= k)),
+found AS (SELECT p.doc_id, p.s, p.k, x.item_id FROM places p JOIN windows x ON p.v = x.v),
+hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + k)) AS word FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(len(t.w), 0) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.names, '')) AS items_sha256,
+  coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN hits h ON t.doc_id = h.doc_id LEFT JOIN named n ON t.doc_id = n.doc_id
+""")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, span: total + span["end"] - span["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))

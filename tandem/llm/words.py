@@ -27,9 +27,8 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the hash's base and of its inverse modulo 2**64, kept between calls."""
     if not _POWERS or len(_POWERS["up"]) < n:
-        n = max(n, 1 << 16)
         for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(n, base, np.uint64)
+            steps = np.full(max(n, 1 << 16), base, np.uint64)
             steps[0] = 1
             _POWERS[name] = np.cumprod(steps)
     return _POWERS["up"][:n], _POWERS["down"][:n]
