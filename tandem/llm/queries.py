@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tandem.catalog.registry import Query
 from tandem.llm.decontaminate import contamination
+from tandem.llm.licenses import license_spans
 from tandem.llm.near_dups import near_duplicates
 from tandem.llm.tokens import token_counts
 
@@ -78,3 +79,20 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"))
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = license_spans(table(spark, sf_dir, "documents"))
+
+    def joined(found):
+        labels = F.transform(found, lambda span: span["label"])
+        return F.concat_ws(",", F.array_sort(F.array_distinct(labels)))
+
+    base = F.filter("spans", lambda span: span["exact"])
+    starts = F.transform(base, lambda span: span["first_word"])
+    return spans.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda span: span["coverage"])), F.lit(0.0)).alias("score"))
