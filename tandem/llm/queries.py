@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tandem.catalog.registry import Query
 from tandem.llm.decontaminate import contamination
+from tandem.llm.language import language_parser, languages_of
 from tandem.llm.licenses import license_spans
 from tandem.llm.near_dups import near_duplicates
+from tandem.llm.quality import quality_scores, quality_weights
 from tandem.llm.tokens import token_counts
 
 QUERIES: dict[str, Query] = {}
@@ -34,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(id: str = "doc_id"):
+    """Rows that no model learns from; a null id is one of them."""
+    return F.coalesce(F.crc32(F.col(id).cast("string")) % 3 == 1, F.lit(True))
+
+
 @query("op1_token_counts")
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     specification = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
@@ -96,3 +103,17 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         joined(base).alias("base_labels"), joined(F.col("spans")).alias("labels"),
         F.coalesce(F.array_max(F.transform("spans", lambda span: span["coverage"])), F.lit(0.0)).alias("score"))
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    weights = quality_weights(documents, table(spark, sf_dir, "labels").filter(~held_out()))
+    return quality_scores(documents, weights).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    parser = language_parser(documents.filter(~held_out()))
+    return languages_of(documents, parser).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -17,8 +17,12 @@ from tandem.llm.arrow import bytes_of
 _CODES = np.arange(256)
 LOWER = np.where((_CODES >= 65) & (_CODES <= 90), _CODES + 32, _CODES).astype(np.uint8)
 SPACED = ~((_CODES == 0x20) | ((_CODES >= 0x09) & (_CODES <= 0x0D)))
+# white space 0, runs of plain characters 1, runs of marks 2
+TOKENS = np.where(~SPACED, 0, 1).astype(np.uint8)
 PLAIN = ~((_CODES <= 0x2F) | ((_CODES >= 0x3A) & (_CODES <= 0x60)) | ((_CODES >= 0x7B) & (_CODES <= 0x7F)))
 
+TOKENS[SPACED & ~(PLAIN | ((_CODES >= 0x41) & (_CODES <= 0x5A)))] = 2
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
@@ -80,17 +84,17 @@ class Words:
 
 
 def cut(texts: pa.Array, kind: np.ndarray, lower: bool = True) -> Words:
-    """The words of the texts (strings without nulls)."""
+    """The words of the texts (strings without nulls): runs of bytes of one kind; bytes of kind 0 stand between."""
     data, offsets = bytes_of(texts)
     if lower:
         data = LOWER[data]
     inside = kind[data]
-    begins, stops = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    stops[:-1] &= ~inside[1:]
+    begins, stops = inside != 0, inside != 0
+    begins[1:] &= inside[1:] != inside[:-1]
+    stops[:-1] &= inside[:-1] != inside[1:]
     edges = offsets[(offsets > 0) & (offsets < len(data))]
-    begins[edges] = inside[edges]
-    stops[edges - 1] = inside[edges - 1]
+    begins[edges] = inside[edges] != 0
+    stops[edges - 1] = inside[edges - 1] != 0
     starts = np.flatnonzero(begins)
     return Words(data, starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets))
 
