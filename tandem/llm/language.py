@@ -103,6 +103,11 @@ class CrossParser:
         table = np.concatenate(rows).ravel().astype(np.int32) if rows else np.zeros(0, np.int32)
         return cls(names, codes, table, np.array(roots, np.int32), np.log2(lengths))
 
+    def shared(self, rows: DataFrame):
+        """The parser's parts as a broadcast variable, whose size the samples bound."""
+        return rows.sparkSession.sparkContext.broadcast(
+            (self.names, self.codes, self.table, self.roots, self.weights))
+
     def costs(self, texts: pa.Array) -> np.ndarray:
         """Per text (row) and language (column): phrases times the logarithm of the sample's length."""
         data, offsets = bytes_of(texts)
@@ -184,12 +189,12 @@ def languages_of(documents: DataFrame, parser: CrossParser, id: str = "doc_id",
     to the language first in order. The parse starts anew every ``SEGMENT`` bytes, whatever the text's length. Rows are
     independent, repeated rows repeat, a null id stays null; other columns are not read. Nothing is shuffled.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(parser)  # bounded by the samples
+    shared = parser.shared(documents)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", 4 * SLICE_BYTES):
-                names, sure = shared.value.predict(texts_of(part.column("_text")))
+                names, sure = CrossParser(*shared.value).predict(texts_of(part.column("_text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), pa.array(names, pa.string()), pa.array(sure)],
                     names=[id, "lang_pred", "score"])
@@ -201,12 +206,12 @@ def languages_of(documents: DataFrame, parser: CrossParser, id: str = "doc_id",
 
 def identified(documents: DataFrame, parser: CrossParser, text: str = "text") -> DataFrame:
     """The rows, all columns, that have a language; those predicted as ``und`` go."""
-    shared = documents.sparkSession.sparkContext.broadcast(parser)
+    shared = parser.shared(documents)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, 4 * SLICE_BYTES):
-                names, _ = shared.value.predict(texts_of(part.column(text)))
+                names, _ = CrossParser(*shared.value).predict(texts_of(part.column(text)))
                 yield part.filter(pa.array([name != UNKNOWN for name in names]))
 
     return documents.mapInArrow(run, documents.schema)

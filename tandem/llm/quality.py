@@ -137,7 +137,7 @@ def quality_weights(
         return pd.DataFrame({"weights": [weights.tobytes()]})
 
     learnt = sample.mapInArrow(vectors, "h bigint, label int, at array<bigint>, values array<double>").groupBy(
-        F.lit(0)).applyInPandas(train, "weights binary").collect()
+        F.lit(0).alias("all")).applyInPandas(train, "weights binary").collect()
     return np.frombuffer(learnt[0].weights, np.float32) if learnt else np.zeros(1 << bits, np.float32)
 
 
