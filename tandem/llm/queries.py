@@ -12,6 +12,7 @@ from tandem.catalog.registry import Query
 from tandem.llm.decontaminate import contamination
 from tandem.llm.language import language_parser, languages_of
 from tandem.llm.licenses import license_spans
+from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, PRIME, ROUNDS, SEED, mixed
 from tandem.llm.near_dups import near_duplicates
 from tandem.llm.quality import quality_scores, quality_weights
 from tandem.llm.tokens import token_counts
@@ -117,3 +118,70 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     parser = language_parser(documents.filter(~held_out()))
     return languages_of(documents, parser).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def sql_scrambled(value: str, salt: str) -> str:
+    h = f"((({value}) % {PRIME} + {PRIME}) % {PRIME} * 48271 + ({salt}) % {PRIME} * 69621 + 12345) % {PRIME}"
+    h = f"(xor({h}, ({h}) >> 15) * 1103515245 + 1013904223) % {PRIME}"
+    return f"((xor({h}, ({h}) >> 13) * 16807 + 40692) % {PRIME})"
+
+
+def sql_permuted(index: str, size: str, key: str) -> str:
+    partner = f"((({sql_scrambled(key, 'r * 2 + 1')} - x) % {size} + {size}) % {size})"
+    coin = sql_scrambled(f"greatest(x, {partner}) + ({key}) * 7", "r * 2 + 2")
+    swap = f"CASE WHEN ({coin} >> 9) % 2 = 1 THEN {partner} ELSE x END"
+    return f"list_reduce(list_prepend({index}, range({ROUNDS})), lambda x, r: {swap})"
+
+
+@query("op2_mixing", f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), [])) AS BIGINT) AS size,
+    coalesce({sql_scrambled('doc_id', str(SEED))} % {BUCKETS}, 0) AS bucket
+  FROM documents),
+sources AS (
+  SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)),
+weighted AS (
+  SELECT *, 1.0::DOUBLE * (source_no % 3 + 1) AS weight, source_size * {MOST_REPEATS} AS "limit",
+    source_size * {MOST_REPEATS} / (1.0::DOUBLE * (source_no % 3 + 1)) AS fill FROM sources),
+levels AS (
+  SELECT *, ((sum(source_size) OVER ()) - coalesce(sum("limit") OVER before, 0))::DOUBLE
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM weighted
+  WINDOW before AS (ORDER BY fill, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shared AS (SELECT arg_min(level, struct_pack(a := fill, b := level)) AS level FROM levels WHERE level <= fill),
+targets AS (
+  SELECT w.*, CASE WHEN s.level IS NULL OR w.fill < s.level THEN CAST("limit" AS DOUBLE)
+    ELSE s.level * weight END AS target
+  FROM weighted w, shared s),
+need AS (
+  SELECT source_no, source_size, source_size // {BLOCK} AS whole, words // source_size AS passes,
+    words % source_size AS rest
+  FROM (SELECT *, CAST(floor(target) AS BIGINT) AS words FROM targets) WHERE words > 0),
+positions AS (
+  SELECT d.doc_id, d.size, t.source_no, t.source_size, t.target,
+    CAST(sum(d.size) OVER (PARTITION BY t.source_no ORDER BY d.bucket, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+      - d.size AS start
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+pieces AS (
+  SELECT source_no, doc_id, b, greatest(0, start - b * {BLOCK}) AS low,
+    least({BLOCK}, start + size - b * {BLOCK}) AS high
+  FROM (SELECT *, unnest(range(start // {BLOCK}, (start + size - 1) // {BLOCK} + 1)) AS b FROM positions WHERE size > 0)),
+turns AS (
+  SELECT *, unnest(range(rest // {BLOCK} + CASE WHEN rest % {BLOCK} > 0 THEN 1 ELSE 0 END)) AS turn FROM need),
+last_pass AS (
+  SELECT source_no, CASE WHEN turn < whole THEN
+      {sql_permuted('turn', 'greatest(whole, 1)', f'source_no * 1009 + passes * 31 + {SEED}')} ELSE turn END AS b,
+    least({BLOCK}, rest - turn * {BLOCK}) AS words
+  FROM turns),
+more AS (
+  SELECT p.source_no, p.doc_id, sum(greatest(0, least(p.high, l.words) - p.low)) AS taken
+  FROM pieces p JOIN last_pass l ON p.source_no = l.source_no AND p.b = l.b GROUP BY ALL)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+  CAST(coalesce(n.passes, 0) * p.size + coalesce(m.taken, 0) AS BIGINT) AS taken
+FROM positions p LEFT JOIN need n ON p.source_no = n.source_no
+LEFT JOIN more m ON p.source_no = m.source_no AND p.doc_id = m.doc_id
+""")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))["documents"].select(
+        "doc_id", "size", "source_size", "target", "taken")
