@@ -16,6 +16,8 @@ from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, PRIME, ROUNDS, SEED,
 from tandem.llm.near_dups import near_duplicates
 from tandem.llm.quality import quality_scores, quality_weights
 from tandem.llm.tokens import token_counts
+from tandem.llm.warc import read_archives, write_archives
+from tandem.session import scratch_path
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +187,19 @@ LEFT JOIN more m ON p.source_no = m.source_no AND p.doc_id = m.doc_id
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"))["documents"].select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_warc", """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+lasts AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last_id FROM payloads)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+FROM lasts
+""")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
