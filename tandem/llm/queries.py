@@ -14,6 +14,7 @@ from tandem.llm.language import language_parser, languages_of
 from tandem.llm.licenses import license_spans
 from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, PRIME, ROUNDS, SEED, mixed
 from tandem.llm.near_dups import near_duplicates
+from tandem.llm.neighbours import nearest
 from tandem.llm.quality import quality_scores, quality_weights
 from tandem.llm.tokens import token_counts
 from tandem.llm.warc import read_archives, write_archives
@@ -203,3 +204,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(table(spark, sf_dir, "pages"), path)
     return read_archives(spark, path, payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_nearest")
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
