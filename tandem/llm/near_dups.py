@@ -4,7 +4,8 @@ Documents with equal shingle sets are one class from the start. A class's repres
 each (coordinate, value) pair is a token with a posting list. A pair of documents above the similarity has at least
 ``matches`` tokens in common, so it meets in a list of the first ``coordinates - matches + 1`` tokens of each, counted
 from the rarest: the longest lists are skipped. In a list all members are first paired with one hub; what the
-confirmed links join needs no further pairs, and only members of different components of a list are paired then.
+confirmed links join needs no further pairs. Of the others those go that have too few shingles in common with other
+components to be linked with any, and members of different components of a list are paired then.
 """
 
 from __future__ import annotations
@@ -122,6 +123,36 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def _lists_of_several(postings: DataFrame) -> DataFrame:
+    """The tokens whose lists have members of more than one component."""
+    return postings.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
+
+
+def _outward(sets: DataFrame) -> DataFrame:
+    """Per set of (id, shingles, component): id, size and outward, the shingles that another component also has.
+
+    A link to another component has no more than these in common, so x is linked with no document of another component
+    if ``outward(x) < similarity * |union|``, and the union has at least as many shingles as both sets less those.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                values = np.frombuffer(batch.column("shingles")[i].as_buffer(), np.int64)
+                keys = [pa.array(np.full(len(values), batch.column(name)[i].as_py()))
+                        for name in ("id", "own", "component")]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(values)], names=["id", "own", "component", "shingle"])
+
+    found = sets.select("id", F.xxhash64("shingles").alias("own"), "component", "shingles").mapInArrow(
+        run, "id bigint, own bigint, component bigint, shingle bigint")
+    shared = found.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(
+        "shingle", F.lit(1).alias("shared"))
+    return found.join(shared, "shingle", "left").groupBy("id", "own").agg(
+        F.count("*").alias("size"), F.count("shared").alias("outward")).drop("own")
+
+
 def near_duplicates(
     documents: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
     coordinates: int = COORDINATES,
@@ -139,7 +170,8 @@ def near_duplicates(
     rows = documents.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     matches = least_matches(coordinates, percent)
     sketched = scratch.stage(sketches(rows, shingle, coordinates), "sketches")
-    classes = sketched.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
+    classes = scratch.stage(
+        sketched.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     members = scratch.stage(
         sketched.select("id", "n_shingles", "digest").join(classes, "digest", "left").drop("digest"), "members")
     chosen = sketched.join(
@@ -176,14 +208,19 @@ def near_duplicates(
     joined = components(first, scratch, "joined")
 
     # what is left: members of one list that the links of the hubs have not joined
-    placed = postings.select("id", "token").join(joined, "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    open_lists = placed.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
-    rest = scratch.stage(placed.join(open_lists, "token", "left_semi"), "rest")
-    other = rest.select("token", F.col("id").alias("other"), F.col("component").alias("apart"))
-    across = rest.join(other, "token").filter("component < apart").select(
-        F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    placed = scratch.stage(postings.select("id", "token").join(joined, "id", "left").withColumn(
+        "component", F.coalesce("component", "id")), "placed")
+    rest = placed.join(_lists_of_several(placed), "token", "left_semi")
+    bounds = _outward(sets.join(rest.select("id", "component").distinct(), "id"))
+    bounded = scratch.stage(rest.join(bounds, "id"), "bounded")
+    able = scratch.stage(bounded.join(bounded.groupBy("token").agg(F.min("size").alias("least")), "token").filter(
+        F.col("outward") * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("least"), "able")
+    able = able.join(_lists_of_several(able), "token", "left_semi")
+    other = able.select("token", *[F.col(name).alias(f"other_{name}") for name in able.columns if name != "token"])
+    across = able.join(other, "token").filter(
+        (F.col("component") < F.col("other_component"))
+        & (F.least("outward", "other_outward") * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent)
+    ).select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
     second = confirmed(colliding(across.join(stars, ["a", "b"], "left_anti")), sets, percent)
     found = components(first.unionByName(second), scratch, "found")
     result = scratch.stage(members.join(
