@@ -230,3 +230,12 @@ def near_duplicates(
     ).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))), "result")
     scratch.release("result")
     return result.withColumnRenamed("id", id)
+
+
+def deduplicated(documents: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``documents``, all columns, without those that ``near_duplicates`` does not keep; rows without id stay."""
+    found = near_duplicates(documents, id, text, **options)
+    # a table of its own, whose true size decides how it is joined
+    dropped = Scratch(documents.sparkSession).stage(
+        found.filter(~F.col("kept") & F.col(id).isNotNull()).select(id).distinct(), "dropped")
+    return documents.join(dropped, id, "left_anti").select(*documents.columns)

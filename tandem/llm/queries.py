@@ -16,6 +16,7 @@ from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, PRIME, ROUNDS, SEED,
 from tandem.llm.near_dups import near_duplicates
 from tandem.llm.neighbours import nearest
 from tandem.llm.quality import quality_scores, quality_weights
+from tandem.llm.rendering import visible_text
 from tandem.llm.tokens import token_counts
 from tandem.llm.warc import read_archives, write_archives
 from tandem.session import scratch_path
@@ -209,3 +210,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_nearest")
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op10_visible_text")
+def op10_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return visible_text(table(spark, sf_dir, "pages"))
