@@ -90,7 +90,7 @@ def license_spans(
 ) -> DataFrame:
     """Per row of ``documents``: id, n_words and spans, each with label, exact, first_word, last_word and coverage.
 
-    Places count words from 0. An exact template has a span wherever its words stand one behind another; another
+    Places count words from 0, the last word belongs to the span. An exact template has a span wherever its words stand one behind another; another
     template where a band of diagonals at most ``slack`` apart holds ``coverage`` of its pairs of words, and matched
     pairs make up as much of the span. A template needs two words. A null text has no words; every row gives a row,
     repeated rows repeated ones, a null id stays null; other columns are not read. The join is with a fixed list.

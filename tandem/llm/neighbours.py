@@ -58,7 +58,8 @@ class Forest:
         trees, size = self.strings.shape
         padded = np.hstack((queries, np.zeros((len(queries), 1))))
         asked = bit_strings(padded, projections(padded.shape[1], trees), trees)
-        enough = max(min(keep, size), int(np.ceil(share * size)))
+        # an entry may be the same vector in every tree, so this many hold at least ``keep`` vectors
+        enough = max(min(keep, size) * trees, min(size * trees, int(np.ceil(share * size))))
         low = np.zeros((trees, len(queries)), np.int64)
         high = np.full((trees, len(queries)), size, np.int64)
         climbing = np.ones(len(queries), bool)

@@ -109,6 +109,8 @@ def tree(html: str) -> Node:
                         break
                     if open_nodes[depth].tag == "table" and tag not in ("body", "html"):
                         break  # an end tag inside a table does not reach outside
+                    if open_nodes[depth].tag in BLOCKS and tag not in BLOCKS:
+                        break  # nor does one of a stretch of text outside its block
             continue
         if tag in CLOSES_PARAGRAPH and counts["p"]:
             close_first(frozenset(["p"]), frozenset(["table", "td", "th", "caption", "button"]))
