@@ -18,19 +18,23 @@ BLOCK = 256
 SHARD_SLOTS = 1 << 16
 BUCKETS = 4096
 MOST_REPEATS = 3
-ROUNDS = 24
+ROUNDS = 16
 SEED = 20
+# the two largest primes below 2**31, and two below 2**30
+STEPS = [(48271, 2147483647), (692871, 1073741789), (40692, 2147483629), (16807, 1073741783)]
 PRIME = 2147483647
+SALT = 69621
+CHUNK = 1024
 CELLS = 4096
 
 
 def scrambled(value: Column, salt: Column | int) -> Column:
-    """A number below 2**31 - 1 that looks random, by integer arithmetic that every engine repeats."""
+    """A number below 2**31 that looks random: linear steps modulo different primes, which every engine repeats."""
     salt = F.lit(salt).cast("bigint") if isinstance(salt, int) else salt
-    h = F.pmod(F.pmod(value, F.lit(PRIME).cast("bigint")) * 48271 + F.pmod(salt, F.lit(PRIME).cast("bigint")) * 69621
-               + 12345, F.lit(PRIME).cast("bigint"))
-    h = F.pmod(h.bitwiseXOR(F.shiftright(h, 15)) * 1103515245 + 1013904223, F.lit(PRIME).cast("bigint"))
-    return F.pmod(h.bitwiseXOR(F.shiftright(h, 13)) * 16807 + 40692, F.lit(PRIME).cast("bigint"))
+    for factor, prime in STEPS:
+        value = F.pmod(F.pmod(value, F.lit(prime).cast("bigint")) * factor + salt * SALT + factor,
+                       F.lit(prime).cast("bigint"))
+    return value
 
 
 def permuted(index: Column, size: Column, key: Column, rounds: int = ROUNDS) -> Column:
@@ -138,8 +142,10 @@ def mixed(
     scratch.release("sources", "positions", "need")
     n_slots = need.agg(F.max("until")).first()[0] or 0
     shards = scratch.stage(_drawn(need, n_slots, shard_slots, seed), "shards")
-    filled = shards.select("shard", "source_no", "first", F.explode(F.expr("sequence(0L, n - 1)")).alias("k")).withColumn(
-        "i", F.col("first") + F.col("k")).join(need.select("source_no", "source_size", "blocks", "full", "passes", "rest"),
+    chunks = shards.select("shard", "source_no", (F.col("first") + F.col("n")).alias("end"), F.explode(F.expr(
+        f"sequence(first, first + n - 1, {CHUNK}L)")).alias("begin")).repartition("source_no", "begin")
+    filled = chunks.select("shard", "source_no", F.explode(F.expr(
+        f"sequence(begin, least(end, begin + {CHUNK}) - 1)")).alias("i")).join(need.select("source_no", "source_size", "blocks", "full", "passes", "rest"),
                                                "source_no")
     filled = filled.withColumn("pass", F.expr("i div blocks")).withColumn("turn", F.expr("i % blocks"))
     # the short last block of a source is the last of every pass

@@ -12,7 +12,7 @@ from tandem.catalog.registry import Query
 from tandem.llm.decontaminate import contamination
 from tandem.llm.language import language_parser, languages_of
 from tandem.llm.licenses import license_spans
-from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, PRIME, ROUNDS, SEED, mixed
+from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, ROUNDS, SALT, SEED, STEPS, mixed
 from tandem.llm.near_dups import near_duplicates
 from tandem.llm.neighbours import nearest
 from tandem.llm.quality import quality_scores, quality_weights
@@ -125,9 +125,9 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_scrambled(value: str, salt: str) -> str:
-    h = f"((({value}) % {PRIME} + {PRIME}) % {PRIME} * 48271 + ({salt}) % {PRIME} * 69621 + 12345) % {PRIME}"
-    h = f"(xor({h}, ({h}) >> 15) * 1103515245 + 1013904223) % {PRIME}"
-    return f"((xor({h}, ({h}) >> 13) * 16807 + 40692) % {PRIME})"
+    for factor, prime in STEPS:
+        value = f"(((({value}) % {prime} + {prime}) % {prime} * {factor} + ({salt}) * {SALT} + {factor}) % {prime})"
+    return value
 
 
 def sql_permuted(index: str, size: str, key: str) -> str:
