@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from tandem.catalog import tables as t
 from tandem.catalog.registry import query
-from tandem.functions.text import chunks, eval_tokens, flatten_newlines, is_filled
+from tandem.functions.text import chunks, eval_tokens, is_filled
 from tandem.operators import profile
 from tandem.operators.indexing import first_rows, number_rows, row_slice
 from tandem.operators.pairs import language_column, to_long
 from tandem.plans.jobs import monolingual_corpus
-from tandem.session import scratch_path
+from tandem.session import scratch_path, stage
 from tandem.sinks.writers import export_truth, write_lines
 from tandem.sources.evaluation import read_truth
 from tandem.sources.lines import clean_lines, numbered_lines, scan_lines
-from tandem.sources.parallel import load_aligned, load_dictionaries
+from tandem.sources.parallel import load_aligned, load_dictionaries, load_dictionary_manifest
 
 
 def raw_files(spark: SparkSession, sf_dir: str) -> str:
@@ -51,7 +51,7 @@ def q01_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH corpus AS (
   SELECT 'documents' AS source, text FROM documents UNION ALL SELECT 'conversations', text FROM conversations)
 SELECT source, count(*) AS rows, sum(length(text))::BIGINT AS chars, max(length(text))::BIGINT AS longest,
-       round(avg(length(text)), 6) AS mean_length
+       round(avg(length(text)), 6) AS mean_length, grouping(source) = 1 AS is_total
 FROM corpus GROUP BY ROLLUP (source)
 """)
 def q02_corpus_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def q02_corpus_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q02_source_profile", """
 SELECT source, count(*) AS rows, sum(length(text))::BIGINT AS chars, max(length(text))::BIGINT AS longest,
-       round(avg(length(text)), 6) AS mean_length
+       round(avg(length(text)), 6) AS mean_length, grouping(source) = 1 AS is_total
 FROM documents GROUP BY ROLLUP (source)
 """)
 def q02_source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +109,10 @@ def aligned_files(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "aligned")
     code = F.create_map(*[F.lit(x) for pair in t.CODE_OF.items() for x in pair])[F.col("lang")]
     split = F.when(F.col("doc_id") % 2 == 0, "dev").otherwise("devtest")
-    documents = t.table(spark, sf_dir, "documents").withColumn("text", flatten_newlines(F.col("text")))
-    write_lines(documents, path, F.concat(split, F.lit("."), code), ["doc_id"])
+    documents = t.table(spark, sf_dir, "documents").withColumn("text", t.with_returns(F.col("text")))
+    notes = documents.withColumns({"split": F.lit("notes"), "text": F.lit("no line of a split")})
+    files = documents.withColumn("split", split).unionByName(notes)  # the notes belong to no split
+    write_lines(files, path, F.concat("split", F.lit("."), code), ["doc_id"])
     return path
 
 
@@ -145,14 +147,14 @@ def q06_truth_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Two CSV dictionaries whose columns overlap."""
-    wide = t.wide(spark, sf_dir)
-    paths = []
-    for columns in (["en", "fr"], ["en", "de", "es"]):
-        path = scratch_path(spark, "dictionary")
-        (wide.select(*columns).write.option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+    """Two CSV dictionaries whose columns overlap; the part files of the second have two orders of columns."""
+    wide = stage(t.wide(spark, sf_dir), "wide")
+    paths = [scratch_path(spark, "dictionary") for _ in range(2)]
+    parts = [(paths[0], ["en", "fr"], wide), (paths[1], ["en", "de", "es"], wide.filter("length(en) > 1000")),
+             (paths[1], ["es", "en", "de"], wide.filter("NOT coalesce(length(en) > 1000, false)"))]
+    for path, columns, rows in parts:
+        (rows.select(*columns).write.mode("append").option("escape", '"').option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).csv(path, header=True))
-        paths.append(path)
     return paths
 
 
@@ -165,7 +167,15 @@ merged AS (
 
 @query("q07_schema_union", t.with_(t.SQL_WIDE, SQL_DICTIONARIES) + "SELECT en, fr, de, es FROM merged")
 def q07_schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_dictionaries(spark, dictionary_files(spark, sf_dir))
+    return load_dictionaries(spark, dictionary_files(spark, sf_dir), multi_line=True)
+
+
+@query("q07_manifest", t.with_(t.SQL_WIDE, SQL_DICTIONARIES) + "SELECT en, fr, de, es FROM merged")
+def q07_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = scratch_path(spark, "manifest")
+    listed = spark.createDataFrame([(f"  {path}\n",) for path in dictionary_files(spark, sf_dir)], "value string")
+    listed.coalesce(1).write.text(manifest)
+    return load_dictionary_manifest(spark, manifest, multi_line=True)
 
 
 @query("q08_row_slice", t.with_(t.SQL_RAW_LINES, SQL_NUMBERED) + f"""
@@ -187,10 +197,13 @@ def q08_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("q17_eval_tokens", t.with_(t.SQL_BITEXT) + f"""
-SELECT token, count(*) AS uses FROM (SELECT unnest({t.sql_tokens('tgt')}) AS token FROM bitext) GROUP BY token
+SELECT token, count(*) AS uses FROM (
+  SELECT unnest({t.sql_tokens('src')}) AS token FROM bitext UNION ALL SELECT unnest({t.sql_tokens('tgt')}) FROM bitext)
+GROUP BY token
 """)
 def q17_eval_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = t.bitext(spark, sf_dir).select(F.explode(eval_tokens(F.col("tgt"))).alias("token"))
+    sides = t.bitext(spark, sf_dir).select(F.explode(F.array("src", "tgt")).alias("text"))
+    tokens = sides.select(F.explode(eval_tokens(F.col("text"))).alias("token"))
     return tokens.groupBy("token").agg(F.count("*").alias("uses"))
 
 
@@ -203,11 +216,11 @@ SELECT ch, count(*) AS texts FROM chars WHERE ch NOT IN (SELECT ch FROM known) G
 def q19_new_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = t.table(spark, sf_dir, "benchmark")
     vocabulary = benchmark.select(F.explode(F.split("text", "")).alias("token"))
-    return profile.new_characters(t.spread_table(spark, sf_dir, "documents"), vocabulary)
+    return profile.new_characters(t.table(spark, sf_dir, "documents"), vocabulary)
 
 
 @query("q19_character_vocabulary", """
 SELECT ch, count(*) AS texts FROM (SELECT unnest(list_distinct(string_split(text, ''))) AS ch FROM documents) GROUP BY ch
 """)
 def q19_character_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.character_counts(t.spread_table(spark, sf_dir, "documents"))
+    return profile.character_counts(t.table(spark, sf_dir, "documents"))

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.catalog import tables as t
 from tandem.catalog.registry import query
 from tandem.functions.languages import metric_language
-from tandem.functions.text import flatten_newlines
 from tandem.operators import alignment, report
 from tandem.operators.bleu import corpus_bleu
 from tandem.operators.directions import with_grid
 from tandem.operators.indexing import number_rows
-from tandem.operators.scoring import score_batches, score_segments
+from tandem.operators.scoring import score_segments, together
 from tandem.plans.jobs import evaluate
 from tandem.session import scratch_path, stage
-from tandem.sinks.writers import export_predictions, export_truth, write_evaluation
+from tandem.sinks.writers import export_predictions, export_truth, write_evaluation, write_lines
 from tandem.sources.evaluation import list_predictions, read_predictions, read_truth
 
 KEY = alignment.KEY
@@ -75,7 +76,7 @@ sided AS (
   UNION ALL SELECT {SQL_KEY}, line_no, 'r', r, unnest([1, 2, 3, 4]) FROM tokenized),
 grams AS (
   SELECT {SQL_KEY}, line_no, side, n,
-         unnest(list_transform(range(1, len(k) - n + 2), lambda i: array_to_string(k[i:i + n - 1], chr(1)))) AS gram
+         unnest(list_transform(range(1, len(k) - n + 2), lambda i: k[i:i + n - 1])) AS gram
   FROM sided WHERE len(k) >= n),
 counted AS (
   SELECT {SQL_KEY}, line_no, n, gram, count(*) FILTER (side = 'h') AS ch, count(*) FILTER (side = 'r') AS cr
@@ -124,7 +125,7 @@ flat AS (
 SQL_STRIPPED = f"""
 stripped AS (
   SELECT model, src_lang, tgt_lang, line_no, {t.sql_strip('src')} AS src, {t.sql_strip('mt')} AS mt,
-         {t.sql_strip('ref')} AS ref FROM flat)
+         {t.sql_strip('ref')} AS ref FROM flat WHERE model <> 'sparse' OR line_no < 25)
 """
 
 
@@ -146,20 +147,27 @@ def q18_corpus_bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evaluation_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Truth folder, and a folder of prediction folders, one per model."""
-    pairs = number_rows(t.bitext(spark, sf_dir), ["seg"], into="line_no").select(
-        "line_no", *[flatten_newlines(F.col(c)).alias(c) for c in ("src", "tgt")]
-    )
+    """Truth folder, and a folder of prediction folders, one per model; texts with carriage returns.
+
+    The files of one model end early, and a file beside them is no prediction.
+    """
+    pairs = stage(number_rows(t.bitext(spark, sf_dir), ["seg"], into="line_no").select("line_no", "src", "tgt"), "pairs")
     (left, right), _ = t.DIRECTIONS
     truth = scratch_path(spark, "truth")
     sides = F.array(F.struct(F.lit(left).alias("lang"), F.col("src").alias("text")),
                     F.struct(F.lit(right).alias("lang"), F.col("tgt").alias("text")))
-    export_truth(pairs.select("line_no", F.inline(sides)), truth)
+    long = pairs.select("line_no", F.inline(sides)).withColumn("text", t.with_returns(F.col("text")))
+    export_truth(long, truth)
     results = scratch_path(spark, "results")
-    export_predictions(t.systems_of(pairs, "line_no").withColumnRenamed("mt", "text"), results)
+    predictions = t.systems_of(pairs, "line_no").filter(EARLY_END).withColumn("text", t.with_returns(F.col("mt")))
+    export_predictions(predictions, results)
+    write_lines(long, f"{results}/model=notes", F.lit("notes.txt"), ["line_no"])
     return truth, results
 
 
+EARLY_END = "model <> 'sparse' OR line_no < 25"
+
+
 SQL_FILE_SYSTEMS = (t.SQL_BITEXT, """
 numbered AS (SELECT row_number() OVER (ORDER BY seg) - 1 AS seg, src, tgt FROM bitext)
 """, t.sql_systems().replace("FROM bitext", "FROM numbered"), SQL_FLAT, SQL_STRIPPED)
@@ -171,8 +179,15 @@ def q20_aligned_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_triples(read_predictions(spark, results), read_truth(spark, truth))
 
 
+@query("q20_aligned_pairs", t.with_(*SQL_FILE_SYSTEMS) + f"SELECT {SQL_KEY}, line_no, mt, ref FROM stripped")
+def q20_aligned_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    truth, results = evaluation_files(spark, sf_dir)
+    return alignment.aligned_pairs(read_predictions(spark, results), read_truth(spark, truth))
+
+
 @query("q20_alignment_report", t.with_(*SQL_FILE_SYSTEMS) + f"""
-SELECT {SQL_KEY}, count(*) AS n_src, count(*) AS n_mt, count(*) AS n_ref, true AS aligned FROM stripped GROUP BY {SQL_KEY}
+SELECT {SQL_KEY}, n_lines AS n_src, count(*) AS n_mt, n_lines AS n_ref, count(*) = n_lines AS aligned
+FROM stripped, (SELECT count(*) AS n_lines FROM bitext) GROUP BY {SQL_KEY}, n_lines
 """)
 def q20_alignment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth, results = evaluation_files(spark, sf_dir)
@@ -192,10 +207,9 @@ SELECT {SQL_KEY}, ({SQL_KEY}) IN (SELECT ({SQL_KEY}) FROM systems) AS available
 """)
 def q21_direction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = t.systems(spark, sf_dir)
-    grid = with_grid(predictions.select("model").distinct(), GRID_LANGUAGES)
-    there = alignment.available(grid, predictions).withColumn("available", F.lit(True))
-    absent = alignment.missing(grid, predictions).withColumn("available", F.lit(False))
-    return there.unionByName(absent)
+    keys = stage(predictions.select(*KEY).distinct(), "keys")
+    grid = with_grid(keys.select("model").distinct(), GRID_LANGUAGES)
+    return alignment.availability(grid, keys).select(*KEY, "available")
 
 
 @query("q21_predictions_found", t.with_(t.SQL_BITEXT, t.sql_systems(), SQL_GRID) + f"""
@@ -207,8 +221,7 @@ def q21_predictions_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, results = evaluation_files(spark, sf_dir)
     files = list_predictions(spark, results)
     grid = with_grid(files.select("model").distinct(), [name.replace(" ", "_") for name in GRID_LANGUAGES])
-    there = alignment.available(grid, files).withColumn("available", F.lit(True))
-    return there.unionByName(alignment.missing(grid, files).withColumn("available", F.lit(False)))
+    return alignment.availability(grid, files).select(*KEY, "available")
 
 
 @query("q22_segment_means", t.with_(t.SQL_BITEXT, t.sql_systems(), sql_means()) + f"""
@@ -218,8 +231,8 @@ FROM means
 """)
 def q22_segment_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     triples = t.systems(spark, sf_dir)
-    matched = score_batches(triples, overlap_scorer, ["mt", "ref"], "p double, r double, f1 double", batch_size=10)
-    scored = score_segments(matched, jaccard_scorer, "score double", batch_size=8)
+    scored = score_segments(
+        triples, together(overlap_scorer, jaccard_scorer), "p double, r double, f1 double, score double", batch_size=8)
     means = report.segment_means(scored, ["p", "r", "f1", "score"])
     return means.select(*KEY, metric_language(F.col("tgt_lang")).alias("lang"),
                         *[F.round(c, 6).alias(c) for c in ("p", "r", "f1", "score")])
@@ -227,9 +240,9 @@ def q22_segment_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation records of the three systems."""
-    triples = t.systems(spark, sf_dir)
-    matched = score_batches(triples, overlap_scorer, ["mt", "ref"], "p double, r double, f1 double", batch_size=10)
-    scored = score_segments(matched, jaccard_scorer, "score double", batch_size=8)
+    triples = stage(t.systems(spark, sf_dir), "triples")
+    scored = score_segments(
+        triples, together(overlap_scorer, jaccard_scorer), "p double, r double, f1 double, score double", batch_size=8)
     means = report.segment_means(scored, ["p", "r", "f1", "score"])
     found = report.evaluation_records(corpus_bleu(triples, KEY), means)
     return found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)
@@ -249,12 +262,13 @@ def q23_eval_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q26_side_by_side", t.with_(t.SQL_BITEXT, t.sql_systems()) + """
 SELECT src_lang, tgt_lang, line_no, max(mt) FILTER (model = 'identity') AS identity,
-       max(mt) FILTER (model = 'copy') AS "copy", max(mt) FILTER (model = 'head') AS head,
-       count(DISTINCT mt) = 1 AS same
-FROM systems GROUP BY src_lang, tgt_lang, line_no
+       max(mt) FILTER (model = 'copy') AS "copy", max(mt) FILTER (model = 'sparse') AS sparse,
+       count(DISTINCT mt) = 1 AND count(*) = 3 AS same
+FROM systems WHERE model <> 'sparse' OR length(mt) > 80 GROUP BY src_lang, tgt_lang, line_no
 """)
 def q26_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.side_by_side(t.systems(spark, sf_dir).withColumnRenamed("mt", "text"), t.MODELS)
+    systems = t.systems(spark, sf_dir).filter("model <> 'sparse' OR length(mt) > 80")  # one gives up on short lines
+    return report.side_by_side(systems.withColumnRenamed("mt", "text"), t.MODELS)
 
 
 SQL_LONG = "long AS (\n  " + "\n  UNION ALL ".join(
@@ -276,25 +290,32 @@ def q27_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query("q27_score_table", t.with_(*SQL_TABLE_RECORDS) + """
-SELECT src_lang, tgt_lang, max(bleu_score) FILTER (model = 'identity') AS identity,
-       max(bleu_score) FILTER (model = 'copy') AS "copy", max(bleu_score) FILTER (model = 'head') AS head
-FROM records GROUP BY src_lang, tgt_lang
+@query("q27_score_table", t.with_(*SQL_TABLE_RECORDS, SQL_LONG) + """
+SELECT src_lang, tgt_lang, metric, max(value) FILTER (model = 'identity') AS identity,
+       max(value) FILTER (model = 'copy') AS "copy", max(value) FILTER (model = 'sparse') AS sparse
+FROM long GROUP BY src_lang, tgt_lang, metric
 """)
 def q27_score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.score_table(records(spark, sf_dir), t.MODELS)
+    found = stage(records(spark, sf_dir), "records")
+    tables = [report.score_table(found, t.MODELS, metric).withColumn("metric", F.lit(metric)) for metric in report.METRICS]
+    return reduce(DataFrame.unionByName, tables)
 
 
-@query("q27_against_baseline", t.with_(*SQL_TABLE_RECORDS) + f"""
-SELECT r.model, r.src_lang, r.tgt_lang, r.bleu_score, r.bert_f1, b.bleu_score AS base_bleu_score, b.bert_f1 AS base_bert_f1,
-       round(r.bleu_score - b.bleu_score, 6) AS delta_bleu_score, round(r.bert_f1 - b.bert_f1, 6) AS delta_bert_f1
-FROM records r JOIN records b ON b.model = 'copy' AND r.src_lang = b.src_lang AND r.tgt_lang = b.tgt_lang
+SQL_BASE = f"""
+based AS (SELECT * FROM records WHERE model <> 'copy' OR src_lang = 'English')
+"""
+
+
+@query("q27_against_baseline", t.with_(*SQL_TABLE_RECORDS, SQL_BASE) + f"""
+SELECT r.model, r.src_lang, r.tgt_lang, {', '.join(f'r.{m}, b.{m} AS base_{m}, round(r.{m} - b.{m}, 6) AS delta_{m}' for m in report.METRICS)}
+FROM based r LEFT JOIN based b ON b.model = 'copy' AND r.src_lang = b.src_lang AND r.tgt_lang = b.tgt_lang
 WHERE r.model <> 'copy'
 """)
 def q27_against_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = ["bleu_score", "bert_f1"]
-    found = report.against_baseline(stage(records(spark, sf_dir), "records"), "copy", metrics)
-    return found.withColumns({f"delta_{m}": F.round(f"delta_{m}", 6) for m in metrics})
+    """The baseline never ran one of the directions."""
+    based = stage(records(spark, sf_dir), "records").filter("model <> 'copy' OR src_lang = 'English'")
+    found = report.against_baseline(based, "copy")
+    return found.withColumns({f"delta_{m}": F.round(f"delta_{m}", 6) for m in report.METRICS})
 
 
 @query("q32_evaluate_files", t.with_(*SQL_FILE_SYSTEMS, sql_bleu("stripped"), sql_means("stripped"), SQL_RECORDS)
@@ -303,3 +324,24 @@ def q32_evaluate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth, results = evaluation_files(spark, sf_dir)
     found = evaluate(read_predictions(spark, results), read_truth(spark, truth), overlap_scorer, jaccard_scorer)
     return found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)
+
+
+SQL_ASKED = """
+asked AS (
+  SELECT m.model, g.src_lang, g.tgt_lang FROM (VALUES ('identity'), ('copy'), ('unseen')) m(model),
+    (VALUES ('Cantonese', 'English'), ('Cantonese', 'French')) g(src_lang, tgt_lang))
+"""
+
+
+@query("q32_requested_grid", t.with_(*SQL_FILE_SYSTEMS, sql_bleu("stripped"), sql_means("stripped"), SQL_RECORDS, SQL_ASKED)
+       + f"SELECT {SQL_KEY}, {', '.join(report.METRICS)} FROM asked LEFT JOIN records USING ({SQL_KEY})")
+def q32_requested_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the cells asked for, and the cells without predictions with NULL metrics."""
+    truth, results = evaluation_files(spark, sf_dir)
+    models = spark.createDataFrame([("identity",), ("copy",), ("unseen",)], "model string")
+    cells = F.array(*[F.struct(F.lit("Cantonese").alias("src_lang"), F.lit(tgt).alias("tgt_lang"))
+                      for tgt in ("English", "French")])
+    found, absent = evaluate(read_predictions(spark, results), read_truth(spark, truth), overlap_scorer, jaccard_scorer,
+                             grid=models.select("model", F.inline(cells)))
+    found = found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)
+    return found.unionByName(absent, allowMissingColumns=True)

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.catalog import tables as t
-from tandem.catalog.corpora import SQL_DICTIONARIES, dictionary_files
+from tandem.catalog.corpora import dictionary_files
 from tandem.catalog.registry import query
 from tandem.functions.prompts import chat_both_ways, prompt
 from tandem.operators.directions import direction_error, split_directions, with_default_sides
 from tandem.operators.pairs import both_directions, interleave, ordered_pairs
-from tandem.operators.sampling import rows_at
-from tandem.plans.jobs import dictionary_examples
+from tandem.operators.sampling import rows_at, shuffled_positions
+from tandem.plans.jobs import dictionary_examples, training_examples
 
+# The prompt templates as SQL, with columns between their parts.
 PAIR_TEMPLATES = ["inference", "sft", "sft_one_line", "eval"]
 SQL_PROMPTS = {
     "inference": "'<|im_start|> system Translate the given ' || src_lang || ' words to ' || tgt_lang || "
@@ -46,10 +47,11 @@ def q10_ordered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q10_both_directions", t.with_(t.SQL_WIDE) + """
 SELECT row_id, 'de' AS src_lang, 'en' AS tgt_lang, de AS src_text, en AS tgt_text FROM wide
-UNION ALL SELECT row_id, 'en', 'de', en, de FROM wide
+WHERE de IS NOT NULL OR en IS NOT NULL
+UNION ALL SELECT row_id, 'en', 'de', en, de FROM wide WHERE de IS NOT NULL OR en IS NOT NULL
 """)
 def q10_both_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return both_directions(t.wide(spark, sf_dir).select("row_id", "de", "en"), "de", "en", ["row_id"])
+    return both_directions(t.wide(spark, sf_dir, ["de", "en"]), "de", "en", ["row_id"])
 
 
 @query("q11_sft_prompts", t.with_(t.SQL_WIDE, t.SQL_CELLS, t.SQL_PAIRS) + " UNION ALL ".join(
@@ -130,10 +132,41 @@ def q13_accepted_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_directions(asked_directions(spark, sf_dir), "en")[0]
 
 
-@query("q30_training_examples", t.with_(t.SQL_WIDE, SQL_DICTIONARIES, """
-keyed AS (SELECT row_number() OVER () AS row_id, de, en, es, fr FROM merged)""",
-    t.SQL_CELLS.replace("FROM wide", "FROM keyed"), t.SQL_PAIRS) + f"""
-SELECT src_lang, tgt_lang, {SQL_PROMPTS['sft']} AS prompt FROM pairs
+SQL_EXAMPLES = (t.SQL_WIDE, """
+keyed AS (
+  SELECT en, fr, CAST(NULL AS VARCHAR) AS de, CAST(NULL AS VARCHAR) AS es FROM wide
+  UNION ALL SELECT en, NULL, de, es FROM wide),
+listed AS (
+  SELECT 'de' AS lang, de AS text, en, fr, de, es FROM keyed UNION ALL SELECT 'en', en, en, fr, de, es FROM keyed
+  UNION ALL SELECT 'es', es, en, fr, de, es FROM keyed UNION ALL SELECT 'fr', fr, en, fr, de, es FROM keyed),
+pairs AS (
+  SELECT s.lang AS src_lang, o.lang AS tgt_lang, s.text AS src_text,
+         CASE o.lang WHEN 'de' THEN s.de WHEN 'en' THEN s.en WHEN 'es' THEN s.es ELSE s.fr END AS tgt_text
+  FROM listed s, (VALUES ('de'), ('en'), ('es'), ('fr')) o(lang) WHERE s.lang <> o.lang AND s.text IS NOT NULL)""")
+
+
+@query("q30_training_examples", t.with_(*SQL_EXAMPLES) + f"""
+SELECT src_lang, tgt_lang, {SQL_PROMPTS['sft']} AS prompt FROM pairs WHERE tgt_text IS NOT NULL
 """)
 def q30_training_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dictionary_examples(spark, dictionary_files(spark, sf_dir)).select("src_lang", "tgt_lang", "prompt")
+    found = dictionary_examples(spark, dictionary_files(spark, sf_dir), multi_line=True)
+    return found.select("src_lang", "tgt_lang", "prompt")
+
+
+@query("q30_shuffled_positions", t.with_(t.SQL_WIDE) + """
+SELECT row_id, row_number() OVER (ORDER BY md5('42:' || row_id), row_id) - 1 AS position FROM wide
+""")
+def q30_shuffled_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each wide row in the order that its training examples are dealt out in."""
+    return shuffled_positions(t.wide(spark, sf_dir), ["row_id"]).select("row_id", "position")
+
+
+@query("q30_own_format", t.with_(t.SQL_WIDE, t.SQL_CELLS, t.SQL_PAIRS) + """
+SELECT row_id, src_lang || '>' || tgt_lang || ': ' || src_text || chr(10) || tgt_text AS prompt FROM pairs
+""")
+def q30_own_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def own(pairs: DataFrame) -> DataFrame:
+        return pairs.select("row_id", F.concat(
+            "src_lang", F.lit(">"), "tgt_lang", F.lit(": "), "src_text", F.lit("\n"), "tgt_text").alias("prompt"))
+
+    return training_examples(t.wide(spark, sf_dir), ["row_id"], t.LANGS, own)

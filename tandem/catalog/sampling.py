@@ -18,12 +18,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.table(spark, sf_dir, "documents").select("doc_id", "lang")
 
 
+# The completion prompt as SQL.
 @query("q14_completion_split", t.with_(t.SQL_LINES, f"""
+padded AS (
+  SELECT * FROM lines UNION ALL SELECT doc_id, lang, source, -1, ' ' || chr(9) FROM documents
+  UNION ALL SELECT doc_id, lang, source, -2, 'x' FROM documents UNION ALL SELECT doc_id, lang, source, -3, 'xy' FROM documents),
 usable AS (
   SELECT doc_id, pos, text, length(text) AS n,
          ('0x' || substr(md5('42:' || doc_id || ':' || pos), 1, 15))::BIGINT AS drawn,
          floor(0.3::DOUBLE * length(text))::BIGINT AS low, floor(0.7::DOUBLE * length(text))::BIGINT AS high
-  FROM lines WHERE length({t.sql_strip('text')}) > 0 AND length(text) > 1),
+  FROM padded WHERE length({t.sql_strip('text')}) > 0 AND length(text) > 1),
 cut AS (
   SELECT doc_id, pos, text, greatest(least(low + drawn % greatest(high - low, 1), n - 1), 1) AS point FROM usable)
 """) + """
@@ -33,7 +37,11 @@ SELECT doc_id, pos, '<|im_start|> user' || chr(10) || '        Complete the foll
 FROM cut
 """)
 def q14_completion_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    usable = t.lines(spark, sf_dir).filter(is_usable_example(F.col("text")))
+    short = F.array(*[
+        F.struct(F.lit(pos).cast("bigint").alias("pos"), F.lit(text).alias("text"))
+        for pos, text in ((-1, " \t"), (-2, "x"), (-3, "xy"))])
+    padding = t.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.inline(short))
+    usable = t.lines(spark, sf_dir).unionByName(padding).filter(is_usable_example(F.col("text")))
     cut = sampling.completion_pairs(usable, "text", ["doc_id", "pos"])
     return cut.select("doc_id", "pos", prompt("completion").alias("prompt"))
 

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.functions.text import CJK_RANGES, DIGIT_RULES, WHITESPACE
 from tandem.operators.indexing import number_rows
 from tandem.operators.pairs import zip_columns
-from tandem.session import spread
 
 LANGS = ["de", "en", "es", "fr"]
 CODES = {"deu_Latn": "German", "eng_Latn": "English", "spa_Latn": "Spanish", "fra_Latn": "French"}
 CODE_OF = {"de": "deu_Latn", "en": "eng_Latn", "es": "spa_Latn", "fr": "fra_Latn"}
 NAMES = list(CODES.values())
-MODELS = ["identity", "copy", "head"]
+MODELS = ["identity", "copy", "sparse"]
 DIRECTIONS = [("Cantonese", "English"), ("English", "Cantonese")]
 
 
@@ -22,14 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table for work that is heavy per row: dealt out if its files have fewer splits than cores."""
-    return spread(table(spark, sf_dir, name))
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document: doc_id, lang, source, pos, text."""
-    return spread_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text")
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -37,14 +31,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines with white space around them and a blank line after each document."""
     padded = F.concat(F.lit(" \t"), F.col("text"), F.lit("　 "))
-    return spread_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.posexplode(F.split(F.concat("text", F.lit("\n")), "\n")).alias("pos", "text")
     ).withColumn("text", padded)
 
 
 def bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that answers them: seg, src, tgt."""
-    turns = spread_table(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations")
     user = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("src"))
     answer = turns.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt")
@@ -54,10 +48,12 @@ def bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of the four languages side by side by their ordinal: row_id, de, en, es, fr."""
+def wide(spark: SparkSession, sf_dir: str, languages: list[str] = LANGS) -> DataFrame:
+    """Documents of the languages side by side by their ordinal: row_id, de, en, es, fr."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return zip_columns(number_rows(documents, ["doc_id"], ["lang"]), LANGS, key="row_id")
+    if languages != LANGS:
+        documents = documents.filter(F.col("lang").isin(languages))
+    return zip_columns(number_rows(documents, ["doc_id"], ["lang"]), languages, key="row_id")
 
 
 def systems_of(pairs: DataFrame, line: str) -> DataFrame:
@@ -73,7 +69,8 @@ def systems_of(pairs: DataFrame, line: str) -> DataFrame:
     outputs = F.array(
         F.struct(F.lit("identity").alias("model"), F.col("ref").alias("mt")),
         F.struct(F.lit("copy").alias("model"), F.col("src").alias("mt")),
-        F.struct(F.lit("head").alias("model"), F.substring("ref", 1, 50).alias("mt")),
+        F.struct(F.lit("sparse").alias("model"), F.array_join(
+            F.filter(F.split("ref", " "), lambda word, i: i % 3 != 2), " ").alias("mt")),
     )
     return both.select("*", F.explode(outputs).alias("_o")).select(
         "_o.model", "src_lang", "tgt_lang", "line_no", "src", "_o.mt", "ref"
@@ -85,6 +82,11 @@ def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return systems_of(bitext(spark, sf_dir), "seg")
 
 
+def with_returns(text: Column) -> Column:
+    """The text with carriage returns for some blanks and breaks, which a text file must not keep."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\r\n")), F.lit(". "), F.lit(".\r"))
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(part.strip() for part in parts) + "\n"
 
@@ -134,8 +136,9 @@ both_ways AS (
   UNION ALL SELECT {line}, 'English', 'Cantonese', tgt, src FROM bitext),
 systems AS (
   SELECT model, src_lang, tgt_lang, line_no, src,
-         CASE model WHEN 'identity' THEN ref WHEN 'copy' THEN src ELSE substring(ref, 1, 50) END AS mt, ref
-  FROM both_ways, (VALUES ('identity'), ('copy'), ('head')) m(model))
+         CASE model WHEN 'identity' THEN ref WHEN 'copy' THEN src
+           ELSE array_to_string(list_filter(string_split(ref, ' '), lambda word, i: i % 3 <> 0), ' ') END AS mt, ref
+  FROM both_ways, (VALUES ('identity'), ('copy'), ('sparse')) m(model))
 """
 
 

@@ -87,6 +87,18 @@ def flatten_newlines(text: Column, mode: str = "space") -> Column:
     raise ValueError(f"unknown newline mode {mode!r}")
 
 
+def one_line(text: Column, mode: str = "space") -> Column:
+    """The text without any line break that a text file reader knows: CR LF, CR and LF.
+
+    As ``flatten_newlines`` for files of one text per line: ``remove`` strips and deletes breaks, any other mode
+    replaces each by a blank, because a break that is left would shift all later lines.
+    """
+    if mode not in ("space", "remove", "none"):
+        raise ValueError(f"unknown newline mode {mode!r}")
+    breaks = "\\r\\n|\\r|\\n"
+    return F.regexp_replace(strip(text), breaks, "") if mode == "remove" else F.regexp_replace(text, breaks, " ")
+
+
 def file_safe(name: Column) -> Column:
     """Language or run name as used in file names."""
     return F.replace(name, F.lit(" "), F.lit("_"))

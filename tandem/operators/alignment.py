@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tandem.session import stage
+
 KEY = ["model", "src_lang", "tgt_lang"]
 
 
@@ -22,11 +24,16 @@ def aligned_triples(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     """Source, hypothesis and reference of every line that all three sides have.
 
     The languages of a truth line are gathered into one map first, so the predictions are joined once
-    and not once per side. A line number has one row per language and system, so no key is hot.
+    and not once per side. A line number has one row per language and system, so no key is hot. Two truth
+    texts for one line and language fail the job.
     """
-    texts = truth.groupBy("line_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("lang", "text"))).alias("_texts")
-    )
+    entries = F.collect_list(F.struct("lang", "text"))
+    gathered = truth.groupBy("line_no").agg(entries.alias("_entries"))
+    complaint = F.concat(F.lit("two truth texts of one language for line "), F.col("line_no").cast("string"))
+    twice = F.size(F.array_distinct(F.col("_entries.lang"))) < F.size("_entries")
+    texts = gathered.select(
+        "line_no", F.when(twice, F.raise_error(complaint).cast("map<string,string>"))
+        .otherwise(F.map_from_entries("_entries")).alias("_texts"))
     sides = predictions.join(texts, "line_no").select(
         *KEY, "line_no", F.col("_texts")[F.col("src_lang")].alias("src"), F.col("text").alias("mt"),
         F.col("_texts")[F.col("tgt_lang")].alias("ref"),
@@ -48,12 +55,16 @@ def alignment_report(predictions: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def require_alignment(predictions: DataFrame, truth: DataFrame) -> None:
-    """Fail with the offending directions if any side has a different number of lines."""
+def require_alignment(predictions: DataFrame, truth: DataFrame, shown: int = 20) -> None:
+    """Fail if any side of a direction has a different number of lines.
+
+    The error gives the number of such directions and names the first ``shown``; ``alignment_report`` has all.
+    """
     bad = alignment_report(predictions, truth).filter(~F.col("aligned"))
-    found = bad.limit(20).collect()
-    if found:
-        raise ValueError("misaligned: " + "; ".join(
+    count = bad.count()
+    if count:
+        found = bad.orderBy(*KEY).limit(shown).collect()
+        raise ValueError(f"{count} misaligned directions: " + "; ".join(
             f"{r.model} {r.src_lang}->{r.tgt_lang} ({r.n_src}/{r.n_mt}/{r.n_ref})" for r in found))
 
 
@@ -65,3 +76,9 @@ def available(grid: DataFrame, predictions: DataFrame) -> DataFrame:
 def missing(grid: DataFrame, predictions: DataFrame) -> DataFrame:
     """Requested cells without predictions."""
     return grid.join(predictions.select(*KEY).distinct(), KEY, "left_anti")
+
+
+def availability(grid: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Every requested cell with ``available``: whether it has predictions, which are read once, for their keys."""
+    keys = stage(predictions.select(*KEY).distinct(), "keys").withColumn("available", F.lit(True))
+    return grid.join(keys, KEY, "left").withColumn("available", F.coalesce("available", F.lit(False)))

@@ -17,6 +17,12 @@ MAX_ORDER = 4
 _GLUE = "\u0001"
 
 
+def _gluable(tokens: Column) -> Column:
+    """The tokens with the glue inside them written otherwise, one to one, so that no two runs look alike."""
+    return F.transform(tokens, lambda token: F.replace(
+        F.replace(token, F.lit("\u0002"), F.lit("\u0002b")), F.lit(_GLUE), F.lit("\u0002a")))
+
+
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times inside ``body``."""
     return F.transform(F.array(value), body)[0]
@@ -90,8 +96,11 @@ def segment_statistics(df: DataFrame, keys: list[str], hyp: str = "mt", ref: str
                        tokenize: str = "zh") -> DataFrame:
     """Per row: token counts of both sides and clipped matches for orders 1 to 4."""
     tokens = df.select(
-        *keys, eval_tokens(F.col(hyp), tokenize).alias("_hyp"), eval_tokens(F.col(ref), tokenize).alias("_ref")
+        *keys, eval_tokens(F.col(hyp), tokenize).alias("_hyp"), eval_tokens(F.col(ref), tokenize).alias("_ref"),
+        (F.contains(F.col(hyp), F.lit(_GLUE)) | F.contains(F.col(ref), F.lit(_GLUE))).alias("_glued"),
     )
+    tokens = tokens.select(*keys, *[
+        F.when(F.col("_glued"), _gluable(F.col(side))).otherwise(F.col(side)).alias(side) for side in ("_hyp", "_ref")])
     counted = tokens.withColumn("_correct", clipped_matches(F.col("_hyp"), F.col("_ref")))
     orders = range(1, MAX_ORDER + 1)
     matches = [F.col("_correct")[order - 1].cast("bigint").alias(f"correct_{order}") for order in orders]

@@ -38,8 +38,8 @@ def direction_error(src: Column, tgt: Column, pivot: str = PIVOT) -> Column:
 def valid_directions(df: DataFrame, pivot: str = PIVOT) -> DataFrame:
     """Rows with a valid direction; any other row fails the job."""
     error = direction_error(F.col("src_lang"), F.col("tgt_lang"), pivot)
-    checked = F.when(error.isNotNull(), F.raise_error(error).cast("string")).otherwise(F.col("src_lang"))
-    return with_default_sides(df, pivot).withColumn("src_lang", checked)
+    checked = F.when(error.isNotNull(), F.raise_error(error).cast("boolean")).otherwise(True)
+    return with_default_sides(df, pivot).filter(checked)
 
 
 def split_directions(df: DataFrame, pivot: str = PIVOT) -> tuple[DataFrame, DataFrame]:

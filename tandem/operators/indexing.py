@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tandem.functions.paths import logical_name, part_number
-from tandem.session import stage
+from tandem.session import Scratch, stage
 
 
 def _numbered(staged: DataFrame, group: list[str], block: list[str], order: list[Column], into: str) -> DataFrame:
     """Turn ``_row`` (increasing inside each block) of a stored table into ``into``, counted from 0."""
-    blocks = staged.groupBy(*group, *block).agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+    place = [F.min("path").alias("path")] if "path" in staged.columns else []
+    blocks = staged.groupBy(*group, *block).agg(
+        F.count("*").alias("_rows"), F.min("_row").alias("_first"), *place)
     before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")
     starts = stage(blocks.select(*group, *block, shift.alias("_shift")), "blocks")
@@ -33,10 +35,12 @@ def number_lines(scan: DataFrame, group: list[str] | None = None, into: str = "l
     ``group`` names the columns inside which numbering restarts (default: the logical file). Files of
     one group are counted in the order of their names, part files in the order of their numbers.
     """
-    located = stage(scan.withColumnRenamed("row", "_row"), "lines")
     path = F.col("path")
+    # a digest of the path keeps the list of blocks small enough to be sent to every task
+    scan = scan.withColumnRenamed("row", "_row").withColumn("_file", F.xxhash64(path))
+    located = stage(scan, "lines")
     order = [logical_name(path), part_number(path), path, F.col("block")]
-    return _numbered(located, ["name"] if group is None else group, ["path", "block"], order, into)
+    return _numbered(located, ["name"] if group is None else group, ["_file", "block"], order, into).drop("path")
 
 
 def number_rows(
@@ -45,17 +49,21 @@ def number_rows(
     """Number table rows from 0 in the order of ``order_by``, restarting for every ``group``.
 
     ``order_by`` must decide the order fully (end it with a unique key). The data is range-sorted by
-    group and order, so one group holding most rows is spread over many tasks.
+    group and order, so one group holding most rows is spread over many tasks. The range sort reads its input
+    twice, so the input is stored first and computed once.
     """
     group = group or []
     ordering = [*group, *order_by]
+    scratch = Scratch(df.sparkSession)
     located = (
-        df.repartitionByRange(*ordering)
+        scratch.stage(df, "unsorted").repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
     )
-    return _numbered(stage(located, "rows"), group, ["_part"], [F.col("_part")], into)
+    rows = stage(located, "rows")
+    scratch.release()
+    return _numbered(rows, group, ["_part"], [F.col("_part")], into)
 
 
 def batch_number(index: Column, batch_size: int) -> Column:

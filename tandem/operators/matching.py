@@ -83,12 +83,22 @@ def token_bests(tokens: DataFrame, keys: list[str], block: int = BLOCK) -> DataF
     )
 
 
-def greedy_match(tokens: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
-    """Precision ``p``, recall ``r`` and their harmonic mean ``f1`` per segment."""
+def greedy_match(
+    tokens: DataFrame, keys: list[str], block: int = BLOCK, segments: DataFrame | None = None
+) -> DataFrame:
+    """Precision ``p``, recall ``r`` and their harmonic mean ``f1`` per segment.
+
+    A segment with a side without tokens has 0 for all three. ``segments`` (of the ``keys``) lists the segments;
+    without it they are those with a token on either side.
+    """
+    segments = (tokens if segments is None else segments).select(*keys).distinct()
     bests = token_bests(tokens, keys, block)
     means = bests.groupBy(*keys).agg(
         F.avg(F.when(F.col("side") == "mt", F.col("best"))).alias("p"),
         F.avg(F.when(F.col("side") == "ref", F.col("best"))).alias("r"),
     )
     harmonic = F.when(F.col("p") + F.col("r") != 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r")))
-    return means.withColumn("f1", F.coalesce(harmonic, F.lit(0.0)))
+    found = segments.join(means, keys, "left")
+    return found.select(
+        *keys, F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("r", F.lit(0.0)).alias("r"),
+        F.coalesce(harmonic, F.lit(0.0)).alias("f1"))

@@ -17,8 +17,9 @@ def union_corpora(corpora: dict[str, DataFrame]) -> DataFrame:
 
 
 def corpus_profile(df: DataFrame, text: str = "text") -> DataFrame:
-    """Rows, characters, mean and longest text per ``source``, and one row over all with source NULL.
+    """Rows, characters, mean and longest text per ``source``, and one row over all with ``is_total``.
 
+    Texts whose source is NULL have a row of their own, which is not the total.
     The totals are rolled up from the per-source rows, so the data is aggregated once.
     """
     length = F.length(text).cast("bigint")
@@ -29,7 +30,7 @@ def corpus_profile(df: DataFrame, text: str = "text") -> DataFrame:
     return (
         per_source.rollup("source")
         .agg(F.sum("rows").alias("rows"), F.sum("chars").alias("chars"), F.max("longest").alias("longest"),
-             F.sum("filled").alias("filled"))
+             F.sum("filled").alias("filled"), (F.grouping_id() == 1).alias("is_total"))
         .withColumn("mean_length", F.col("chars") / F.col("filled"))
         .drop("filled")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["model", "src_lang", "tgt_lang"]
+# The names of a record's metrics.
 METRICS = ["bleu_score", "bert_precision", "bert_recall", "bert_f1", "comet_score"]
 
 
@@ -39,7 +40,10 @@ def evaluation_records(bleu: DataFrame, means: DataFrame) -> DataFrame:
 
 
 def side_by_side(predictions: DataFrame, models: list[str]) -> DataFrame:
-    """Outputs of several models for the same line in one row, with a flag whether all agree."""
+    """Outputs of several models for the same line in one row, with a flag whether all agree.
+
+    A model without the line does not agree with those that have it.
+    """
     line = ["src_lang", "tgt_lang", "line_no"]
     chosen = predictions.filter(F.col("model").isin(models))
     wide = chosen.repartition(*line).groupBy(*line).pivot("model", models).agg(F.first("text"))
@@ -48,12 +52,12 @@ def side_by_side(predictions: DataFrame, models: list[str]) -> DataFrame:
 
 
 def against_baseline(records: DataFrame, base: str, metrics: list[str] | None = None) -> DataFrame:
-    """Every other model's metrics minus those of ``base`` for the same direction."""
+    """Every other model's metrics minus those of ``base`` for the same direction, NULL where base has none."""
     metrics = metrics or METRICS
     baseline = records.filter(F.col("model") == base).select(
         "src_lang", "tgt_lang", *[F.col(m).alias(f"base_{m}") for m in metrics]
     )
-    joined = records.filter(F.col("model") != base).join(baseline, ["src_lang", "tgt_lang"])
+    joined = records.filter(F.col("model") != base).join(baseline, ["src_lang", "tgt_lang"], "left")
     return joined.select(
         *KEY, *metrics, *[f"base_{m}" for m in metrics],
         *[(F.col(m) - F.col(f"base_{m}")).alias(f"delta_{m}") for m in metrics],

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BatchFunction = Callable[[pd.DataFrame], dict[str, Any]]
 
@@ -27,14 +28,14 @@ def score_batches(
     ``make_scorer`` runs once per task, where it may load a model; the function it returns gets a pandas
     frame of at most ``batch_size`` rows and returns one list per output column. All other columns stay
     in their Arrow batch, so rows keep their keys, and order is a matter of keys, never of position.
-    ``partitions`` with ``spread_by`` deals the rows out by key before scoring. Write the result before
+    A call that returns more or fewer values than it got rows fails the job. ``partitions`` with ``spread_by`` deals the rows out by key before scoring. Write the result before
     using it twice: scoring is the expensive step.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     added = T.StructType.fromDDL(outputs)
     schema = T.StructType([*df.schema.fields, *added.fields])
-    added_types = df.sparkSession.createDataFrame([], added).toArrow().schema
+    added_types = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make_scorer()
@@ -45,6 +46,8 @@ def score_batches(
                 rows = frame.iloc[start : start + batch_size].reset_index(drop=True)
                 found = scorer(rows)
                 for name, values in results.items():
+                    if len(found[name]) != len(rows):
+                        raise ValueError(f"{name}: {len(found[name])} values for {len(rows)} rows")
                     values.extend(found[name])
             columns = [pa.array(results[field.name], type=field.type) for field in added_types]
             yield pa.RecordBatch.from_arrays(
@@ -56,6 +59,15 @@ def score_batches(
     return df.mapInArrow(run, schema)
 
 
+def together(*makers: Callable[[], BatchFunction]) -> Callable[[], BatchFunction]:
+    """Several scorers as one, so that their rows pass Python once."""
+    def make() -> BatchFunction:
+        scorers = [maker() for maker in makers]
+        return lambda batch: {name: values for scorer in scorers for name, values in scorer(batch).items()}
+
+    return make
+
+
 def tokenize_batches(
     df: DataFrame, make_tokenizer: Callable[[], Callable[[list[str]], list[list[int]]]],
     text: str = "text", into: str = "ids", batch_size: int = 1000,

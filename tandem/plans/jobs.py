@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from tandem.functions.languages import PIVOT, metric_language
 from tandem.functions.prompts import prompt
 from tandem.functions.text import CHUNK_LENGTH, file_safe, with_markers
-from tandem.operators.alignment import aligned_triples, require_alignment
+from tandem.operators.alignment import aligned_triples, availability, require_alignment
 from tandem.operators.bleu import corpus_bleu
 from tandem.operators.directions import in_all_directions
 from tandem.operators.indexing import first_rows
 from tandem.operators.pairs import languages_of, ordered_pairs, to_long
 from tandem.operators.report import KEY, evaluation_records, segment_means
 from tandem.operators.sampling import shuffled
-from tandem.operators.scoring import BatchFunction, score_batches, score_segments
+from tandem.operators.scoring import BatchFunction, score_batches, together
 from tandem.operators.translation import towards, translate
-from tandem.session import spread, stage
+from tandem.session import stage
 from tandem.sources.lines import load_monolingual, numbered_lines
 from tandem.sources.parallel import load_numbered_dictionaries
 
@@ -49,7 +49,7 @@ def training_examples(
 
 def dictionary_examples(
     spark: SparkSession, paths: list[str], seed: int = 42,
-    formatting: str | Callable[[DataFrame], DataFrame] = "sft",
+    formatting: str | Callable[[DataFrame], DataFrame] = "sft", *, multi_line: bool,
 ) -> DataFrame:
     """CSV dictionaries to shuffled training prompts.
 
@@ -57,7 +57,7 @@ def dictionary_examples(
     out evenly over order and partitions.
     """
     keys = ["source_no", "line_no"]
-    wide = load_numbered_dictionaries(spark, paths)
+    wide = load_numbered_dictionaries(spark, paths, multi_line=multi_line)
     languages = languages_of(wide, keys)
     return training_examples(shuffled(wide, keys, seed), keys, languages, formatting)
 
@@ -98,24 +98,36 @@ def _predictions(scored: DataFrame, run: str, model: str) -> DataFrame:
 
 def evaluate(
     predictions: DataFrame, truth: DataFrame, make_match: Callable[[], BatchFunction],
-    make_system: Callable[[], BatchFunction], strict: bool = False,
-) -> DataFrame:
+    make_system: Callable[[], BatchFunction], strict: bool = False, grid: DataFrame | None = None,
+    partitions: int | None = None,
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Evaluation record of every (model, direction): BLEU, match means, learned system score.
 
     The matching scorer returns p, r and f1 and sees which metric language applies in ``lang``; the
     system scorer returns score. Lines without a partner drop out, unless ``strict`` makes them an error.
-    The aligned lines are stored once; BLEU reads them in one pass and both
-    scorers in another.
+    The aligned lines are stored once; BLEU reads them in one pass and both scorers in another, dealt out to
+    ``partitions`` tasks if given. With a ``grid`` of requested (model, src_lang, tgt_lang) the result is a pair:
+    the records of its cells, and the cells that have no predictions.
     """
+    if grid is not None:
+        asked = grid.withColumns({side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")})
+        cells = stage(availability(asked, predictions.withColumns({
+            side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")})), "cells")
+        wanted = cells.filter("available").drop("available")
+        chosen = predictions.withColumns({side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")}).join(
+            wanted, KEY, "left_semi")
+        return (evaluate(chosen, truth, make_match, make_system, strict, partitions=partitions),
+                cells.filter("NOT available").drop("available"))
     if strict:
         require_alignment(predictions, truth)
     safe = {side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")}
     triples = aligned_triples(
         predictions.withColumns(safe), truth.withColumn("lang", file_safe(F.col("lang")))
     ).withColumn("lang", metric_language(F.col("tgt_lang")))
-    triples = spread(stage(triples, "triples"))
+    triples = stage(triples, "triples")
     scored = score_batches(
-        triples, make_match, ["mt", "ref", "lang"], "p double, r double, f1 double", batch_size=10
+        triples, together(make_match, make_system), ["src", "mt", "ref", "lang"],
+        "p double, r double, f1 double, score double", batch_size=8, partitions=partitions,
+        spread_by=[*KEY, "line_no"] if partitions else None,
     )
-    scored = score_segments(scored, make_system, "score double", batch_size=8)
     return evaluation_records(corpus_bleu(triples, KEY), segment_means(scored, ["p", "r", "f1", "score"]))

@@ -8,9 +8,14 @@ in ``spark.checkpoint.dir`` and read back, so they also survive the loss of any
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for scratch tables: the cluster's checkpoint folder, or where it is unset one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -20,18 +25,24 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet.
 
-    All tables of one application lie in one folder, which can be dropped when the application is over.
-    """
-    return f"{shared_dir(spark)}/tandem-{spark.conf.get('spark.app.id', 'local')}/{label}-{uuid.uuid4().hex}"
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal a scan out to all cores if it has fewer splits than cores; a large scan is left as it is.
-
-    For plain scans only, whose number of partitions is known without running anything.
+    All tables of one application lie in one folder, which can be dropped when the application is over; a
+    ``scratch_scope`` drops those made inside it.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    path = f"{shared_dir(spark)}/tandem-{spark.conf.get('spark.app.id', 'local')}/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all scratch tables made inside it; results must have been written or collected."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            release(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

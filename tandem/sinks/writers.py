@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tandem.functions.text import file_safe, flatten_newlines
+from tandem.functions.text import file_safe, flatten_newlines, one_line
+from tandem.session import Scratch
 
 # The two forms of a run's time stamp.
 RUN_FORMATS = {"compact": "yyyyMMdd-HHmmss", "dashed": "yyyy-MM-dd_HH-mm-ss"}
@@ -26,7 +27,8 @@ def write_lines(
 ) -> None:
     """Write one logical text file per ``name``, lines in the order of ``order_by``.
 
-    A logical file is the folder ``name=X`` of part files, which this package reads back as one file.
+    A logical file is the folder ``name=X`` of part files, which this package reads back as one file. Every
+    line break inside a text becomes a blank, so a text is always one line.
     With ``model`` the files of each model go to its own folder ``model=M``, all in one job. The sort is
     range-partitioned on (model, name, order), so a single huge file is written by many tasks. Range
     sorts read their input twice: pass a stored table, not model output that is still to come.
@@ -34,7 +36,7 @@ def write_lines(
     folders = {"name": name} if model is None else {"model": model, "name": name}
     ordering = [*folders, *order_by]
     lines = df.select(
-        *[value.alias(folder) for folder, value in folders.items()], *order_by, F.col(text).alias("value")
+        *[value.alias(folder) for folder, value in folders.items()], *order_by, one_line(F.col(text)).alias("value")
     )
     (
         lines.repartitionByRange(*ordering)
@@ -48,9 +50,11 @@ def write_lines(
 ROWS_PER_FILE = 1_000_000
 
 
-def write_predictions(df: DataFrame, path: str, newlines: str = "space", mode: str = "append") -> None:
-    """Store (run, model, src_lang, tgt_lang, line_no, text) as Parquet, one folder per run and direction.
+def write_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:
+    """Store (run, model, src_lang, tgt_lang, line_no, text) as Parquet, one folder per run, model and direction.
 
+    What the store holds of the written (run, model, src_lang, tgt_lang) is replaced, all else stays, so
+    writing a run again does not double its lines.
     Every stretch of ``ROWS_PER_FILE`` lines goes its own way, so a direction that holds most rows is
     written by many tasks. The hash shuffle computes the predictions once, where a range sort would
     run the model a second time to sample its keys.
@@ -60,27 +64,32 @@ def write_predictions(df: DataFrame, path: str, newlines: str = "space", mode: s
         "src_lang": file_safe(F.col("src_lang")),
         "tgt_lang": file_safe(F.col("tgt_lang")),
     })
-    partitions = ["run", "src_lang", "tgt_lang"]
+    partitions = ["run", "model", "src_lang", "tgt_lang"]
     (
-        flat.repartition(*partitions, "model", F.floor(F.col("line_no") / ROWS_PER_FILE))
-        .sortWithinPartitions(*partitions, "model", "line_no")
-        .write.mode(mode).partitionBy(*partitions).parquet(path)
+        flat.repartition(*partitions, F.floor(F.col("line_no") / ROWS_PER_FILE))
+        .sortWithinPartitions(*partitions, "line_no")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
     )
 
 
 def export_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:
     """Text export of predictions: a folder per model, a logical file per direction in it."""
-    flat = df.withColumn("text", flatten_newlines(F.col("text"), newlines))
+    flat = df.withColumn("text", one_line(F.col("text"), newlines))
     name = prediction_name(F.col("src_lang"), F.col("tgt_lang"))
     write_lines(flat, path, name, ["line_no"], model=F.col("model"))
 
 
 def export_truth(long: DataFrame, path: str) -> None:
     """Text export of (lang, line_no, text): a logical file ``{language}.txt`` per language."""
-    flat = long.withColumn("text", flatten_newlines(F.coalesce("text", F.lit(""))))
-    write_lines(flat, path, F.concat(file_safe(F.col("lang")), F.lit(".txt")), ["line_no"])
+    filled = long.withColumn("text", F.coalesce("text", F.lit("")))
+    write_lines(filled, path, F.concat(file_safe(F.col("lang")), F.lit(".txt")), ["line_no"])
 
 
 def write_evaluation(records: DataFrame, path: str) -> None:
-    """Evaluation table as one CSV file; it has one row per model and direction."""
-    records.coalesce(1).write.csv(path, header=True)
+    """Evaluation table as one CSV file; it has one row per model and direction.
+
+    The records are stored first, so that only they, and not their computation, pass one task.
+    """
+    scratch = Scratch(records.sparkSession)
+    scratch.stage(records, "evaluation").coalesce(1).write.csv(path, header=True)
+    scratch.release()

@@ -20,8 +20,7 @@ def read_predictions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     Lines are stripped and blank ones kept. Files with another name are passed over.
     """
-    scan = scan_lines(spark, paths)
-    scan = scan.filter(F.col("name").rlike(PREDICTION_NAME)).withColumn("model", parent_name(F.col("path")))
+    scan = scan_lines(spark, paths, name_pattern=PREDICTION_NAME).withColumn("model", parent_name(F.col("path")))
     return number_lines(scan, group=["model", "name"]).select(
         "model",
         F.regexp_extract("name", PREDICTION_NAME, 1).alias("src_lang"),
@@ -45,9 +44,17 @@ def list_predictions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    """(lang, line_no, text) of every ``{language}.txt``."""
-    scan = scan_lines(spark, path)
-    scan = scan.filter(F.col("name").rlike(TRUTH_NAME))
+    """(lang, line_no, text) of every ``{language}.txt``; two files of one name are an error that names them."""
+    scan = scan_lines(spark, path, name_pattern=TRUTH_NAME)
+    places: dict[str, set[str]] = {}
+    for file in scan.inputFiles():  # the listing, not the data
+        folder, _, name = file.rpartition("/")
+        if folder.rpartition("/")[2].startswith("name="):
+            folder, _, name = folder.rpartition("/")
+        places.setdefault(name.removeprefix("name="), set()).add(folder)
+    twice = {name: sorted(folders) for name, folders in places.items() if len(folders) > 1}
+    if twice:
+        raise ValueError(f"more than one truth file of a name: {twice}")
     return number_lines(scan).select(
         F.regexp_extract("name", TRUTH_NAME, 1).alias("lang"), "line_no", strip(F.col("text")).alias("text")
     )

@@ -19,18 +19,23 @@ def read_manifest(spark: SparkSession, path: str) -> list[str]:
     return paths
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str], name_prefix: str = "") -> DataFrame:
+def scan_lines(
+    spark: SparkSession, paths: str | list[str], name_prefix: str = "", name_pattern: str = ""
+) -> DataFrame:
     """All lines of files and folders, untouched, as (name, path, block, row, text).
 
     ``block`` is the offset of the file split and ``row`` increases inside it, so they give the reading
-    order of a file without another pass. ``name_prefix`` is checked against the logical file name,
-    which prunes other files before they are opened. Line breaks are LF, CR LF and CR.
+    order of a file without another pass. ``name_prefix`` and ``name_pattern`` (a regular expression) are
+    checked against the logical file name, which prunes other files before they are opened. Line breaks are
+    LF, CR LF and CR.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = spark.read.option("recursiveFileLookup", "true").text(paths)
     path = F.col("_metadata.file_path")
     if name_prefix:
         raw = raw.filter(logical_name(path).startswith(name_prefix))
+    if name_pattern:
+        raw = raw.filter(logical_name(path).rlike(name_pattern))
     return raw.select(
         logical_name(path).alias("name"),
         path.alias("path"),

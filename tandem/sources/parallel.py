@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tandem.functions.languages import LANGUAGE_NAMES, code_of_file, mapped
 from tandem.functions.text import strip
@@ -14,22 +18,66 @@ from tandem.operators.pairs import zip_columns
 from tandem.sources.lines import read_manifest, scan_lines
 
 
-def read_dictionary(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A CSV file, or folder of part files, whose header names the languages; every column is text.
+HEADER_BYTES = 1 << 16
+READERS = 16
 
-    Empty cells are NULL, the words ``null`` and ``NA`` stay text. A file with quoted line breaks
-    cannot be split, so a large corpus should come as many part files, or, when no cell holds a line
-    break, be read with ``multi_line=False``.
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The first record of a CSV file, from its first bytes."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+    try:
+        data = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(HEADER_BYTES))
+    finally:
+        stream.close()
+    text = data.decode(errors="replace").removeprefix("\ufeff")
+    return tuple(next(csv.reader(io.StringIO(text, newline="")), ()))
+
+
+def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files below the paths, grouped by their header, in the order of the paths.
+
+    Only the listing and the first bytes of each file are read, by some threads of the driver.
     """
-    return spark.read.csv(path, header=True, multiLine=multi_line, escape='"', inferSchema=False)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    listing = {path: sorted(spark.read.text(path).inputFiles()) for path in dict.fromkeys(paths)}
+    files = [file for path in paths for file in listing[path]]
+    with ThreadPool(READERS) as pool:
+        headers = pool.map(lambda file: _header(spark, file), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header:  # an empty file has none, and no rows either
+            groups.setdefault(header, []).append(file)
+    return groups
+
+
+def read_dictionary(
+    spark: SparkSession, paths: str | list[str], *, multi_line: bool, null_words: tuple[str, ...] = ()
+) -> DataFrame:
+    """CSV files, or folders of part files, whose headers name the languages; every column is text.
 
+    Columns go by name, whatever their order in a file: there is one reader per different header, and its rows are
+    NULL where the header lacks a language. Empty cells are NULL; so are cells that hold just one of ``null_words``,
+    while without them words like ``null`` and ``NA`` stay text. The caller says whether cells may hold line breaks
+    (``multi_line``): then a file is read by one task, and a large corpus should come as many part files.
+    """
+    return merge_schemas([
+        _without(spark.read.schema(_schema(header)).csv(
+            files, header=True, multiLine=multi_line, escape='"', enforceSchema=False), null_words)
+        for header, files in files_by_header(spark, paths).items()
+    ])
 
-def _located(table: DataFrame) -> DataFrame:
-    """Add where each row was read, as :func:`tandem.sources.lines.scan_lines` does."""
-    return table.select(
-        "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+
+def _schema(header: tuple[str, ...]) -> StructType:
+    return StructType([StructField(name, StringType()) for name in header])
+
+
+def _without(table: DataFrame, words: tuple[str, ...]) -> DataFrame:
+    if not words:
+        return table
+    return table.select(*[F.when(~F.col(f"`{c}`").isin(*words), F.col(f"`{c}`")).alias(c) for c in table.columns])
 
 
 def merge_schemas(tables: list[DataFrame]) -> DataFrame:
@@ -37,23 +85,34 @@ def merge_schemas(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
 
-def load_dictionaries(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
+def load_dictionaries(
+    spark: SparkSession, paths: list[str], *, multi_line: bool, null_words: tuple[str, ...] = ()
+) -> DataFrame:
     """All CSV dictionaries as one wide table."""
-    return merge_schemas([read_dictionary(spark, path, multi_line) for path in paths])
+    return read_dictionary(spark, paths, multi_line=multi_line, null_words=null_words)
 
 
-def load_numbered_dictionaries(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
+def load_numbered_dictionaries(spark: SparkSession, paths: list[str], *, multi_line: bool) -> DataFrame:
     """The same with (source_no, line_no): which dictionary, and which row of it, counted from 0."""
-    tables = [
-        _located(read_dictionary(spark, path, multi_line)).withColumn("source_no", F.lit(number))
-        for number, path in enumerate(paths)
-    ]
+    number = {file: i for i, path in enumerate(paths) for file in spark.read.text(path).inputFiles()}
+    # listings and rows write the scheme with different numbers of slashes
+    address = F.regexp_replace("path", "^([^:/]+):/+", "$1:/")
+    sources = spark.createDataFrame(list(number.items()), "path string, source_no int").withColumn("path", address)
+    tables = []
+    for header, files in files_by_header(spark, paths).items():
+        table = spark.read.schema(_schema(header)).csv(
+            files, header=True, multiLine=multi_line, escape='"', enforceSchema=False)
+        tables.append(table.select(
+            "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row")).withColumn("path", address).join(sources, "path"))
     return number_lines(merge_schemas(tables), group=["source_no"])
 
 
-def load_dictionary_manifest(spark: SparkSession, manifest: str, multi_line: bool = True) -> DataFrame:
+def load_dictionary_manifest(
+    spark: SparkSession, manifest: str, *, multi_line: bool, null_words: tuple[str, ...] = ()
+) -> DataFrame:
     """The dictionaries whose paths a manifest lists."""
-    return load_dictionaries(spark, read_manifest(spark, manifest), multi_line)
+    return load_dictionaries(spark, read_manifest(spark, manifest), multi_line=multi_line, null_words=null_words)
 
 
 def aligned_lines(

@@ -6,15 +6,16 @@ Between source and sink stand the batch operators ``towards`` and ``translate``,
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
 def incoming_lines(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of lines from files that appear in ``path``."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-        .text(path)
-        .withColumnRenamed("value", "text")
+    """Stream of (text, path, block): lines of files that appear in ``path``, and the file split they stand in."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return lines.select(
+        F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
 
 

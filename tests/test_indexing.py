@@ -1,9 +1,11 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tandem.operators.indexing import batch_number, first_rows, number_lines, number_rows, row_slice
+from tandem.session import scratch_path, scratch_scope
 from tandem.sinks.writers import write_lines
 from tandem.sources.lines import numbered_lines, scan_lines
 
@@ -86,3 +88,20 @@ def test_slices_and_batches(spark):
 def test_empty_inputs(spark, files):
     assert numbered_lines(spark, files({"empty.txt": ""})).count() == 0
     assert number_rows(spark.range(0), ["id"]).count() == 0
+
+
+def test_input_is_computed_once_and_scratch_tables_go(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    root = Path(scratch_path(spark, "probe")).parent
+    before = set(root.iterdir()) if root.exists() else set()
+    with scratch_scope(spark):
+        numbered = number_rows(spark.range(0, 100, 1, 4).mapInArrow(count, "id bigint"), ["id"])
+        assert sorted((r.id, r.row_id) for r in numbered.collect()) == [(i, i) for i in range(100)]
+        assert set(root.iterdir()) - before
+    assert seen.value == 100 and set(root.iterdir()) == before

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tandem.operators import alignment, bleu, report
+from tandem.operators.bleu import corpus_bleu
 from tandem.operators.matching import greedy_match, token_bests
+from tandem.operators.profile import corpus_profile
 from tests.conftest import plan
 from tests.test_text import rules_one_by_one
 
@@ -100,8 +102,8 @@ def test_greedy_match_by_brute_force(spark, block):
     rows = vectors(spark, segments) + [(6, "mt", 0, [0.0] * 8), (6, "ref", 0, [1.0] * 8)]
     df = spark.createDataFrame(rows, "seg bigint, side string, pos int, vec array<float>")
     found = {r.seg: (r.p, r.r, r.f1) for r in greedy_match(df, ["seg"], block).collect()}
-    assert set(found) == {1, 2, 4, 5, 6}
-    for seg in found:
+    assert set(found) == {1, 2, 3, 4, 5, 6} and found[3] == (0, 0, 0)
+    for seg in set(found) - {3}:
         unit = {}
         for side in ("mt", "ref"):
             m = np.array([v for s, d, _, v in rows if (s, d) == (seg, side)])
@@ -131,8 +133,12 @@ def test_alignment(spark):
     assert alignment.aligned_pairs(predictions, truth).count() == 9
     counts = {r.tgt_lang: (r.n_src, r.n_mt, r.n_ref, r.aligned) for r in alignment.alignment_report(predictions, truth).collect()}
     assert counts == {"A": (5, 5, 5, True), "B": (5, 4, 5, False), "C": (5, 1, 0, False)}
-    with pytest.raises(ValueError, match=r"m A->B \(5/4/5\)"):
+    with pytest.raises(ValueError, match=r"2 misaligned directions: m A->B \(5/4/5\); m A->C"):
         alignment.require_alignment(predictions, truth)
+    with pytest.raises(ValueError, match=r"2 misaligned directions: m A->B \(5/4/5\)$"):
+        alignment.require_alignment(predictions, truth, shown=1)
+    flags = alignment.availability(predictions.select("model", "src_lang", "tgt_lang").distinct(), predictions.limit(0))
+    assert flags.filter("available").count() == 0 and flags.count() == 3
     alignment.require_alignment(predictions.filter("tgt_lang = 'A'"), truth)
     grid = spark.createDataFrame([("m", "A", "B"), ("m", "B", "D")], "model string, src_lang string, tgt_lang string")
     assert [r.tgt_lang for r in alignment.available(grid, predictions).collect()] == ["B"]
@@ -149,17 +155,42 @@ def test_leaderboard_ties(spark):
     assert {(r.tgt_lang, r.model) for r in board if r.best_model} == {("B", "x"), ("B", "z"), ("A", "y")}
     deltas = report.against_baseline(df, "x", ["bleu_score"]).collect()
     assert sorted((r.model, r.tgt_lang, r.delta_bleu_score) for r in deltas) == [("y", "A", 1.0), ("y", "B", -1.0), ("z", "B", 0.0)]
+    lonely = report.against_baseline(df.filter("model <> 'x' OR tgt_lang = 'B'"), "x", ["bleu_score"]).collect()
+    assert {(r.model, r.tgt_lang): r.delta_bleu_score for r in lonely} == {
+        ("y", "A"): None, ("y", "B"): -1.0, ("z", "B"): 0.0}
     table = report.score_table(df, ["x", "y", "z"]).filter("tgt_lang = 'A'").first()
     assert (table.x, table.y, table.z) == (1.0, 2.0, None)
 
 
 def test_side_by_side(spark):
-    rows = [("m", "A", "B", 0, "s"), ("n", "A", "B", 0, "s"), ("m", "A", "B", 1, "s"), ("n", "A", "B", 1, "t")]
+    rows = [("m", "A", "B", 0, "s"), ("n", "A", "B", 0, "s"), ("m", "A", "B", 1, "s"), ("n", "A", "B", 1, "t"),
+            ("m", "A", "B", 2, "s")]
     df = spark.createDataFrame(rows, "model string, src_lang string, tgt_lang string, line_no bigint, text string")
     found = report.side_by_side(df, ["m", "n"]).orderBy("line_no").collect()
-    assert [(r.m, r.n, r.same) for r in found] == [("s", "s", True), ("s", "t", False)]
+    assert [(r.m, r.n, r.same) for r in found] == [("s", "s", True), ("s", "t", False), ("s", None, False)]
 
 
 def test_rounding_is_half_up(spark):
     df = spark.createDataFrame([(2.675,), (0.125,)], "v double")
     assert [r[0] for r in df.select(report.rounded(F.col("v"))).collect()] == [2.68, 0.13]
+
+
+def test_tokens_with_control_characters_are_not_confused(spark):
+    rows = [("k", "w x\u0001y z", "w x y\u0001z"), ("l", "a\u0001 \u0002b", "a\u0002a b"), ("m", "x\u0001y z", "x\u0001y z")]
+    df = spark.createDataFrame(rows, "model string, mt string, ref string")
+    found = {r.model: r.correct for r in corpus_bleu(df, ["model"]).collect()}
+    assert found["k"][1:] == [0, 0, 0] and found["l"][1] == 0 and found["m"][1] == 1
+
+
+def test_two_truth_texts_for_one_line(spark):
+    truth = spark.createDataFrame([*TRUTH, ("A", 2, "again")], "lang string, line_no bigint, text string")
+    predictions = spark.createDataFrame(
+        [("m", "A", "B", 2, "t")], "model string, src_lang string, tgt_lang string, line_no bigint, text string")
+    with pytest.raises(Exception, match="two truth texts of one language for line 2"):
+        alignment.aligned_triples(predictions, truth).collect()
+
+
+def test_a_null_source_is_not_the_total(spark):
+    df = spark.createDataFrame([("a", "xx"), (None, "yyy")], "source string, text string")
+    found = {(r.source, r.is_total): r.chars for r in corpus_profile(df).collect()}
+    assert found == {("a", False): 2, (None, False): 3, (None, True): 5}

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from tandem.functions import prompts
 from tandem.operators import directions, pairs
+from tandem.operators.directions import valid_directions
+from tandem.operators.pairs import zip_columns
 from tandem.plans.jobs import dictionary_examples, training_examples
 from tests.conftest import plan
 
@@ -108,9 +110,22 @@ def test_training_examples_are_row_local_and_accept_a_function(wide):
 
 def test_dictionary_examples_scatter_copies(spark, files):
     root = files({"a.csv": "A,B\n" + "x,y\n" * 300 + "".join(f"p{i},q{i}\n" for i in range(300))})
-    found = [r.prompt for r in dictionary_examples(spark, [f"{root}/a.csv"]).collect()]
-    again = [r.prompt for r in dictionary_examples(spark, [f"{root}/a.csv"]).collect()]
+    found = [r.prompt for r in dictionary_examples(spark, [f"{root}/a.csv"], multi_line=True).collect()]
+    again = [r.prompt for r in dictionary_examples(spark, [f"{root}/a.csv"], multi_line=True).collect()]
     assert found == again and len(found) == 1200
     copies = [i for i, text in enumerate(found) if "\nx<" in text or "\ny<" in text]
     assert len(copies) == 600 and min(copies) < 100 and max(copies) > 1100
     assert sum(b - a > 3 for a, b in zip(copies, copies[1:])) > 30
+
+
+def test_checks_hold_whatever_is_selected(spark):
+    long = spark.createDataFrame([(0, "en", "a"), (0, "fr", "b"), (1, "en", "c")], "line_no bigint, lang string, text string")
+    uneven = zip_columns(long, ["en", "fr"], strict=True)
+    even = zip_columns(long.filter("line_no = 0"), ["en", "fr"], strict=True)
+    asked = spark.createDataFrame([("A", "B", 1)], "src_lang string, tgt_lang string, n int")
+    for action in (lambda df: df.count(), lambda df: df.select(df.columns[-1]).collect()):
+        assert action(even)
+        with pytest.raises(Exception, match="line 1 is missing for fr"):
+            action(uneven)
+        with pytest.raises(Exception, match="either side must be"):
+            action(valid_directions(asked))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tandem.catalog.evaluation import jaccard_scorer, overlap_scorer
 from tandem.catalog.scoring import code_point_tokenizer, labelled_scorer, reversing_scorer
-from tandem.operators.scoring import score_batches, score_segments, tokenize_batches
+from tandem.operators.scoring import score_batches, score_segments, together, tokenize_batches
 from tandem.operators.translation import towards, translate
 from tandem.plans.jobs import evaluate, monolingual_corpus, translate_file, translation_run
 from tandem.session import scratch_path, shared_dir, stage
@@ -130,6 +130,18 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_dir(spark) == folder and scratch_path(spark, "x").startswith(f"{folder}/tandem-local-")
     assert "/t-" in stage(spark.range(3), "t").inputFiles()[0]
     assert shared_dir(FakeSession(spark_checkpoint_dir="hdfs://h/c/", spark_master="yarn")) == "hdfs://h/c"
-    with pytest.raises(RuntimeError):
-        shared_dir(FakeSession(spark_master="spark://h:7077"))
-    assert "tandem-" in shared_dir(FakeSession(spark_master="local[2]", spark_app_id="a"))
+    assert shared_dir(FakeSession(spark_sql_warehouse_dir="hdfs://h/w")) == "hdfs://h/w"
+
+
+def test_a_wrong_number_of_values_is_an_error(spark):
+    def one_off():
+        return lambda batch: {"result": ["x"] * (len(batch) + (1 if batch["id"][0] == 0 else -1))}
+
+    with pytest.raises(Exception, match="result: 3 values for 2 rows"):
+        score_batches(spark.range(0, 4, 1, 1), one_off, ["id"], "result string").collect()
+
+
+def test_two_scorers_in_one_pass(spark):
+    makers = [lambda: lambda batch: {"a": (batch["id"] + 1).tolist()}, lambda: lambda batch: {"b": (batch["id"] * 2).tolist()}]
+    found = score_batches(spark.range(5), together(*makers), ["id"], "a bigint, b bigint")
+    assert sorted(map(tuple, found.collect())) == [(i, i + 1, 2 * i) for i in range(5)]

@@ -44,12 +44,12 @@ def dictionaries(files):
 
 def test_dictionaries_quotes_nulls_and_schema_union(spark, files):
     paths = dictionaries(files)
-    found = parallel.load_dictionaries(spark, paths)
+    found = parallel.load_dictionaries(spark, paths, multi_line=True)
     assert found.columns == ["Cantonese", "English", "Traditional Chinese"]
     assert set(map(tuple, found.collect())) == {
         ('佢話"好"', 'he said "fine"', None), ("兩\n行", "two lines", None), (None, "empty", None),
         (None, "missing", None), ("null", "NA", None), ("係", None, "是")}
-    numbered = parallel.load_numbered_dictionaries(spark, paths)
+    numbered = parallel.load_numbered_dictionaries(spark, paths, multi_line=True)
     assert sorted((r.source_no, r.line_no, r.Cantonese) for r in numbered.collect() if r.Cantonese) == [
         (0, 0, '佢話"好"'), (0, 1, "兩\n行"), (0, 4, "null"), (1, 0, "係")]
 
@@ -57,7 +57,7 @@ def test_dictionaries_quotes_nulls_and_schema_union(spark, files):
 def test_dictionary_manifest(spark, files, tmp_path):
     paths = dictionaries(files)
     (tmp_path / "manifest.txt").write_text("\n".join(paths))
-    assert parallel.load_dictionary_manifest(spark, str(tmp_path / "manifest.txt")).count() == 6
+    assert parallel.load_dictionary_manifest(spark, str(tmp_path / "manifest.txt"), multi_line=True).count() == 6
 
 
 ALIGNED = {
@@ -130,3 +130,59 @@ def test_run_stamps(spark):
     df = spark.sql("select timestamp_ntz'2024-07-09 21:59:54' as ts")
     assert df.select(writers.run_stamp(F.col("ts")), writers.run_stamp(F.col("ts"), "compact")).first()[:] == (
         "2024-07-09_21-59-54", "20240709-215954")
+
+
+def test_texts_stay_on_their_lines(spark, tmp_path):
+    rows = [("r", "m", "A", "B", 0, "one\rtwo\r\nthree\nfour"), ("r", "m", "A", "B", 1, "five")]
+    schema = "run string, model string, src_lang string, tgt_lang string, line_no bigint, text string"
+    for mode in ("space", "remove", "none"):
+        path = str(tmp_path / mode)
+        writers.export_predictions(spark.createDataFrame(rows, schema), path, mode)
+        found = {r.line_no: r.text for r in evaluation.read_predictions(spark, path).collect()}
+        assert found == {0: "onetwothreefour" if mode == "remove" else "one two three four", 1: "five"}
+    truth = spark.createDataFrame([("A", 0, "a\rb"), ("A", 1, None), ("A", 2, "c")], "lang string, line_no bigint, text string")
+    writers.export_truth(truth, str(tmp_path / "truth"))
+    assert {r.line_no: r.text for r in evaluation.read_truth(spark, str(tmp_path / "truth")).collect()} == {0: "a b", 1: "", 2: "c"}
+
+
+def test_a_run_written_again_replaces_itself(spark, tmp_path):
+    schema = "run string, model string, src_lang string, tgt_lang string, line_no bigint, text string"
+    path = str(tmp_path / "store")
+
+    def write(model, texts):
+        rows = [("r", model, "A", "B", i, text) for i, text in enumerate(texts)]
+        writers.write_predictions(spark.createDataFrame(rows, schema), path)
+
+    write("m", ["old", "old", "old"])
+    write("n", ["other"])
+    write("m", ["new", "new"])
+    found = spark.read.schema(schema).parquet(path).collect()
+    assert sorted((r.model, r.line_no, r.text) for r in found) == [("m", 0, "new"), ("m", 1, "new"), ("n", 0, "other")]
+
+
+def test_columns_go_by_name_in_every_file(spark, files):
+    root = files({"d/1.csv": "en,fr\nhello,bonjour\n", "d/2.csv": 'fr,en\n"sa\nlut",hi\n', "d/3.csv": "en\nNA\n", "d/4.csv": ""})
+    found = parallel.read_dictionary(spark, f"{root}/d", multi_line=True)
+    assert sorted((r.en, r.fr or "") for r in found.collect()) == [("NA", ""), ("hello", "bonjour"), ("hi", "sa\nlut")]
+    blank = parallel.read_dictionary(spark, f"{root}/d", multi_line=True, null_words=("NA",))
+    assert blank.filter("en IS NULL").count() == 1
+    many = files({f"m/{i}.csv": f"en,de\nx{i},y{i}\n" for i in range(30)}, "in2")
+    merged = parallel.load_dictionaries(spark, [f"{many}/m/{i}.csv" for i in range(30)], multi_line=False)
+    assert merged.count() == 30 and "Union" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    numbered = parallel.load_numbered_dictionaries(spark, [f"{many}/m/3.csv", f"{root}/d"], multi_line=True)
+    assert sorted((r.source_no, r.line_no, r.en) for r in numbered.collect()) == [
+        (0, 0, "x3"), (1, 0, "hello"), (1, 1, "hi"), (1, 2, "NA")]
+
+
+def test_truth_files_of_one_name_are_refused(spark, files):
+    root = files({"a/English.txt": "x\n", "b/English.txt": "y\n"})
+    with pytest.raises(ValueError, match="English.txt"):
+        evaluation.read_truth(spark, root)
+
+
+def test_other_files_are_not_opened(spark, files):
+    root = files({"m/A_to_B.txt": "x\n", "m/notes.txt": "y\n"})
+    found = evaluation.scan_lines(spark, root, name_pattern=evaluation.PREDICTION_NAME)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "file_path" in plan[plan.index("Filters: ["):].split("]")[0]
+    assert [r.text for r in found.collect()] == ["x"]
