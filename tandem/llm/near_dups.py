@@ -3,9 +3,10 @@
 Documents with equal shingle sets are one class from the start. A class's representative has a MinHash signature;
 each (coordinate, value) pair is a token with a posting list. A pair of documents above the similarity has at least
 ``matches`` tokens in common, so it meets in a list of the first ``coordinates - matches + 1`` tokens of each, counted
-from the rarest: the longest lists are skipped. In a list all members are first paired with one hub; what the
-confirmed links join needs no further pairs. Of the others those go that have too few shingles in common with other
-components to be linked with any, and members of different components of a list are paired then.
+from the rarest: the longest lists are skipped. In a list all members are first paired with one hub, then, where the
+confirmed links have not joined the list, with the member whose shingles most others have. What is left are pairs of
+different components; of these those go that cannot have enough in common, by what each shares with the hub and
+with other components besides.
 """
 
 from __future__ import annotations
@@ -129,11 +130,11 @@ def _lists_of_several(postings: DataFrame) -> DataFrame:
         F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token")
 
 
-def _outward(sets: DataFrame) -> DataFrame:
-    """Per set of (id, shingles, component): id, size and outward, the shingles that another component also has.
+def outward_sets(sets: DataFrame) -> DataFrame:
+    """Per set of (id, shingles, component): id, own (the set's number), component, size, outward and popularity.
 
-    A link to another component has no more than these in common, so x is linked with no document of another component
-    if ``outward(x) < similarity * |union|``, and the union has at least as many shingles as both sets less those.
+    ``outward`` holds the shingles that a document of another component also has: a link to another component has
+    none but these in common. ``popularity`` is high for a text that others are copies of.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -147,10 +148,32 @@ def _outward(sets: DataFrame) -> DataFrame:
     found = sets.select("id", F.xxhash64("shingles").alias("own"), "component", "shingles").mapInArrow(
         run, "id bigint, own bigint, component bigint, shingle bigint")
     shared = found.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select(
-        "shingle", F.lit(1).alias("shared"))
-    return found.join(shared, "shingle", "left").groupBy("id", "own").agg(
-        F.count("*").alias("size"), F.count("shared").alias("outward")).drop("own")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    ).filter("low < high").select("shingle", F.log2("n").alias("weight"))
+    return found.join(shared, "shingle", "left").groupBy("id", "own", "component").agg(
+        F.count("*").alias("size"), F.sort_array(F.collect_list(F.when(F.col("weight").isNotNull(), F.col("shingle"))))
+        .alias("outward"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("popularity"))
+
+
+def beside_hub(pairs: DataFrame) -> DataFrame:
+    """Per row of (id, own, hub, outward, shingles of the hub): inside and outside, the outward shingles that the hub
+    has and those that it lacks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            inside, outside = [], []
+            for outward, shingles in zip(batch.column("outward"), batch.column("shingles")):
+                values = outward.values.to_numpy().view(np.uint64)
+                hub = np.frombuffer(shingles.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(hub, values), len(hub) - 1)
+                inside.append(int(np.count_nonzero(hub[at] == values)))
+                outside.append(len(values) - inside[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in ("id", "own", "hub")), pa.array(inside, pa.int64()),
+                 pa.array(outside, pa.int64())], names=["id", "own", "hub", "inside", "outside"])
+
+    return pairs.select("id", "own", "hub", "outward", "shingles").mapInArrow(
+        run, "id bigint, own bigint, hub bigint, inside bigint, outside bigint")
 
 
 def near_duplicates(
@@ -207,22 +230,47 @@ def near_duplicates(
     first = scratch.stage(confirmed(colliding(stars), sets, percent), "first")
     joined = components(first, scratch, "joined")
 
-    # what is left: members of one list that the links of the hubs have not joined
-    placed = scratch.stage(postings.select("id", "token").join(joined, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")), "placed")
-    rest = placed.join(_lists_of_several(placed), "token", "left_semi")
-    bounds = _outward(sets.join(rest.select("id", "component").distinct(), "id"))
-    bounded = scratch.stage(rest.join(bounds, "id"), "bounded")
-    able = scratch.stage(bounded.join(bounded.groupBy("token").agg(F.min("size").alias("least")), "token").filter(
-        F.col("outward") * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("least"), "able")
-    able = able.join(_lists_of_several(able), "token", "left_semi")
+    # lists that the links of the hubs have not joined: once more with the hub whose shingles most others have
+    def placed(lists_: DataFrame, labels: DataFrame) -> DataFrame:
+        return lists_.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    members_left = placed(postings.select("id", "token"), joined)
+    rest = scratch.stage(members_left.join(_lists_of_several(members_left), "token", "left_semi"), "rest")
+    outward = scratch.stage(
+        outward_sets(sets.join(rest.select("id", "component").distinct(), "id")), "outward")
+    lists_left = rest.select("token", "id").join(outward.drop("outward"), "id")
+    chosen_hubs = lists_left.groupBy("token").agg(F.max(F.struct("popularity", "id", "component", "size")).alias("best"))
+    hubbed = scratch.stage(lists_left.join(chosen_hubs, "token").select(
+        "token", "id", "own", "component", "size", F.col("best.id").alias("hub"),
+        F.col("best.component").alias("hub_component"), F.col("best.size").alias("hub_size")), "hubbed")
+    beside = scratch.stage(beside_hub(
+        hubbed.select("id", "own", "hub").distinct().join(outward.select("id", "own", "outward"), ["id", "own"]).join(
+            sets.select(F.col("id").alias("hub"), "shingles"), "hub")), "beside")
+    measured = hubbed.join(beside, ["id", "own", "hub"])
+    # a document and a hub of different components have only outward shingles in common
+    second = scratch.stage(measured.filter(
+        (F.col("component") != F.col("hub_component"))
+        & (F.col("inside") * (100 + percent) >= (F.col("size") + F.col("hub_size")) * percent)
+    ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "second")
+    joined = components(first.unionByName(second), scratch, "rejoined")
+
+    # what is left then: pairs across components that could share enough, each in one list
+    across = placed(measured.select("token", "id", "size", "inside", "outside"), joined)
+    across = scratch.stage(across.join(_lists_of_several(across), "token", "left_semi"), "across")
+    least = across.groupBy("token").agg(F.min("size").alias("least"))
+    able = across.join(least, "token").filter(
+        (F.col("inside") + F.col("outside")) * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("least")
+    able = scratch.stage(able.join(
+        able.groupBy("id").agg(F.sort_array(F.collect_set("token")).alias("tokens")), "id"), "able")
     other = able.select("token", *[F.col(name).alias(f"other_{name}") for name in able.columns if name != "token"])
-    across = able.join(other, "token").filter(
+    most_common = F.least("inside", "other_inside") + F.least("outside", "other_outside")
+    pairs = able.join(other, "token").filter(
         (F.col("component") < F.col("other_component"))
-        & (F.least("outward", "other_outward") * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent)
+        & (most_common * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent)
+        & (F.array_min(F.array_intersect("tokens", "other_tokens")) == F.col("token"))
     ).select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
-    second = confirmed(colliding(across.join(stars, ["a", "b"], "left_anti")), sets, percent)
-    found = components(first.unionByName(second), scratch, "found")
+    third = confirmed(colliding(pairs), sets, percent)
+    found = components(first.unionByName(second).unionByName(third), scratch, "found")
     result = scratch.stage(members.join(
         found.select(F.col("id").alias("rep"), F.col("component").alias("component_id")), "rep", "left"
     ).select(
