@@ -35,12 +35,17 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def token_bests(tokens: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
-    """Best cosine of every token with the other side's tokens of its segment.
+def _whole_segments(tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """Every segment as one pair of blocks, from one shuffle."""
+    cells = F.struct(F.col("pos").cast("bigint").alias("pos"), "vec")
+    gathered = tokens.groupBy(*keys).agg(*[
+        F.collect_list(F.when(F.col("side") == side, cells)).alias(f"_cells_{side}") for side in ("mt", "ref")])
+    both = gathered.filter((F.size("_cells_mt") > 0) & (F.size("_cells_ref") > 0))
+    return both.withColumns({f"_{side}": F.lit(0).cast("bigint") for side in ("mt", "ref")})
 
-    ``tokens`` has the segment ``keys``, side (``mt`` or ``ref``), pos (unique in its segment and side,
-    counted from 0) and vec. A side with no partner gets no row.
-    """
+
+def _block_pairs(tokens: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Every pair of blocks of a segment, keyed by the pair."""
     counts = tokens.groupBy(*keys).agg(*[
         F.floor(F.max(F.when(F.col("side") == side, F.col("pos"))) / block).cast("bigint").alias(f"_last_{side}")
         for side in ("mt", "ref")
@@ -60,7 +65,18 @@ def token_bests(tokens: DataFrame, keys: list[str], block: int = BLOCK) -> DataF
                     F.col("_cells").alias(f"_cells_{side}"))
         )
 
-    met = copies("mt", "ref").join(copies("ref", "mt"), [*keys, "_mt", "_ref"])
+    return copies("mt", "ref").join(copies("ref", "mt"), [*keys, "_mt", "_ref"])
+
+
+def token_bests(tokens: DataFrame, keys: list[str], block: int | None = BLOCK) -> DataFrame:
+    """Best cosine of every token with the other side's tokens of its segment.
+
+    ``tokens`` has the segment ``keys``, side (``mt`` or ``ref``), pos (unique in its segment and side,
+    counted from 0) and vec. A side with no partner gets no row. Segments of any size are cut into blocks of
+    ``block`` tokens, whose vectors are copied once per block of the other side; with ``block=None`` a caller who
+    knows that all segments are small has each gathered whole, which saves the joins.
+    """
+    met = _whole_segments(tokens, keys) if block is None else _block_pairs(tokens, keys, block)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in met.select(*keys).schema.fields)
 
     def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +100,7 @@ def token_bests(tokens: DataFrame, keys: list[str], block: int = BLOCK) -> DataF
 
 
 def greedy_match(
-    tokens: DataFrame, keys: list[str], block: int = BLOCK, segments: DataFrame | None = None
+    tokens: DataFrame, keys: list[str], block: int | None = BLOCK, segments: DataFrame | None = None
 ) -> DataFrame:
     """Precision ``p``, recall ``r`` and their harmonic mean ``f1`` per segment.
 

@@ -96,7 +96,7 @@ def vectors(spark, segments, size=8, seed=1):
             for seg, counts in segments.items() for side, count in zip(("mt", "ref"), counts) for pos in range(count)]
 
 
-@pytest.mark.parametrize("block", [1, 3, 512])
+@pytest.mark.parametrize("block", [1, 3, 512, None])
 def test_greedy_match_by_brute_force(spark, block):
     segments = {1: (5, 7), 2: (1, 1), 3: (0, 4), 4: (23, 2), 5: (40, 50)}
     rows = vectors(spark, segments) + [(6, "mt", 0, [0.0] * 8), (6, "ref", 0, [1.0] * 8)]
