@@ -12,13 +12,13 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     """Per end of a link: id and component, the smallest id reachable. ``links`` has two columns of ids.
 
     Each round hangs the larger neighbours of every id under its smallest one, then does the same with the smaller
-    neighbours, until the links stop changing; links only ever lead to smaller ids. An id that has only itself as
-    component is not listed unless other ids hang under it. The links of an id are never gathered: only minima are.
+    neighbours, until every id hangs under one id that hangs nowhere; links only ever lead to smaller ids. An id that
+    has only itself as component is not listed unless other ids hang under it. The links of an id are never gathered:
+    only minima are.
     """
     a, b = links.columns
     edges = scratch.stage(
         links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v"), label)
-    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -29,9 +29,9 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
             .unionByName(lowest.withColumnRenamed("m", "v")).distinct()
         )
         edges = scratch.stage(small, label)
-        now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        links_, children = edges.agg(F.count("*"), F.count_distinct("u")).first()
+        hung = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi")
+        if links_ == children and hung.isEmpty():
             break
-        before = now
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
