@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 
@@ -60,4 +59,4 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-__all__ = ["SLICE_BYTES", "bytes_of", "has_letter", "lists", "offsets_of", "pc", "slices", "texts_of"]
+__all__ = ["SLICE_BYTES", "bytes_of", "has_letter", "lists", "offsets_of", "slices", "texts_of"]

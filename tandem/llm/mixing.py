@@ -142,9 +142,10 @@ def mixed(
     scratch.release("sources", "positions", "need")
     n_slots = need.agg(F.max("until")).first()[0] or 0
     shards = scratch.stage(_drawn(need, n_slots, shard_slots, seed), "shards")
+    # the rows are few, their slots many: as many tasks as there are shards
     chunks = shards.select("shard", "source_no", (F.col("first") + F.col("n")).alias("end"), F.explode(F.expr(
         f"sequence(first, first + n - 1, {CHUNK}L)")).alias("begin")).repartition(
-        max(1, -(-n_slots // shard_slots)), "source_no", "begin")  # as many tasks as shards: the rows are few, their slots many
+        max(1, -(-n_slots // shard_slots)), "source_no", "begin")
     filled = chunks.select("shard", "source_no", F.explode(F.expr(
         f"sequence(begin, least(end, begin + {CHUNK}) - 1)")).alias("i")).join(need.select("source_no", "source_size", "blocks", "full", "passes", "rest"),
                                                "source_no")
