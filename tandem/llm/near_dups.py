@@ -248,10 +248,11 @@ def near_duplicates(
             sets.select(F.col("id").alias("hub"), "shingles"), "hub")), "beside")
     measured = hubbed.join(beside, ["id", "own", "hub"])
     # a document and a hub of different components have only outward shingles in common
-    second = scratch.stage(measured.filter(
+    beside_enough = measured.filter(
         (F.col("component") != F.col("hub_component"))
         & (F.col("inside") * (100 + percent) >= (F.col("size") + F.col("hub_size")) * percent)
-    ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "second")
+    ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    second = scratch.stage(confirmed(beside_enough, sets, percent), "second")
     joined = components(first.unionByName(second), scratch, "rejoined")
 
     # what is left then: pairs across components that could share enough, each in one list
