@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tandem.llm.arrow import SLICE_BYTES, bytes_of, slices, texts_of
+from tandem.llm.arrow import bytes_of, slices, texts_of
 from tandem.llm.words import PLAIN, cut
 
 WINDOW = 10
@@ -223,7 +223,7 @@ def _marked(rows: DataFrame, text: str, items: DataFrame, item_id: str, item_tex
         def run(batches: Iterable[pa.RecordBatch], phrases: Phrases = phrases,
                 final: bool = final) -> Iterable[pa.RecordBatch]:
             for batch in batches:
-                for piece in slices(batch, text, 4 * SLICE_BYTES):
+                for piece in slices(batch, text):
                     texts = texts_of(piece.column(text))
                     words, hit, names = _hits(texts, phrases)
                     for i, spans in enumerate(piece.column("__spans").to_pylist()):

@@ -193,7 +193,7 @@ def languages_of(documents: DataFrame, parser: CrossParser, id: str = "doc_id",
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 4 * SLICE_BYTES):
+            for part in slices(batch, "_text", 2 * SLICE_BYTES):
                 names, sure = CrossParser(*shared.value).predict(texts_of(part.column("_text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), pa.array(names, pa.string()), pa.array(sure)],
@@ -210,7 +210,7 @@ def identified(documents: DataFrame, parser: CrossParser, text: str = "text") ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, 4 * SLICE_BYTES):
+            for part in slices(batch, text, 2 * SLICE_BYTES):
                 names, _ = CrossParser(*shared.value).predict(texts_of(part.column(text)))
                 yield part.filter(pa.array([name != UNKNOWN for name in names]))
 

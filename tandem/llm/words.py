@@ -78,7 +78,11 @@ class Words:
         up, down = _powers(len(self.data) + 1)
         sums = np.empty(len(self.data) + 1, np.uint64)
         sums[0] = 0
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        terms = self.data.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= up[:-1]
+        np.cumsum(terms, out=sums[1:])
+        del terms
         values = (sums[self.ends] - sums[self.starts]) * down[self.starts]
         return salted(values, 1) ^ (self.ends - self.starts).astype(np.uint64)
 
