@@ -199,13 +199,15 @@ def near_duplicates(
         sketched.select("id", "n_shingles", "digest").join(classes, "digest", "left").drop("digest"), "members")
     chosen = sketched.join(
         classes.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi"
-    ).select("id", "tokens")
+    ).dropDuplicates(["digest", "id"]).select("id", "tokens")
 
     # tokens of more than one representative, and of each representative all but its most frequent
     posted = chosen.select("id", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    # a set: an id with several texts may have a token twice
     ranked = posted.join(shared, "token").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("ranked"), F.sum("n").alias("weight"))
+        F.sort_array(F.collect_set(F.struct("n", "token"))).alias("ranked")
+    ).withColumn("weight", F.expr("aggregate(ranked, 0L, (sum, x) -> sum + x.n)"))
     prefixes = scratch.stage(
         ranked.filter(F.size("ranked") >= matches).select(
             "id", "weight",
@@ -218,7 +220,8 @@ def near_duplicates(
 
     needed = prefixes.select("id")
     tokens = scratch.stage(chosen.join(needed, "id", "left_semi"), "tokens")
-    sets = scratch.stage(set_table(rows.join(needed, "id", "left_semi"), shingle), "sets")
+    # a repeated row is one set: the bounds below count its shingles once
+    sets = scratch.stage(set_table(rows.join(needed, "id", "left_semi"), shingle).distinct(), "sets")
 
     def colliding(pairs: DataFrame) -> DataFrame:
         left = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("left"))

@@ -91,6 +91,24 @@ def test_same_id_with_different_texts(spark):
     assert {r.component_id for r in found.collect()} == {1}
 
 
+def test_near_threshold_group_with_repeated_rows(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    texts = {}
+    for group in range(20):
+        base = rng.choices(words, k=150)
+        for _ in range(30):
+            copy = list(base)
+            for _ in range(rng.choice([1, 2, 3, 4])):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts[rng.randrange(10**9)] = " ".join(copy)
+    wanted, sizes = classes(texts, 3, 85)
+    rows = [row for row in texts.items() for _ in range(rng.choice([1, 1, 2]))]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = near_duplicates(documents, shingle=3, percent=85).collect()
+    assert sorted(tuple(r) for r in found) == sorted((i, sizes[i], wanted[i], wanted[i] == i) for i, _ in rows)
+
+
 def test_least_matches():
     assert 1 <= least_matches(16, 50) < least_matches(16, 90) <= 16
     assert least_matches(64, 85) == 41
