@@ -43,10 +43,12 @@ IMPLIED = {
     "tbody": (TABLE_PARTS, frozenset(["table"])),
     "tfoot": (TABLE_PARTS, frozenset(["table"])),
 }
+# a quote opens a value only behind a name's "=" and if it is closed; any other is a character like the rest
+ATTRIBUTE = re.compile(
+    r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))?+)?+")
 TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)"
-    r"|([^<]+|<)", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+    r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[\s/]++|"
+    + re.sub(r"\((?!\?)", "(?:", ATTRIBUTE.pattern) + r")*+)(?:>|\Z)|([^<]+|<)", re.DOTALL)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 CONCEALED = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
 WIDEST = 80

@@ -31,6 +31,12 @@ from tandem.llm.rendering import render, visible_text
     ("<blockquote>q<p>r</blockquote>s", "  q\n\n  r\n\ns"),
     ("<select><option>o<option>p</select>", "o\np"),
     ("<td>lost<li>item", "lost\n- item"),
+    ("<p title=it's>It's visible</p>", "It's visible"),
+    ("<a href=\"x\"\">say 5\" tall</a>", "say 5\" tall"),
+    ("<p \"title=x\">a</p><i 'b'>b</i> <p =\"hidden\">c</p \"x>d", "a\n\nb\n\nc\n\nd"),
+    ("<p title=\"a\"hidden\">seen<p title='a'hidden>not", "seen"),
+    ("<a href=\"x>never closed</a> <i title = 'a>b'>rest</i>", "never closed rest"),
+    ("<a href=x=\"b>c\">d</a><br/><img alt=/>e", "c\">d\ne"),
 ])
 def test_layout(html, text):
     assert render(html) == text
