@@ -157,13 +157,14 @@ def language_parser(
     """Learns from a bounded sample: per language at most ``sample_documents`` whole texts and ``sample_bytes``.
 
     The sample is spread over the ids by hash and taken in hash order, texts that no longer fit are passed over; with
-    many languages each gets its part of ``all_samples_bytes``. Null languages, texts and ids teach nothing.
+    many languages each gets its part of ``all_samples_bytes``. If no text fits, the start of the shortest is
+    learnt. Repeated rows count once. Null languages, texts and ids teach nothing.
     """
     rows = labelled.select(
         F.col(lang).cast("string").alias("lang"), F.xxhash64(F.col(id)).alias("h"),
         F.col(text).cast("string").alias("text")).filter(F.col("lang").isNotNull() & F.col(id).isNotNull())
     picks = rows.groupBy("lang", F.pmod("h", F.lit(sample_documents)).alias("part")).agg(F.min("h").alias("h"))
-    sample = rows.join(F.broadcast(picks.select("lang", "h")), ["lang", "h"])
+    sample = rows.join(F.broadcast(picks.select("lang", "h")), ["lang", "h"]).distinct()
     languages = rows.select("lang").distinct().count()
     limit = min(sample_bytes, all_samples_bytes // max(1, languages))
 
@@ -175,7 +176,8 @@ def language_parser(
                 kept.append(data)
                 size += len(data) + 1
         if not kept:  # every text is longer than the limit
-            kept = sorted((value.encode() for value in batch["text"].dropna()), key=len)[:1]
+            shortest = sorted((value.encode() for value in batch["text"].dropna()), key=len)[:1]
+            kept = [data[:max(0, limit - 1)].decode(errors="ignore").encode() for data in shortest]
         return pd.DataFrame({"lang": batch["lang"][:1], "sample": [b" ".join(kept)]})
 
     samples = sample.groupBy("lang").applyInPandas(gather, "lang string, sample binary").collect()

@@ -104,7 +104,7 @@ def quality_weights(
 
     Only ids are ranked; the texts of the sample are then read whole and learnt in one task, whose size that bound
     fixes. Other labels, null labels and ids, and labels of no document are left out, a repeated label counts once,
-    null texts count as empty. Without any row all weights are 0 and every score is 0.5.
+    null texts count as empty, repeated rows count once. Without any row all weights are 0 and every score is 0.5.
     """
     marked = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label")).join(
         documents.select(F.col(id).alias("id")), "id", "left_semi").withColumn("h", F.xxhash64("id"))
@@ -113,7 +113,7 @@ def quality_weights(
         for value in (0, 1)]
     texts = documents.select(F.col(id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # at most 2 * sample_per_class ids
-    sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").select("h", "label", "text")
+    sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").select("h", "label", "text").distinct()
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:

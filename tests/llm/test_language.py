@@ -72,6 +72,13 @@ def test_odd_rows(spark):
     assert languages_of(documents.limit(0), parser).count() == 0
 
 
+def test_sample_is_bounded_when_no_text_fits(spark):
+    rows = [(i, "é" + f"word{i} " * 500, "en") for i in range(3)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    parser = language_parser(documents, sample_bytes=100)
+    assert parser.names == ["en"] and 90 <= round(2 ** parser.weights[0]) < 100
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

@@ -40,6 +40,13 @@ def test_odd_rows(spark):
     assert quality_scores(documents.limit(0), weights).count() == 0
 
 
+def test_repeated_rows_teach_once(spark):
+    rows = [(i, f"fine words here number{i}" if i % 2 else f"BAD!! WORDS!! X{i}!!") for i in range(10)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id bigint, quality int")
+    once, often = (spark.createDataFrame(r, "doc_id bigint, text string") for r in (rows, rows + rows[:1] * 40))
+    assert (quality_weights(once, labels) == quality_weights(often, labels)).all()
+
+
 def test_scores_do_not_depend_on_neighbours():
     weights = np.random.default_rng(0).standard_normal(1 << 18).astype(np.float32)
     texts = ["a b", "", "c!! D", "x " * 50]
