@@ -12,6 +12,7 @@ from tandem.catalog.registry import Query
 from tandem.llm.decontaminate import contamination
 from tandem.llm.language import language_parser, languages_of
 from tandem.llm.licenses import license_spans
+from tandem.llm.merkle import build_manifest, folded_proofs
 from tandem.llm.mixing import BLOCK, BUCKETS, MOST_REPEATS, ROUNDS, SALT, SEED, STEPS, mixed
 from tandem.llm.near_dups import near_duplicates
 from tandem.llm.neighbours import nearest
@@ -215,3 +216,77 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_visible_text")
 def op10_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visible_text(table(spark, sf_dir, "pages"))
+
+
+SQL_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: {}))".format(
+    "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END")
+
+
+def sql_crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes; ``crc.steps`` must be in scope."""
+    byte = "CAST('0x' || substr(hex(encode({0})), 2 * CAST(i AS INTEGER) + 1, 2) AS BIGINT)".format(text)
+    step = "xor(c // 256, crc.steps[CAST(xor(c % 256, b) AS INTEGER) + 1])"
+    codes = f"list_prepend(4294967295, list_transform(range(strlen({text})), lambda i: {byte}))"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}), 4294967295)"
+
+
+def sql_field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+@query("op13_merkle_manifest", f"""
+WITH RECURSIVE crc AS (SELECT {SQL_CRC_TABLE} AS steps),
+keyed AS (
+  SELECT d.*, coalesce({sql_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0, false) AS changed FROM documents d, crc),
+leaves AS (
+  SELECT doc_id, lang, sha256({sql_field('doc_id')} || {sql_field('source')} || {sql_field('lang')}
+    || {sql_field('n_chars')} || {sql_field('text')}) AS leaf,
+    sha256({sql_field('doc_id')} || {sql_field('source')} || {sql_field('lang')}
+    || {sql_field('(n_chars + CASE WHEN changed THEN 1 ELSE 0 END)')} || {sql_field('text')}) AS other
+  FROM keyed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+lower AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM lower WHERE len(nodes) > 1),
+subroots AS (
+  SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank
+  FROM lower WHERE len(nodes) = 1),
+upper AS (
+  SELECT 0 AS level, list(subroot ORDER BY rank) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM upper WHERE len(nodes) > 1),
+tops AS (SELECT level AS top_height, nodes[1] AS root FROM upper WHERE len(nodes) = 1),
+levels AS (
+  SELECT lang, level, nodes FROM lower WHERE len(nodes) > 1
+  UNION ALL SELECT s.lang, s.height + u.level, u.nodes FROM subroots s, upper u WHERE len(u.nodes) > 1),
+paths AS (
+  SELECT p.doc_id, p.lang, p.place, p.other, l.level, l.nodes,
+    CASE WHEN l.level < s.height THEN p.place >> l.level ELSE s.rank >> (l.level - s.height) END AS i
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+  JOIN levels l ON p.lang IS NOT DISTINCT FROM l.lang),
+sides AS (
+  SELECT doc_id, lang, place,
+    list({{'l': CASE WHEN i % 2 = 1 THEN nodes[i] ELSE '' END,
+      'r': CASE WHEN i % 2 = 0 THEN coalesce(nodes[i + 2], '') ELSE '' END}} ORDER BY level) AS way
+  FROM paths GROUP BY ALL),
+proved AS (
+  SELECT p.doc_id, p.leaf, s.subroot, t.root,
+    sha256(coalesce(array_to_string(list_transform(w.way, lambda x: x.l || x.r), ''), '')) AS proof_sha256,
+    list_reduce(list_prepend({{'l': p.other, 'r': ''}}, coalesce(w.way, [])),
+      lambda h, x: {{'l': sha256(x.l || h.l || x.r), 'r': ''}}).l AS folded_root
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN tops t
+  LEFT JOIN sides w ON p.lang IS NOT DISTINCT FROM w.lang AND p.place = w.place)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM proved
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = (F.col("n_chars").cast("decimal(38,0)") + 1)
+    manifest = build_manifest(
+        table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+        altered={"n_chars": more}, changed=F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False)))
+    return folded_proofs(spark, manifest).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root", "verified")
