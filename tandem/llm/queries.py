@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tandem.catalog.registry import Query
 from tandem.llm.decontaminate import contamination
+from tandem.llm.impacts import exact_top
 from tandem.llm.language import language_parser, languages_of
 from tandem.llm.licenses import license_spans
 from tandem.llm.merkle import build_manifest, folded_proofs
@@ -18,6 +19,7 @@ from tandem.llm.near_dups import near_duplicates
 from tandem.llm.neighbours import nearest
 from tandem.llm.quality import quality_scores, quality_weights
 from tandem.llm.rendering import visible_text
+from tandem.llm.spelling import variant_groups, word_counts
 from tandem.llm.tokens import token_counts
 from tandem.llm.warc import read_archives, write_archives
 from tandem.session import scratch_path
@@ -218,6 +220,22 @@ def op10_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visible_text(table(spark, sf_dir, "pages"))
 
 
+@query("op12_exact_top", """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""")
+def op12_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).select(
+        "query_id", "rank", "vec_id", "score")
+
+
 SQL_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: {}))".format(
     "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END")
 
@@ -230,6 +248,44 @@ def sql_crc32(text: str) -> str:
     return f"xor(list_reduce({codes}, lambda c, b: {step}), 4294967295)"
 
 
+@query("op11_spelling_variants", f"""
+WITH RECURSIVE crc AS (SELECT {SQL_CRC_TABLE} AS steps),
+runs AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-z\\x{{C0}}-\\x{{FF}}]{{7,}}')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, times, {sql_crc32("(CAST(doc_id AS VARCHAR) || ':' || run)")} AS h FROM runs, crc),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % 31 = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cuts AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+shorter AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT a, b FROM shorter UNION ALL SELECT b, a FROM shorter
+  UNION ALL SELECT x.word, y.word FROM cuts x JOIN cuts y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word),
+best AS (
+  SELECT w.word, count(*) AS n_near, max(o.n) AS most, min(-o.n) AS least,
+    arg_min(o.word, struct_pack(n := -o.n, word := o.word)) AS form
+  FROM words w JOIN near p ON p.a = w.word JOIN words o ON o.word = p.b GROUP BY w.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= 10 * w.n THEN b.form END AS form,
+    CASE WHEN b.most >= 10 * w.n THEN b.most END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+chains AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chains c JOIN formed f ON c.next = f.word)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chains c ON f.word = c.word
+WHERE c.next IS NULL
+""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(word_counts(table(spark, sf_dir, "documents"), garbled=31))
+
+
 def sql_field(value: str) -> str:
     return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
 
