@@ -9,13 +9,13 @@ from tandem.catalog import tables as t
 from tandem.catalog.registry import query
 from tandem.functions.text import chunks, eval_tokens, is_filled
 from tandem.operators import profile
-from tandem.operators.indexing import first_rows, number_rows, row_slice
+from tandem.operators.indexing import first_rows, number_rows
 from tandem.operators.pairs import language_column, to_long
 from tandem.plans.jobs import monolingual_corpus
 from tandem.session import scratch_path, stage
 from tandem.sinks.writers import export_truth, write_lines
 from tandem.sources.evaluation import read_truth
-from tandem.sources.lines import clean_lines, numbered_lines, scan_lines
+from tandem.sources.lines import LineIndex, clean_lines, numbered_lines, scan_lines
 from tandem.sources.parallel import load_aligned, load_dictionaries, load_dictionary_manifest
 
 
@@ -182,7 +182,7 @@ def q07_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT name, line_no, {t.sql_strip('text')} AS text FROM numbered WHERE line_no >= 100 AND line_no < 400
 """)
 def q08_row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_slice(numbered_lines(spark, raw_files(spark, sf_dir)), 100, 400)
+    return LineIndex(spark, raw_files(spark, sf_dir)).lines(100, 400)
 
 
 @query("q08_first_rows", t.with_(t.SQL_WIDE) + "SELECT row_id, de AS text FROM wide WHERE row_id < 50")

@@ -11,36 +11,64 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tandem.functions.paths import logical_name, part_number
-from tandem.session import Scratch, stage
+from tandem.session import Scratch, fixed_splits, stage
 
 
-def _numbered(staged: DataFrame, group: list[str], block: list[str], order: list[Column], into: str) -> DataFrame:
-    """Turn ``_row`` (increasing inside each block) of a stored table into ``into``, counted from 0."""
-    place = [F.min("path").alias("path")] if "path" in staged.columns else []
-    blocks = staged.groupBy(*group, *block).agg(
-        F.count("*").alias("_rows"), F.min("_row").alias("_first"), *place)
+# a broadcast list of blocks has at most this many rows of some 100 bytes: 256 TB in splits of 128 MB
+BROADCAST_BLOCKS = 2_000_000
+CHANGED = "the splits of the files have changed since their lines were counted"
+
+
+def small_list(blocks: DataFrame, rows: int) -> DataFrame:
+    """A list of ``rows`` blocks, to be sent to every task if that is bounded."""
+    return F.broadcast(blocks) if rows <= BROADCAST_BLOCKS else blocks
+
+
+def _starts(blocks: DataFrame, group: list[str], order: list[Column]) -> Column:
+    """The number of rows in all blocks of the group before this one."""
     before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")
-    starts = stage(blocks.select(*group, *block, shift.alias("_shift")), "blocks")
-    return (
-        staged.join(starts, [*group, *block])
-        .withColumn(into, F.col("_row") + F.col("_shift"))
-        .drop("_shift", "_row", *block)
-    )
+    return F.coalesce(F.sum("_rows").over(before), F.lit(0))
 
 
-def number_lines(scan: DataFrame, group: list[str] | None = None, into: str = "line_no") -> DataFrame:
-    """Number the lines of a :func:`tandem.sources.lines.scan_lines` result from 0.
+def line_blocks(scan: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """The file splits of a scan, counted: group, path, file, block, span, first, start and rows.
 
-    ``group`` names the columns inside which numbering restarts (default: the logical file). Files of
-    one group are counted in the order of their names, part files in the order of their numbers.
+    ``start`` is the number of a split's first line in its group (default: the logical file). Files of one group are
+    counted in the order of their names, part files in the order of their numbers. The text is not read into columns;
+    one row per split leaves its task.
     """
+    fixed_splits(scan.sparkSession)
+    group = ["name"] if group is None else group
     path = F.col("path")
-    # a digest of the path keeps the list of blocks small enough to be sent to every task
-    scan = scan.withColumnRenamed("row", "_row").withColumn("_file", F.xxhash64(path))
-    located = stage(scan, "lines")
+    counted = scan.groupBy(*group, "path", "block", "span").agg(
+        F.count("*").alias("_rows"), F.min("row").alias("first"))
     order = [logical_name(path), part_number(path), path, F.col("block")]
-    return _numbered(located, ["name"] if group is None else group, ["_file", "block"], order, into).drop("path")
+    return stage(counted.select(
+        *group, "path", F.xxhash64("path").alias("file"), "block", "span", "first",
+        _starts(counted, group, order).alias("start"), F.col("_rows").alias("rows")), "blocks")
+
+
+def number_lines(
+    scan: DataFrame, group: list[str] | None = None, into: str = "line_no", blocks: DataFrame | None = None
+) -> DataFrame:
+    """Number the lines of a :func:`tandem.sources.lines.scan_lines` result from 0.
+
+    The files are read twice and nothing is written but the list of their splits: one scan counts the lines of each
+    split, the other adds a line's place in its split to the split's start. ``group`` and the order are those of
+    :func:`line_blocks`, whose result may be given as ``blocks``; then only its splits are numbered, with its starts.
+    Splits are held fixed between the scans, and a line that does not fit the counts fails the job.
+    """
+    chosen = blocks is not None
+    blocks = line_blocks(scan, group) if blocks is None else blocks
+    known = small_list(blocks.select(
+        "file", F.col("block").alias("_block"), F.col("span").alias("_span"), "first", "start", "rows"), blocks.count())
+    here = scan.withColumn("_file", F.xxhash64("path"))
+    same = (F.col("_file") == F.col("file")) & (F.col("block") == F.col("_block")) & (F.col("span") == F.col("_span"))
+    place = F.col("row") - F.col("first")
+    number = F.when((place >= 0) & (place < F.col("rows")), place + F.col("start")).otherwise(
+        F.raise_error(F.lit(CHANGED)).cast("bigint"))
+    return here.join(known, same, "inner" if chosen else "left").withColumn(into, number).drop(
+        "_file", "file", "_block", "_span", "first", "start", "rows", "path", "block", "span", "row")
 
 
 def number_rows(
@@ -63,7 +91,11 @@ def number_rows(
     )
     rows = stage(located, "rows")
     scratch.release()
-    return _numbered(rows, group, ["_part"], [F.col("_part")], into)
+    parts = rows.groupBy(*group, "_part").agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+    shift = _starts(parts, group, [F.col("_part")]) - F.col("_first")
+    starts = stage(parts.select(*group, "_part", shift.alias("_shift")), "blocks")
+    return rows.join(starts, [*group, "_part"]).withColumn(into, F.col("_row") + F.col("_shift")).drop(
+        "_shift", "_row", "_part")
 
 
 def batch_number(index: Column, batch_size: int) -> Column:

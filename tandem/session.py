@@ -22,6 +22,16 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/") if configured else spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+def fixed_splits(spark: SparkSession) -> None:
+    """Make files split alike in every job of the session, however many executors it has by then.
+
+    Spark cuts small inputs by the number of cores that it sees when a job starts. That number is noted once; a
+    value that the user has set stays.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet.
 

@@ -104,7 +104,7 @@ def load_numbered_dictionaries(spark: SparkSession, paths: list[str], *, multi_l
             files, header=True, multiLine=multi_line, escape='"', enforceSchema=False)
         tables.append(table.select(
             "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row")).withColumn("path", address).join(sources, "path"))
+            F.col("_metadata.file_block_length").alias("span"), F.monotonically_increasing_id().alias("row")).withColumn("path", address).join(sources, "path"))
     return number_lines(merge_schemas(tables), group=["source_no"])
 
 
