@@ -21,24 +21,25 @@ from tandem.session import Scratch
 BLOCK = 16384
 TILE = 8192
 SEGMENTS = 128
-IMPACTS = 16
-CHECKS = 16
-RESCORED = 8
+IMPACT_BITS = 24
+SUM_BITS = 44
+STEPS = 16
+CHECKS = 8
+RESCORED = 3
 UNKNOWN = -(1 << 62)
 
 
 @dataclass
 class Segments:
-    """A block's index: ids and integer vectors, and per dimension a row of ``order`` and one of ``level``.
+    """A block's index: ids and integer vectors, and per dimension a row of ``order`` and one of ``starts``.
 
-    ``order`` has the vectors' places by ascending value, ``level`` the segments of these entries, ``starts`` the first
-    entry of each segment and the end; ``low`` is a dimension's least value, ``width`` its segments' width.
+    ``order`` has the vectors' places by ascending value, ``starts`` the first entry of each segment and the end;
+    ``low`` is a dimension's least value, ``width`` its segments' width.
     """
 
     ids: np.ndarray
     vectors: np.ndarray
     order: np.ndarray
-    level: np.ndarray
     starts: np.ndarray
     low: np.ndarray
     width: np.ndarray
@@ -48,9 +49,9 @@ class Segments:
         low, high = vectors.min(axis=0), vectors.max(axis=0)
         width = (high - low) // SEGMENTS + 1
         order = np.argsort(vectors, axis=0, kind="stable").T
-        level = ((np.take_along_axis(vectors.T, order, axis=1) - low[:, None]) // width[:, None]).astype(np.uint8)
-        starts = np.array([np.searchsorted(row, np.arange(SEGMENTS + 1)) for row in level], np.int64)
-        return cls(ids, vectors, np.ascontiguousarray(order), level, starts, low, width)
+        segment = (np.take_along_axis(vectors.T, order, axis=1) - low[:, None]) // width[:, None]
+        starts = np.array([np.searchsorted(row, np.arange(SEGMENTS + 1)) for row in segment], np.int64)
+        return cls(ids, vectors, np.ascontiguousarray(order), starts, low, width)
 
     def stored(self) -> dict[str, bytes]:
         return {name: getattr(self, name).astype(kind).tobytes() for name, kind in self.kinds(len(self.ids)).items()}
@@ -60,14 +61,14 @@ class Segments:
         size = len(row["ids"]) // 8
         parts = {name: np.frombuffer(row[name], kind) for name, kind in cls.kinds(size).items()}
         return cls(parts["ids"], parts["vectors"].reshape(size, dimension).astype(np.int64),
-                   parts["order"].reshape(dimension, size), parts["level"].reshape(dimension, size),
-                   parts["starts"].reshape(dimension, SEGMENTS + 1), parts["low"], parts["width"])
+                   parts["order"].reshape(dimension, size).astype(np.int64),
+                   parts["starts"].reshape(dimension, SEGMENTS + 1).astype(np.int64), parts["low"], parts["width"])
 
     @staticmethod
     def kinds(size: int) -> dict[str, type]:
         place = np.uint16 if size <= 1 << 16 else np.int32
-        return {"ids": np.int64, "vectors": np.int32, "order": place, "level": np.uint8, "starts": np.int32,
-                "low": np.int64, "width": np.int64}
+        return {"ids": np.int64, "vectors": np.int32, "order": place, "starts": np.int32, "low": np.int64,
+                "width": np.int64}
 
     def best(self, query: np.ndarray, own: int, k: int, floor: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Places and exact scores of all that may be among the k best and reach ``floor``; entries read."""
@@ -78,41 +79,42 @@ class Segments:
         slope = query * self.width
         # the most a segment adds above the least of its dimension: first + slope * segment
         first = np.where(slope > 0, slope, -slope * SEGMENTS)
-        most = first + np.where(slope > 0, slope * (SEGMENTS - 1), 0)
+        most = np.abs(slope) * SEGMENTS
         base = int((query * np.where(query > 0, self.low, self.low + self.width * SEGMENTS)).sum())
-        total = float(most.sum(dtype=np.float64)) + abs(base)
-        slack = total * 2.0 ** -40 if total >= 2.0 ** 52 else 0.0
-        impacts = (first[:, None] + slope[:, None] * np.arange(SEGMENTS)).astype(np.float64)
-        gained, seen = np.zeros(size), np.zeros(size)
-        gained[self.ids == own] = -np.inf
+        top = int(most.max())
+        # an accumulator holds the sum of quantised impacts, and above it the number of lists that gave them
+        unit = (top >> IMPACT_BITS) + 1
+        impacts = (first[:, None] + slope[:, None] * np.arange(SEGMENTS)) // unit + 1 + (1 << SUM_BITS)
+        sizes = np.diff(self.starts, axis=1)
+        sums = np.zeros(size, np.int64)
+        others = self.ids != own
         steep = np.maximum(np.abs(slope), 1)
         unread = np.where(slope != 0, SEGMENTS, 0)  # segments not read yet, those of least impact
         read = since = 0
-        top = int(most.max())
-        for step in range(IMPACTS - 1, -1, -1):
+        for step in range(STEPS - 1, -1, -1):
             # all segments whose impact exceeds the step's are read by now
-            left = np.minimum(unread, (top // IMPACTS + 1) * step // steep)
-            for d in np.flatnonzero(left < unread):
-                near, far = left[d], unread[d]
-                if slope[d] < 0:
-                    near, far = SEGMENTS - far, SEGMENTS - near
-                begin, end = self.starts[d, near], self.starts[d, far]
-                places = self.order[d, begin:end]
-                gained[places] += impacts[d][self.level[d, begin:end]]
-                seen[places] += 1
-                since += end - begin
+            left = np.minimum(unread, (top // STEPS + 1) * step // steep)
+            near = np.where(slope < 0, SEGMENTS - unread, left)
+            far = np.where(slope < 0, SEGMENTS - left, unread)
+            for d in np.flatnonzero(left < unread).tolist():
+                a, b = int(near[d]), int(far[d])
+                entries = self.order[d, self.starts[d, a]: self.starts[d, b]]
+                np.add.at(sums, entries, np.repeat(impacts[d, a:b], sizes[d, a:b]))
+                since += len(entries)
             unread = left
             if since * CHECKS < size * dimensions and step:
                 continue
             read, since = read + since, 0
             rest = np.abs(slope) * unread  # the next segment of each list
             begun = rest[(rest < most) & (slope != 0)]
-            bound = gained - seen * (begun.min() if len(begun) else 0) + (base + float(rest.sum()) + slack)
+            seen = sums >> SUM_BITS
+            bound = (sums & ((1 << SUM_BITS) - 1)) * unit - seen * (begun.min() if len(begun) else 0) + (
+                base + int(rest.sum()))
             ahead = np.argpartition(bound, -k - 1)[-k - 1:] if size > k + 1 else np.arange(size)
-            exact = np.sort(self.scores(ahead[np.isfinite(bound[ahead])], query))
+            exact = np.sort(self.scores(ahead[others[ahead]], query))
             if len(exact) >= k:
                 floor = max(floor, int(exact[-k]))
-            possible = np.flatnonzero(bound >= floor)
+            possible = np.flatnonzero((bound >= floor) & others)
             if len(possible) * RESCORED <= size or not step:
                 break
         scores = self.scores(possible, query)
@@ -142,7 +144,7 @@ def exact_top(
     spark = vectors.sparkSession
     scratch = Scratch(spark)
     value = F.col(vector).cast("array<double>")
-    largest = F.sqrt(F.lit(2.0 ** 60) / F.greatest(F.size(value), F.lit(1)))
+    largest = F.sqrt(F.lit(2.0 ** 58) / F.greatest(F.size(value), F.lit(1)))
     usable = F.forall(value, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x * scale) < largest), F.lit(False)))
     rows = vectors.select(F.col(id).cast("bigint").alias("id"), queries.alias("asks"), value.alias("v")).filter(
         F.col("id").isNotNull() & F.coalesce(usable & value.isNotNull(), F.lit(False)))
