@@ -15,6 +15,7 @@ from tandem.functions.languages import LANGUAGE_NAMES, code_of_file, mapped
 from tandem.functions.text import strip
 from tandem.operators.indexing import number_lines
 from tandem.operators.pairs import zip_columns
+from tandem.sources.csv_splits import CsvSplits
 from tandem.sources.lines import read_manifest, scan_lines
 
 
@@ -23,17 +24,24 @@ READERS = 16
 
 
 def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """The first record of a CSV file, from its first bytes."""
+    """The first record of a CSV file, from as many of its first bytes as it takes."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
     stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
     codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
     try:
-        data = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(HEADER_BYTES))
+        source, data = codec.createInputStream(stream) if codec else stream, b""
+        while True:
+            more = bytes(source.readNBytes(max(HEADER_BYTES, len(data))))
+            data += more
+            text = data.decode(errors="replace").removeprefix("\ufeff")
+            reader = csv.reader(io.StringIO(text, newline=""))
+            header = tuple(next(reader, ()))
+            # a record that others follow is whole
+            if not more or next(reader, None) is not None:
+                return header
     finally:
         stream.close()
-    text = data.decode(errors="replace").removeprefix("\ufeff")
-    return tuple(next(csv.reader(io.StringIO(text, newline="")), ()))
 
 
 def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -61,11 +69,15 @@ def read_dictionary(
     Columns go by name, whatever their order in a file: there is one reader per different header, and its rows are
     NULL where the header lacks a language. Empty cells are NULL; so are cells that hold just one of ``null_words``,
     while without them words like ``null`` and ``NA`` stay text. The caller says whether cells may hold line breaks
-    (``multi_line``): then a file is read by one task, and a large corpus should come as many part files.
+    (``multi_line``): then splits of a file are read apart by :class:`tandem.sources.csv_splits.CsvSplits`. Without
+    any header the table is empty and has no columns.
     """
+    if multi_line:
+        paths = [paths] if isinstance(paths, str) else list(paths)
+        return _without(CsvSplits(spark, paths).table().drop("source_no", "line_no"), null_words)
     return merge_schemas([
         _without(spark.read.schema(_schema(header)).csv(
-            files, header=True, multiLine=multi_line, escape='"', enforceSchema=False), null_words)
+            files, header=True, escape='"', enforceSchema=False), null_words)
         for header, files in files_by_header(spark, paths).items()
     ])
 
@@ -82,6 +94,8 @@ def _without(table: DataFrame, words: tuple[str, ...]) -> DataFrame:
 
 def merge_schemas(tables: list[DataFrame]) -> DataFrame:
     """Append tables; columns appear in first-seen order and are NULL where a table lacks them."""
+    if not tables:
+        return SparkSession.active().createDataFrame([], StructType([]))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tables)
 
 
@@ -94,6 +108,8 @@ def load_dictionaries(
 
 def load_numbered_dictionaries(spark: SparkSession, paths: list[str], *, multi_line: bool) -> DataFrame:
     """The same with (source_no, line_no): which dictionary, and which row of it, counted from 0."""
+    if multi_line:
+        return CsvSplits(spark, paths).table()
     number = {file: i for i, path in enumerate(paths) for file in spark.read.text(path).inputFiles()}
     # listings and rows write the scheme with different numbers of slashes
     address = F.regexp_replace("path", "^([^:/]+):/+", "$1:/")
@@ -101,10 +117,12 @@ def load_numbered_dictionaries(spark: SparkSession, paths: list[str], *, multi_l
     tables = []
     for header, files in files_by_header(spark, paths).items():
         table = spark.read.schema(_schema(header)).csv(
-            files, header=True, multiLine=multi_line, escape='"', enforceSchema=False)
+            files, header=True, escape='"', enforceSchema=False)
         tables.append(table.select(
             "*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
             F.col("_metadata.file_block_length").alias("span"), F.monotonically_increasing_id().alias("row")).withColumn("path", address).join(sources, "path"))
+    if not tables:
+        return spark.createDataFrame([], "source_no int, line_no bigint")
     return number_lines(merge_schemas(tables), group=["source_no"])
 
 
