@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt over all tasks by key, ahead of column work that costs far more than their shuffle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document: doc_id, lang, source, pos, text."""
     return table(spark, sf_dir, "documents").select(

@@ -71,8 +71,11 @@ def character_counts(df: DataFrame, text: str = "text") -> DataFrame:
 def new_characters(df: DataFrame, vocabulary: DataFrame, text: str = "text", token: str = "token") -> DataFrame:
     """Characters of the corpus that are no entry of ``vocabulary``.
 
-    Only single-character entries can match, and Unicode has 1 114 112 code points, so after
-    de-duplication both sides are bounded whatever the corpus size.
+    Only single-character entries can match, and Unicode has 1 114 112 code points, so the set of known characters is
+    bounded whatever the vocabulary's size. It travels with the plan and is erased from every text, whose other
+    characters alone are exploded and counted.
     """
-    known = vocabulary.filter(F.length(token) == 1).select(F.col(token).alias("ch")).distinct()
-    return character_counts(df, text).join(known, "ch", "left_anti")
+    single = vocabulary.filter(F.length(token) == 1).select(F.col(token).alias("ch")).distinct()
+    known = "".join(sorted(row.ch for row in single.collect()))
+    unknown = F.translate(F.col(text), known, "") if known else F.col(text)
+    return character_counts(df.select(unknown.alias("text")))

@@ -38,11 +38,52 @@ def with_split(df: DataFrame, keys: list[str], test_size: float = 0.1, seed: int
     return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 
+BIN_DIGITS = 4
+
+
+def rank_threshold(df: DataFrame, digest: str, count: int) -> tuple[str, int]:
+    """Where the ``count`` smallest of a column of equally long hex digests end, by radix selection.
+
+    Returns a prefix and how many rows with that prefix are still among them; all rows with smaller prefixes are. Each
+    pass counts the next ``BIN_DIGITS`` digits of the rows in the bin that holds the rank, at most 65 536 counts, and
+    nothing is sorted or stored; a bin that is wanted whole ends the search.
+    """
+    prefix = ""
+    while True:
+        held = df.filter(F.col(digest).startswith(prefix)) if prefix else df
+        digits = F.substring(digest, len(prefix) + 1, BIN_DIGITS)
+        bins = sorted((row.bin, row.n) for row in held.groupBy(digits.alias("bin")).agg(F.count("*").alias("n")).collect())
+        for bin_, rows in bins:
+            if count <= rows:
+                break
+            count -= rows
+        if not bin_:  # the digest is used up: these rows are equal
+            return prefix, count
+        prefix += bin_
+        if count == rows:
+            return prefix, count
+
+
 def with_exact_split(df: DataFrame, keys: list[str], test_size: float = 0.1, seed: int = 42) -> DataFrame:
-    """Like :func:`with_split`, with exactly ``ceil(test_size * rows)`` test rows."""
-    placed = shuffled_positions(df, keys, seed, into="_position")
-    tests = ceil(test_size * placed.count())
-    return placed.withColumn("split", F.when(F.col("_position") < tests, "test").otherwise("train")).drop("_position")
+    """Like :func:`with_split`, with exactly ``ceil(test_size * rows)`` test rows: those first in the seeded order.
+
+    The digest where they end is found by counting, so the keys are read a few times and no row is moved; a costly
+    input should be a stored table. Only where rows of one key lie on both sides are these few numbered.
+    """
+    digested = df.withColumn("_digest", hashing.seeded_digest(seed, *map(F.col, keys)))
+    total = df.count()
+    tests = min(ceil(test_size * total), total)
+    if not tests:
+        return df.withColumn("split", F.lit("train"))
+    prefix, wanted = rank_threshold(digested.select("_digest"), "_digest", tests)
+    here = F.substring("_digest", 1, len(prefix))
+    marked = digested.withColumn("split", F.when(here <= prefix, "test").otherwise("train"))
+    ties = digested.filter(here == prefix)
+    if len(prefix) == 32 and ties.count() > wanted:
+        numbered = number_rows(ties, keys, into="_place")
+        split = F.when(F.col("_place") < wanted, "test").otherwise("train")
+        marked = marked.filter(here != prefix).unionByName(numbered.withColumn("split", split).drop("_place"))
+    return marked.drop("_digest")
 
 
 def completion_point(length: Column, seed: int, *keys: Column) -> Column:

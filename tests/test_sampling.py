@@ -1,5 +1,5 @@
 import hashlib
-from math import floor
+from math import ceil, floor
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +39,24 @@ def test_splits(rows, spark):
     assert counts == {"test": 200, "train": 1795}
 
 
+def test_exact_split_by_radix_selection(spark):
+    # one key holds half of the rows, and lies across the threshold for some sizes
+    keys = [i if i % 2 else 7 for i in range(900)]
+    df = spark.createDataFrame([(k, i, "clash") for i, k in enumerate(keys)], "k bigint, i int, split string").drop("split")
+    order = sorted(keys, key=lambda k: (digest(42, k), k))
+    for size in (0.0, 0.001, 0.1, 0.37, 0.5, 0.77, 1.0):
+        found = sampling.with_exact_split(df, ["k"], size).collect()
+        tests = ceil(size * len(keys))
+        assert len(found) == len(keys)
+        assert sorted(r.k for r in found if r.split == "test") == sorted(order[:tests])
+    assert sampling.with_exact_split(df.limit(0), ["k"]).count() == 0
+
+
+def test_exact_split_moves_no_rows(rows):
+    split = sampling.with_exact_split(rows, ["k"])
+    assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+
+
 def test_completion_pairs(spark):
     texts = ["ab", "abc", "好" * 10, "\U00020bb7" * 7, "x" * 101, " y"]
     df = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string")
