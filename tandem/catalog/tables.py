@@ -28,7 +28,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document: doc_id, lang, source, pos, text."""
-    return table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), "doc_id")
+    return documents.select(
         "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text")
     ).withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -36,7 +37,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines with white space around them and a blank line after each document."""
     padded = F.concat(F.lit(" \t"), F.col("text"), F.lit("　 "))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id").select(
         "doc_id", "source", F.posexplode(F.split(F.concat("text", F.lit("\n")), "\n")).alias("pos", "text")
     ).withColumn("text", padded)
 
@@ -84,7 +85,7 @@ def systems_of(pairs: DataFrame, line: str) -> DataFrame:
 
 def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The systems over all of ``bitext``."""
-    return systems_of(bitext(spark, sf_dir), "seg")
+    return systems_of(spread(bitext(spark, sf_dir), "seg"), "seg")
 
 
 def with_returns(text: Column) -> Column:

@@ -33,19 +33,19 @@ def _starts(blocks: DataFrame, group: list[str], order: list[Column]) -> Column:
 def line_blocks(scan: DataFrame, group: list[str] | None = None) -> DataFrame:
     """The file splits of a scan, counted: group, path, file, block, span, first, start and rows.
 
-    ``start`` is the number of a split's first line in its group (default: the logical file). Files of one group are
-    counted in the order of their names, part files in the order of their numbers. The text is not read into columns;
+    ``start`` is the number of a split's first line in its group (default: the logical file; none: the file itself).
+    Files of one group are counted in the order of their names, part files in the order of their numbers. The text is not read into columns;
     one row per split leaves its task.
     """
     fixed_splits(scan.sparkSession)
-    group = ["name"] if group is None else group
+    group = ["name"] if group is None else [name for name in group if name != "path"]
     path = F.col("path")
     counted = scan.groupBy(*group, "path", "block", "span").agg(
         F.count("*").alias("_rows"), F.min("row").alias("first"))
     order = [logical_name(path), part_number(path), path, F.col("block")]
     return stage(counted.select(
         *group, "path", F.xxhash64("path").alias("file"), "block", "span", "first",
-        _starts(counted, group, order).alias("start"), F.col("_rows").alias("rows")), "blocks")
+        _starts(counted, group or ["path"], order).alias("start"), F.col("_rows").alias("rows")), "blocks")
 
 
 def number_lines(

@@ -30,21 +30,23 @@ def write_lines(
     A logical file is the folder ``name=X`` of part files, which this package reads back as one file. Every
     line break inside a text becomes a blank, so a text is always one line.
     With ``model`` the files of each model go to its own folder ``model=M``, all in one job. The sort is
-    range-partitioned on (model, name, order), so a single huge file is written by many tasks. Range
-    sorts read their input twice: pass a stored table, not model output that is still to come.
+    range-partitioned on (model, name, order), so a single huge file is written by many tasks. A range
+    sort reads its input twice, so the lines are stored first and computed once.
     """
     folders = {"name": name} if model is None else {"model": model, "name": name}
     ordering = [*folders, *order_by]
     lines = df.select(
         *[value.alias(folder) for folder, value in folders.items()], *order_by, one_line(F.col(text)).alias("value")
     )
+    scratch = Scratch(df.sparkSession)
     (
-        lines.repartitionByRange(*ordering)
+        scratch.stage(lines, "unsorted").repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
         .select(*folders, "value")
         .write.partitionBy(*folders)
         .text(path)
     )
+    scratch.release()
 
 
 ROWS_PER_FILE = 1_000_000

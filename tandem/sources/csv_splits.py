@@ -200,22 +200,23 @@ class CsvSplits:
         self.scan = raw.select(
             F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
             F.col("_metadata.file_block_length").alias("span"), F.col("value").alias("text"))
-        effects = stage(self.scan.mapInArrow(_effects, f"path string, block bigint, span bigint, {STATE}"), "effects")
+        effects = self.scan.mapInArrow(_effects, f"path string, block bigint, span bigint, {STATE}")
         self.blocks = stage(self._states(effects), "splits")
-        n_blocks, self.crossing = self.blocks.agg(F.count("*"), F.coalesce(F.bool_or("open"), F.lit(False))).first()
+        no_header = (F.col("block") == 0) & F.col("header").isNull()
+        n_blocks, self.crossing, wide = self.blocks.agg(
+            F.count("*"), *[F.coalesce(F.bool_or(flag), F.lit(False)) for flag in ("open", no_header)]).first()
         if n_blocks > BROADCAST_BLOCKS:
             raise ValueError(f"{n_blocks} file splits; raise spark.sql.files.maxPartitionBytes")
         # the header of a file stands in its first split, unless it is wider than that
-        heads = self.blocks.filter("block = 0").select("path", "header")
-        wide = heads.filter("header IS NULL").select("path")
-        if not wide.isEmpty():
-            found = self._cut_records().join(wide, "path", "left_semi").filter("place < 0")
-            heads = heads.filter("header IS NOT NULL").unionByName(found.select("path", F.col("record").alias("header")))
+        heads = self.blocks.filter("block = 0 AND header IS NOT NULL").select("path", "header")
+        if wide:
+            found = self._cut_records().join(self.blocks.filter(no_header), "path", "left_semi").filter("place < 0")
+            heads = stage(heads.unionByName(found.select("path", F.col("record").alias("header"))), "headers")
         listing = [(file, number) for number, path in enumerate(paths) for file in sorted(spark.read.text(path).inputFiles())]
         sources = spark.createDataFrame(
             [(file, source, number) for number, (file, source) in enumerate(listing)],
             "_file string, source_no int, file_no int").withColumn("_file", F.regexp_replace("_file", ADDRESS, "$1:/"))
-        named = stage(heads.join(sources, F.regexp_replace("path", ADDRESS, "$1:/") == F.col("_file")), "headers")
+        named = heads.join(sources, F.regexp_replace("path", ADDRESS, "$1:/") == F.col("_file"))
         texts = [row.header for row in named.groupBy("header").agg(
             F.min("file_no").alias("first")).orderBy("first").collect()]
         self.headers = [tuple(next(csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")), ())) for text in texts]
@@ -227,9 +228,9 @@ class CsvSplits:
         order = [logical_name(F.col("path")), part_number(F.col("path")), F.col("path"), F.col("block")]
         before = Window.partitionBy("source_no").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         # a file given with two paths is read for each of them
-        self.places = stage(self.blocks.join(files, "path").select(
+        self.places = self.blocks.join(files, "path").select(
             "file", F.col("block").alias("_block"), "header_no", "source_no",
-            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")), "places")
+            F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
 
     @staticmethod
     def _states(effects: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ class LineIndex:
         if blocks is None:
             # fewer files are split otherwise, so they are counted by themselves and moved to where they stand
             begins = wanted.select(F.col("path").alias("_path"), "begin")
-            blocks = line_blocks(scan, ["name", "path"]).join(begins, F.col("path") == F.col("_path")).withColumn(
+            blocks = line_blocks(scan, []).join(begins, F.col("path") == F.col("_path")).withColumn(
                 "start", F.col("start") + F.col("begin"))
         met = blocks.filter((F.col("start") < end) & (F.col("start") + F.col("rows") > start))
         found = row_slice(number_lines(scan, blocks=met), start, end).select("name", "line_no", "text")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tandem.operators.indexing import batch_number, first_rows, number_lines, number_rows, row_slice
 from tandem.session import scratch_path, scratch_scope
 from tandem.sinks.writers import write_lines
-from tandem.sources.lines import numbered_lines, scan_lines
+from tandem.sources.lines import LineIndex, numbered_lines, scan_lines
 
 
 @pytest.fixture
@@ -29,6 +29,34 @@ def test_lines_keep_their_position_over_many_splits(spark, files, small_splits):
     assert found == {(name, i): line for name, lines in contents.items() for i, line in enumerate(lines)}
 
 
+def test_slices_open_only_the_files_they_meet(spark, files, small_splits):
+    contents = {f"name=f{i}.txt/part-0000{p}-x.txt": [f"{i}:{p}:{j}" for j in range(n)]
+                for i in range(3) for p, n in enumerate([400, 0, 1, 900, 300])}
+    root = files({name: "\n".join(lines) for name, lines in contents.items()})
+    index = LineIndex(spark, root)
+    whole = {i: sum((contents[f"name=f{i}.txt/part-0000{p}-x.txt"] for p in range(5)), []) for i in range(3)}
+    for start, end, opened in ((0, 1, 3), (399, 402, 9), (500, 1300, 3), (1299, 1302, 6), (1601, 9999, 0)):
+        found = index.lines(start, end)
+        assert sorted((r.name, r.line_no, r.text) for r in found.collect()) == sorted(
+            (f"f{i}.txt", n, lines[n]) for i, lines in whole.items() for n in range(start, min(end, len(lines))))
+        assert len(found.inputFiles()) - len(index.blocks.inputFiles()) <= opened + len(index.blocks.inputFiles())
+        assert index.files(start, end).count() == opened
+    assert sorted(r.text for r in index.lines(7).collect()) == ["0:0:7", "1:0:7", "2:0:7"]
+
+
+def test_changed_splits_fail_the_job(spark, files):
+    root = files({"a.txt": "line\n" * 5000})
+    numbered = numbered_lines(spark, root)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        with pytest.raises(Exception, match="splits of the files have changed"):
+            numbered.filter("line_no >= 0").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(r.line_no for r in numbered_lines(spark, root).collect()) == list(range(5000))
+
+
 def test_numbering_through_a_group_follows_file_names(spark, files, small_splits):
     root = files({"dev.x": "a\n\nb\n", "devtest.x": "c\r\nd", "dev.y": "e\rf"})
     scan = scan_lines(spark, root, "dev").withColumn("lang", F.split_part("name", F.lit("."), F.lit(2)))
