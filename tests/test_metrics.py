@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tandem.operators import alignment, bleu, report
 from tandem.operators.bleu import corpus_bleu
-from tandem.operators.matching import greedy_match, token_bests
+from tandem.operators.matching import _tiles, greedy_match, token_bests
 from tandem.operators.profile import corpus_profile
 from tests.conftest import plan
 from tests.test_text import rules_one_by_one
@@ -101,7 +101,7 @@ def test_greedy_match_by_brute_force(spark, block):
     segments = {1: (5, 7), 2: (1, 1), 3: (0, 4), 4: (23, 2), 5: (40, 50)}
     rows = vectors(spark, segments) + [(6, "mt", 0, [0.0] * 8), (6, "ref", 0, [1.0] * 8)]
     df = spark.createDataFrame(rows, "seg bigint, side string, pos int, vec array<float>")
-    found = {r.seg: (r.p, r.r, r.f1) for r in greedy_match(df, ["seg"], block).collect()}
+    found = {r.seg: (r.p, r.r, r.f1) for r in greedy_match(df, ["seg"], block, tile=16).collect()}
     assert set(found) == {1, 2, 3, 4, 5, 6} and found[3] == (0, 0, 0)
     for seg in set(found) - {3}:
         unit = {}
@@ -116,7 +116,17 @@ def test_greedy_match_by_brute_force(spark, block):
 
 def test_a_hot_segment_is_spread(spark):
     df = spark.createDataFrame(vectors(spark, {1: (60, 60), 2: (2, 2)}), "seg bigint, side string, pos int, vec array<float>")
-    assert token_bests(df, ["seg"], 4).count() == 124
+    bests = token_bests(df, ["seg"], 4, tile=8)
+    assert bests.count() == 124
+    assert bests.groupBy("seg", "side", "pos").count().count() == 124
+
+
+def test_vectors_cross_once_per_tile_of_the_other_side(spark):
+    df = spark.createDataFrame(vectors(spark, {1: (60, 90), 2: (2, 2)}), "seg bigint, side string, pos int, vec array<float>")
+    large = df.filter("seg = 1").select("seg").distinct()
+    for tile, copies in ((128, 150), (45, 60 * 2 + 90 * 2), (30, 60 * 3 + 90 * 2)):
+        ends = large.withColumns({"_last_mt": F.lit(59 // tile), "_last_ref": F.lit(89 // tile)})
+        assert _tiles(df, ends, 1, ["seg"], tile).count() == copies
 
 
 TRUTH = [("A", i, f"a{i}") for i in range(5)] + [("B", i, f"b{i}") for i in range(5)]
