@@ -16,6 +16,7 @@ from tandem.operators.scoring import score_batches, tokenize_batches
 from tandem.operators.translation import towards, translate
 from tandem.plans.jobs import translate_file, translation_run
 from tandem.session import scratch_path
+from tandem.sinks.store import PredictionStore
 from tandem.sinks.writers import write_lines, write_predictions
 from tandem.sources.parallel import load_aligned
 from tandem.streaming.incoming import incoming_lines, start_scoring
@@ -76,6 +77,23 @@ def q24_write_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(predictions.schema).parquet(path)
 
 
+@query("q24_prediction_store", t.with_(t.SQL_BITEXT, t.sql_systems()) + """
+SELECT 'run-1' AS run, model, src_lang, tgt_lang, line_no,
+       CASE WHEN model = 'sparse' THEN 'an earlier run' ELSE replace(mt, chr(10), ' ') END AS text
+FROM systems
+""")
+def q24_prediction_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of the three systems are written again; a write that is never committed is not seen."""
+    store = PredictionStore(spark, scratch_path(spark, "store"))
+    predictions = t.systems(spark, sf_dir).select(
+        F.lit("run-1").alias("run"), "model", "src_lang", "tgt_lang", "line_no", F.col("mt").alias("text"))
+    earlier = predictions.withColumn("text", F.lit("an earlier run"))
+    store.write(earlier)
+    store.write(predictions.filter("model <> 'sparse'"))
+    store.stage(predictions.filter("model = 'sparse'"))
+    return store.read()
+
+
 @query("q28_batch_score", t.with_(t.SQL_BITEXT) + f"""
 SELECT seg, floor(({t.SQL_LINE_NO}) / 8)::BIGINT AS batch, reverse(src) AS src_result, reverse(tgt) AS tgt_result FROM bitext
 """)
@@ -146,9 +164,9 @@ SELECT 'run-1' AS run, 'stub' AS model, src_lang, tgt_lang, line_no, tgt_lang ||
 def q31_translation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = load_aligned(spark, aligned_files(spark, sf_dir), t.CODES)
     predictions = translation_run(wide, t.NAMES, labelled_scorer, "run-1", "stub", pivot="English")
-    path = scratch_path(spark, "run")
-    write_predictions(predictions, path)
-    return spark.read.schema(predictions.schema).parquet(path)
+    store = PredictionStore(spark, scratch_path(spark, "run"))
+    store.write(predictions)
+    return store.read()
 
 
 @query("q33_translate_file", t.with_(t.SQL_BITEXT) + f"""

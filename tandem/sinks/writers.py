@@ -52,26 +52,34 @@ def write_lines(
 ROWS_PER_FILE = 1_000_000
 
 
-def write_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:
-    """Store (run, model, src_lang, tgt_lang, line_no, text) as Parquet, one folder per run, model and direction.
-
-    What the store holds of the written (run, model, src_lang, tgt_lang) is replaced, all else stays, so
-    writing a run again does not double its lines.
-    Every stretch of ``ROWS_PER_FILE`` lines goes its own way, so a direction that holds most rows is
-    written by many tasks. The hash shuffle computes the predictions once, where a range sort would
-    run the model a second time to sample its keys.
-    """
-    flat = df.withColumns({
+def flat_predictions(df: DataFrame, newlines: str = "space") -> DataFrame:
+    """Predictions with texts on one line and names as file names have them."""
+    return df.withColumns({
         "text": flatten_newlines(F.col("text"), newlines),
         "src_lang": file_safe(F.col("src_lang")),
         "tgt_lang": file_safe(F.col("tgt_lang")),
     })
+
+
+def in_stretches(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows sorted for a partitioned write, every stretch of ``ROWS_PER_FILE`` lines of a key in one task.
+
+    A key that holds most rows is written by many tasks. The hash shuffle computes the rows once, where a range sort
+    would run a model a second time to sample its keys.
+    """
+    return df.repartition(*keys, F.floor(F.col("line_no") / ROWS_PER_FILE)).sortWithinPartitions(*keys, "line_no")
+
+
+def write_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:
+    """Write (run, model, src_lang, tgt_lang, line_no, text) as plain Parquet, one folder per run, model and direction.
+
+    What the folder holds of the written (run, model, src_lang, tgt_lang) is replaced, all else stays, so
+    writing a run again does not double its lines. A writer that dies, or two at once, may leave some keys old and some
+    new; :class:`tandem.sinks.store.PredictionStore` changes all of them at once.
+    """
     partitions = ["run", "model", "src_lang", "tgt_lang"]
-    (
-        flat.repartition(*partitions, F.floor(F.col("line_no") / ROWS_PER_FILE))
-        .sortWithinPartitions(*partitions, "line_no")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-    )
+    in_stretches(flat_predictions(df, newlines), partitions).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def export_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:
