@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.catalog import tables as t
-from tandem.catalog.corpora import SQL_ALIGNED, aligned_files, raw_files
+from tandem.catalog.corpora import SQL_ALIGNED, SQL_NUMBERED, aligned_files, raw_files
 from tandem.catalog.registry import query
 from tandem.functions import text as tx
 from tandem.operators.indexing import batch_number, number_rows
@@ -19,7 +19,7 @@ from tandem.session import scratch_path
 from tandem.sinks.store import PredictionStore
 from tandem.sinks.writers import write_lines, write_predictions
 from tandem.sources.parallel import load_aligned
-from tandem.streaming.incoming import incoming_lines, start_scoring
+from tandem.streaming.incoming import incoming_lines, numbered_scores, start_numbered_scoring, start_scoring
 
 
 def reversing_scorer():
@@ -195,3 +195,18 @@ def q40_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = start_scoring(scored, output, scratch_path(spark, "progress"))
     stream.awaitTermination()
     return spark.read.schema(scored.schema).parquet(output)
+
+
+@query("q40_stream_numbered", t.with_(t.SQL_RAW_LINES, SQL_NUMBERED) + """
+SELECT name, line_no, 'Cantonese' AS src_lang, 'English' AS tgt_lang, text, reverse(text) AS result FROM numbered
+""")
+def q40_stream_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored lines know their place in their files; the stream is started again when it has ended."""
+    def score(batch: DataFrame) -> DataFrame:
+        return translate(towards(batch, "English", True), reversing_scorer, batch_size=16).drop("messages")
+
+    lines = incoming_lines(spark, f"{raw_files(spark, sf_dir)}/*", files_per_batch=50)
+    output, progress = scratch_path(spark, "scored"), scratch_path(spark, "progress")
+    for _ in range(2):
+        start_numbered_scoring(lines, score, output, progress).awaitTermination()
+    return numbered_scores(spark, output).select("name", "line_no", "src_lang", "tgt_lang", "text", "result")

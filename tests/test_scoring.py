@@ -7,7 +7,7 @@ from tandem.operators.scoring import score_batches, score_segments, together, to
 from tandem.operators.translation import towards, translate
 from tandem.plans.jobs import evaluate, monolingual_corpus, translate_file, translation_run
 from tandem.session import scratch_path, shared_dir, stage
-from tandem.streaming.incoming import incoming_lines, start_scoring
+from tandem.streaming.incoming import incoming_lines, numbered_scores, start_numbered_scoring, start_scoring
 
 
 def sizing_scorer():
@@ -112,6 +112,39 @@ def test_stream_resumes_after_the_last_batch(spark, files, tmp_path):
         towards(incoming_lines(spark, root), "Cantonese", False)
 
 
+def test_numbered_stream_over_splits_parts_and_a_failure(spark, files, tmp_path):
+    output, checkpoint = str(tmp_path / "out"), str(tmp_path / "progress")
+    contents = {"name=a.txt/part-00001-x.txt": [f"late {i}" for i in range(700)], "b.txt": ["only", "", "two"],
+                "name=a.txt/part-00000-x.txt": [f"early {i}" for i in range(900)]}
+    calls = []
+
+    def score(batch):
+        calls.append(batch)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return translate(towards(batch, "English", False), reversing_scorer).drop("messages")
+
+    def run():
+        lines = incoming_lines(spark, f"{root}/*", files_per_batch=1)
+        start_numbered_scoring(lines, score, output, checkpoint).awaitTermination()
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        for name, lines in contents.items():
+            root = files({name: "\n".join(lines)})
+        with pytest.raises(Exception, match="lost"):
+            run()
+        run()
+        run()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    found = sorted((r.name, r.line_no, r.text, r.result) for r in numbered_scores(spark, output).collect())
+    whole = {"a.txt": contents["name=a.txt/part-00000-x.txt"] + contents["name=a.txt/part-00001-x.txt"],
+             "b.txt": contents["b.txt"]}
+    assert found == [(name, i, text, text[::-1]) for name, lines in whole.items() for i, text in enumerate(lines)]
+
+
 class FakeConf:
     def __init__(self, values):
         self.values = values
