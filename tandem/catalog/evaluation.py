@@ -15,7 +15,7 @@ from tandem.operators.bleu import corpus_bleu
 from tandem.operators.directions import with_grid
 from tandem.operators.indexing import number_rows
 from tandem.operators.scoring import score_segments, together
-from tandem.plans.jobs import evaluate
+from tandem.plans.jobs import evaluate, segment_table
 from tandem.session import scratch_path, stage
 from tandem.sinks.writers import export_predictions, export_truth, write_evaluation, write_lines
 from tandem.sources.evaluation import list_predictions, read_predictions, read_truth
@@ -237,13 +237,13 @@ def q22_segment_means(spark: SparkSession, sf_dir: str) -> DataFrame:
                         *[F.round(c, 6).alias(c) for c in ("p", "r", "f1", "score")])
 
 
+def segments_of(triples: DataFrame) -> DataFrame:
+    return segment_table(triples, overlap_scorer, jaccard_scorer)
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation records of the three systems."""
-    triples = stage(t.systems(spark, sf_dir), "triples")
-    scored = score_segments(
-        triples, together(overlap_scorer, jaccard_scorer), "p double, r double, f1 double, score double", batch_size=8)
-    means = report.segment_means(scored, ["p", "r", "f1", "score"])
-    found = report.evaluation_records(corpus_bleu(triples, KEY), means)
+    found = report.records_of_segments(segments_of(t.systems(spark, sf_dir)))
     return found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)
 
 
@@ -259,6 +259,17 @@ def q23_eval_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).csv(path, header=True)
 
 
+@query("q23_merged_segments", t.with_(*SQL_TABLE_RECORDS) + SQL_SELECT_RECORDS)
+def q23_merged_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of some lines are stored, later those of the others beside them; records roll up from the store."""
+    path = scratch_path(spark, "segments")
+    odd = F.col("line_no") % 2 == 1
+    for lines in (odd, ~odd):
+        segments_of(t.systems(spark, sf_dir).filter(lines)).write.mode("append").parquet(path)
+    found = report.records_of_segments(spark.read.parquet(path))
+    return found.withColumn("comet_score", F.round("comet_score", 6)).select(*KEY, *report.METRICS)
+
+
 @query("q26_side_by_side", t.with_(t.SQL_BITEXT, t.sql_systems()) + """
 SELECT src_lang, tgt_lang, line_no, max(mt) FILTER (model = 'identity') AS identity,
        max(mt) FILTER (model = 'copy') AS "copy", max(mt) FILTER (model = 'sparse') AS sparse,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tandem.functions.text import eval_tokens
 
 MAX_ORDER = 4
+STATISTICS = ["sys_len", "ref_len", *[f"{kind}_{n}" for kind in ("correct", "total") for n in range(1, MAX_ORDER + 1)]]
 _GLUE = "\u0001"
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tandem.operators.bleu import STATISTICS, bleu_from_statistics
+
 KEY = ["model", "src_lang", "tgt_lang"]
 # The names of a record's metrics.
 METRICS = ["bleu_score", "bert_precision", "bert_recall", "bert_f1", "comet_score"]
@@ -20,14 +22,18 @@ def segment_means(scores: DataFrame, columns: list[str], keys: list[str] | None
     return scores.groupBy(*(keys or KEY)).agg(*[F.avg(c).alias(c) for c in columns])
 
 
-def evaluation_records(bleu: DataFrame, means: DataFrame) -> DataFrame:
+def evaluation_records(bleu: DataFrame, means: DataFrame | None = None) -> DataFrame:
     """One row per (model, direction): rounded metrics, the learned system score as it is, raw values beside.
 
-    ``means`` has p, r, f1 and score, each already averaged per key.
+    ``means`` has p, r, f1 and score, each already averaged per key; without it they stand in ``bleu``.
     """
-    joined = bleu.select(*KEY, F.col("bleu").alias("bleu_raw")).join(
-        means.select(*KEY, *[F.col(c).alias(f"{c}_raw") for c in ("p", "r", "f1")],
-                     F.col("score").alias("comet_score")), KEY)
+    if means is None:
+        joined = bleu.withColumnsRenamed({"bleu": "bleu_raw", "p": "p_raw", "r": "r_raw", "f1": "f1_raw",
+                                          "score": "comet_score"})
+    else:
+        joined = bleu.select(*KEY, F.col("bleu").alias("bleu_raw")).join(
+            means.select(*KEY, *[F.col(c).alias(f"{c}_raw") for c in ("p", "r", "f1")],
+                         F.col("score").alias("comet_score")), KEY)
     return joined.select(
         *KEY,
         rounded(F.col("bleu_raw")).alias("bleu_score"),
@@ -39,6 +45,21 @@ def evaluation_records(bleu: DataFrame, means: DataFrame) -> DataFrame:
     )
 
 
+MEANS = ["p", "r", "f1", "score"]
+
+
+def records_of_segments(segments: DataFrame) -> DataFrame:
+    """Evaluation records rolled up from a table of segments: what :func:`evaluation_records` gives, from one shuffle.
+
+    ``segments`` has model, src_lang, tgt_lang, the counts of :func:`tandem.operators.bleu.segment_statistics`, p, r, f1
+    and score. Sums of its rows are all that a record needs, so tables of different lines, systems or runs may be stored
+    apart and appended.
+    """
+    sums = segments.groupBy(*KEY).agg(
+        *[F.sum(name).alias(name) for name in STATISTICS], *[F.avg(name).alias(name) for name in MEANS])
+    return evaluation_records(bleu_from_statistics(sums, [*KEY, *MEANS]))
+
+
 def side_by_side(predictions: DataFrame, models: list[str]) -> DataFrame:
     """Outputs of several models for the same line in one row, with a flag whether all agree.
 

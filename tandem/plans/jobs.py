@@ -11,11 +11,11 @@ from tandem.functions.languages import PIVOT, metric_language
 from tandem.functions.prompts import prompt
 from tandem.functions.text import CHUNK_LENGTH, file_safe, with_markers
 from tandem.operators.alignment import aligned_triples, availability, require_alignment
-from tandem.operators.bleu import corpus_bleu
+from tandem.operators.bleu import segment_statistics
 from tandem.operators.directions import in_all_directions
 from tandem.operators.indexing import first_rows
 from tandem.operators.pairs import languages_of, ordered_pairs, to_long
-from tandem.operators.report import KEY, evaluation_records, segment_means
+from tandem.operators.report import KEY, MEANS, records_of_segments
 from tandem.operators.sampling import shuffled
 from tandem.operators.scoring import BatchFunction, score_batches, together
 from tandem.operators.translation import towards, translate
@@ -96,6 +96,25 @@ def _predictions(scored: DataFrame, run: str, model: str) -> DataFrame:
     )
 
 
+def segment_table(
+    triples: DataFrame, make_match: Callable[[], BatchFunction], make_system: Callable[[], BatchFunction],
+    partitions: int | None = None,
+) -> DataFrame:
+    """Per aligned line its BLEU counts, p, r, f1 and score: all that records need, in one pass over the texts.
+
+    ``triples`` has model, src_lang, tgt_lang, line_no, src, mt and ref. The table has no texts and one row a line; store
+    it, append those of other lines or systems, and roll any report up from it with
+    :func:`tandem.operators.report.records_of_segments`. Lines are dealt by key over ``partitions`` tasks (default: those
+    of any shuffle), since models and BLEU cost far more than that.
+    """
+    partitions = partitions or int(triples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = score_batches(
+        triples.withColumn("lang", metric_language(F.col("tgt_lang"))), together(make_match, make_system),
+        ["src", "mt", "ref", "lang"], "p double, r double, f1 double, score double", batch_size=8, partitions=partitions,
+        spread_by=[*KEY, "line_no"])
+    return segment_statistics(scored, [*KEY, "line_no", *MEANS])
+
+
 def evaluate(
     predictions: DataFrame, truth: DataFrame, make_match: Callable[[], BatchFunction],
     make_system: Callable[[], BatchFunction], strict: bool = False, grid: DataFrame | None = None,
@@ -105,8 +124,7 @@ def evaluate(
 
     The matching scorer returns p, r and f1 and sees which metric language applies in ``lang``; the
     system scorer returns score. Lines without a partner drop out, unless ``strict`` makes them an error.
-    The aligned lines are stored once; BLEU reads them in one pass and both scorers in another, dealt out to
-    ``partitions`` tasks if given. With a ``grid`` of requested (model, src_lang, tgt_lang) the result is a pair:
+    BLEU and both scorers see the aligned lines in one pass, dealt out as :func:`segment_table` does. With a ``grid`` of requested (model, src_lang, tgt_lang) the result is a pair:
     the records of its cells, and the cells that have no predictions.
     """
     if grid is not None:
@@ -123,11 +141,5 @@ def evaluate(
     safe = {side: file_safe(F.col(side)) for side in ("src_lang", "tgt_lang")}
     triples = aligned_triples(
         predictions.withColumns(safe), truth.withColumn("lang", file_safe(F.col("lang")))
-    ).withColumn("lang", metric_language(F.col("tgt_lang")))
-    triples = stage(triples, "triples")
-    scored = score_batches(
-        triples, together(make_match, make_system), ["src", "mt", "ref", "lang"],
-        "p double, r double, f1 double, score double", batch_size=8, partitions=partitions,
-        spread_by=[*KEY, "line_no"] if partitions else None,
     )
-    return evaluation_records(corpus_bleu(triples, KEY), segment_means(scored, ["p", "r", "f1", "score"]))
+    return records_of_segments(segment_table(triples, make_match, make_system, partitions))
