@@ -27,6 +27,7 @@ from tandem.session import Scratch
 
 COORDINATES = 64
 MISSED = 1e-5
+PIECE = 64
 
 
 def least_matches(coordinates: int, percent: int, missed: float = MISSED) -> int:
@@ -266,10 +267,17 @@ def near_duplicates(
         (F.col("inside") + F.col("outside")) * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("least")
     able = scratch.stage(able.join(
         able.groupBy("id").agg(F.sort_array(F.collect_set("token")).alias("tokens")), "id"), "able")
-    other = able.select("token", *[F.col(name).alias(f"other_{name}") for name in able.columns if name != "token"])
+    # a long list is cut into pieces, and every two pieces meet under a key of their own
+    pieces = able.groupBy("token").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
+    dealt = able.join(pieces, "token").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    able = dealt.withColumn("_with", F.explode(F.sequence(F.col("piece"), F.col("pieces") - 1))).drop("pieces")
+    other = dealt.withColumn("_of", F.explode(F.sequence(F.lit(0), F.col("piece")))).select(
+        "token", "_of", *[F.col(name).alias(f"other_{name}") for name in dealt.columns if name not in ("token", "pieces")])
     most_common = F.least("inside", "other_inside") + F.least("outside", "other_outside")
-    pairs = able.join(other, "token").filter(
-        (F.col("component") < F.col("other_component"))
+    met = (F.col("token") == F.col("_token")) & (F.col("piece") == F.col("_of")) & (F.col("_with") == F.col("other_piece"))
+    pairs = able.join(other.withColumnRenamed("token", "_token"), met, "inner").filter(
+        ((F.col("component") < F.col("other_component"))
+         | ((F.col("piece") < F.col("other_piece")) & (F.col("component") > F.col("other_component"))))
         & (most_common * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent)
         & (F.array_min(F.array_intersect("tokens", "other_tokens")) == F.col("token"))
     ).select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
