@@ -2,15 +2,20 @@
 
 A tree builder closes implied tags; what the visibility rules hide is left out; blocks are set apart by line breaks
 and blank lines, list items have markers and indentation, and the cells of a table stand in aligned columns. Builder
-and renderer are loops over stacks, so nesting may be as deep as the page is long.
+and renderer are loops over stacks, so nesting may be as deep as the page is long. Work and output stay in proportion to
+the page: indentation ends at ``DEEPEST`` columns, and cells of tables inside more than ``NESTED`` others follow each
+other without columns; no text is left out for that.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterable
 from html import unescape
+from itertools import accumulate
+from unicodedata import combining, east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,9 +55,14 @@ TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[\s/]++|"
     + re.sub(r"\((?!\?)", "(?:", ATTRIBUTE.pattern) + r")*+)(?:>|\Z)|([^<]+|<)", re.DOTALL)
 SPACE = re.compile(r"[ \t\n\r\f]+")
-CONCEALED = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+FIRST_BREAK = re.compile(r"(?:\r\n|\n|\r)?")
+PARAGRAPH = frozenset(["p"])
 WIDEST = 80
 INDENT = 2
+DEEPEST = 60
+NESTED = 8
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 
 class Node:
@@ -71,27 +81,24 @@ class Node:
 def tree(html: str) -> Node:
     """The page's elements and texts; a text is a string among the children."""
     root = Node("")
-    open_nodes, counts = [root], Counter()
+    open_nodes = [root]
+    depths: dict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = []
     place, end = 0, len(html)
 
     def close(depth: int) -> None:
         for node in open_nodes[depth:]:
-            counts[node.tag] -= 1
+            depths[node.tag].pop()
         del open_nodes[depth:]
+        while blocks and blocks[-1] >= depth:
+            blocks.pop()
 
     def close_first(tags: frozenset, within: frozenset) -> None:
         """Closes the outermost open element of the tags that stands inside the nearest of ``within``."""
-        if not any(counts[tag] for tag in tags):
-            return
-        found = 0
-        for depth in range(len(open_nodes) - 1, 0, -1):
-            tag = open_nodes[depth].tag
-            if tag in tags:
-                found = depth
-            elif tag in within:
-                break
-        if found:
-            close(found)
+        edge = max((depths[tag][-1] for tag in within - tags if depths[tag]), default=0)
+        inside = [depths[tag][at] for tag in tags if (at := bisect_right(depths[tag], edge)) < len(depths[tag])]
+        if inside:
+            close(min(inside))
 
     while place < end:
         match = TOKEN.match(html, place)
@@ -104,43 +111,70 @@ def tree(html: str) -> Node:
             continue
         tag, start = match[1].lower(), match.start()
         if html[start + 1] == "/":
-            if counts[tag]:
-                for depth in range(len(open_nodes) - 1, 0, -1):
-                    if open_nodes[depth].tag == tag:
-                        close(depth)
-                        break
-                    if open_nodes[depth].tag == "table" and tag not in ("body", "html"):
-                        break  # an end tag inside a table does not reach outside
-                    if open_nodes[depth].tag in BLOCKS and tag not in BLOCKS:
-                        break  # nor does one of a stretch of text outside its block
+            if depths[tag]:
+                depth = depths[tag][-1]
+                # an end tag inside a table does not reach outside, nor does one of a stretch of text outside its block
+                table = depths["table"][-1] if depths["table"] and tag not in ("body", "html") else 0
+                block = blocks[-1] if blocks and tag not in BLOCKS else 0
+                if depth >= max(table, block):
+                    close(depth)
             continue
-        if tag in CLOSES_PARAGRAPH and counts["p"]:
-            close_first(frozenset(["p"]), frozenset(["table", "td", "th", "caption", "button"]))
+        if tag in CLOSES_PARAGRAPH and depths["p"]:
+            close_first(PARAGRAPH, frozenset(["table", "td", "th", "caption", "button"]))
         if tag in IMPLIED:
             close_first(*IMPLIED[tag])
         node = Node(tag, match[2])
         open_nodes[-1].children.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(html, place)
-            node.children.append(html[place: stop.start() if stop else end])
+            content = html[place: stop.start() if stop else end]
+            node.children.append(content[FIRST_BREAK.match(content).end():] if tag == "textarea" else content)
             place = end if stop is None else (html.find(">", stop.end()) + 1 or end)
         elif tag not in VOID:
+            depths[tag].append(len(open_nodes))
+            if tag in BLOCKS:
+                blocks.append(len(open_nodes))
             open_nodes.append(node)
-            counts[tag] += 1
+            if tag == "pre":
+                place = FIRST_BREAK.match(html, place).end()
     return root
 
 
-def visible(node: Node) -> bool:
-    if node.tag in HIDDEN:
-        return False
-    if not node.attributes:
+def declared(node: Node) -> dict[str, str]:
+    """The first words of the declarations in an element's style, lower-cased."""
+    style = node.attribute("style") if node.attributes else None
+    found: dict[str, str] = {}
+    for declaration in COMMENT.sub(" ", style).split(";") if style else ():
+        name, _, value = declaration.partition(":")
+        words = value.lower().replace("!", " !").split()
+        if words and (not found.get(name := name.strip().lower(), "").endswith("!") or words[-1] == "!important"):
+            found[name] = words[0] + ("!" if words[-1] == "!important" else "")
+    return {name: word.rstrip("!") for name, word in found.items()}
+
+
+def removed(node: Node, style: dict[str, str]) -> bool:
+    """Whether the element and all inside it are not laid out."""
+    if node.tag in HIDDEN or style.get("display") == "none":
         return True
-    if node.tag == "dialog" and node.attribute("open") is None:
-        return False
-    if node.attribute("hidden") is not None:
-        return False
-    style = node.attribute("style")
-    return style is None or not CONCEALED.search(style)
+    if not node.attributes:
+        return node.tag == "dialog"
+    return node.attribute("hidden") is not None or (node.tag == "dialog" and node.attribute("open") is None)
+
+
+def columns_of(text: str) -> int:
+    """The columns that a line takes: two for a wide character, none for a combining one."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if combining(c) else 2 if east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def number_of(value: str | None, least: int, most: int, default: int) -> int:
+    value = (value or "").strip()
+    return min(most, max(least, int(value))) if re.fullmatch("-?[0-9]{1,9}", value) else default
+
+
+def deeper(indent: str, columns: int) -> str:
+    return indent + " " * columns if len(indent) < DEEPEST else indent
 
 
 class Page:
@@ -181,7 +215,7 @@ class Page:
         self.gap = 0
         self.lines.append((self.indent + self.marker + line).rstrip())
         if self.marker:
-            self.indent, self.marker = self.indent + " " * len(self.marker), ""
+            self.indent, self.marker = deeper(self.indent, len(self.marker)), ""
 
     def block(self, gap: int) -> None:
         self.end_line()
@@ -197,58 +231,67 @@ class Page:
         return self.lines
 
 
-def table_lines(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """The rows' cells (lines and number of columns) in aligned columns."""
+def table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """The rows' cells (lines, columns and rows that they span) in aligned columns."""
+    placed, taken = [], {}
+    for number, row in enumerate(rows):
+        column, cells = 0, []
+        for lines, span, down in row:
+            # columns that cells from above still reach into
+            while taken.get(column, (0, 0))[1] > number:
+                column = taken[column][0]
+            cells.append((column, span, lines))
+            if down > 1:
+                taken[column] = (column + span, number + down)
+            column += span
+        placed.append(cells)
     widths: dict[int, int] = {}
-    for row in rows:
-        column = 0
-        for lines, span in row:
+    for cells in placed:
+        for column, span, lines in cells:
             if span == 1:
-                widths[column] = max([widths.get(column, 0), *(min(WIDEST, len(line)) for line in lines)])
-            column += span
+                widths[column] = max([widths.get(column, 0), *(min(WIDEST, columns_of(line)) for line in lines)])
+    known = sorted(widths)
+    sums = [0, *accumulate(widths[column] for column in known)]
     found = []
-    for row in rows:
-        height = max((len(lines) for lines, _ in row), default=0)
-        for i in range(height):
-            line, column, start = "", 0, 0
-            for lines, span in row:
+    for cells in placed:
+        starts = [2 * column + sums[bisect_left(known, column)] for column, _, _ in cells]
+        for i in range(max((len(lines) for _, _, lines in cells), default=0)):
+            parts, reached = [], 0
+            for start, (_, _, lines) in zip(starts, cells):
                 if i < len(lines) and lines[i]:
-                    line = line.ljust(start)
-                    if line and not line.endswith(" "):
-                        line += "  "
-                    line += lines[i]
-                start += sum(widths.get(c, 0) + 2 for c in range(column, column + span))
-                column += span
-            found.append(line.rstrip())
+                    # past the column, two blanks set the cell apart
+                    gap = start - reached if start > reached else 2 if parts and parts[-1][-1] != " " else 0
+                    parts += [" " * gap, lines[i]]
+                    reached += gap + columns_of(lines[i])
+            found.append("".join(parts).rstrip())
     return found
 
 
-class _Cell:
-    def __init__(self, span: int):
-        self.page, self.span = Page(), span
-
-
 def render(html: str) -> str:
     """The visible text of a page."""
     pages = [Page()]
-    tables: list[list[list[tuple[list[str], int]]]] = []
-    lists: list[tuple[str, int]] = []
+    # rows of cells; None for a table inside too many others, whose cells follow each other
+    tables: list[list[list[tuple[list[str], int, int]]] | None] = []
+    lists: list[tuple[str, int, int]] = []
     saved: list = []
+    shown = [True]
     kept = 0
     todo: list[tuple[Node | str, bool]] = [(tree(html), True)]
     while todo:
         node, enters = todo.pop()
         page = pages[-1]
         if isinstance(node, str):
-            text = unescape(node) if "&" in node else node
-            page.kept(text) if kept else page.text(text)
+            if shown[-1]:
+                text = unescape(node) if "&" in node else node
+                page.kept(text) if kept else page.text(text)
             continue
         tag = node.tag
         if enters:
-            if tag and not visible(node):
+            style = declared(node)
+            if tag and removed(node, style):
                 continue
             if tag == "br":
-                page.end_line(True) if page.parts or kept else page.block(0)
+                page.end_line(bool(page.parts or page.lines or kept))
                 continue
             if tag == "hr":
                 page.block(1)
@@ -256,53 +299,74 @@ def render(html: str) -> str:
             if tag in VOID:
                 continue
             todo.append((node, False))
-            todo += [(child, True) for child in reversed(node.children)]
-            if tag == "table":
+            children = node.children
+            if tag == "details" and node.attribute("open") is None:
+                children = [child for child in children if isinstance(child, Node) and child.tag == "summary"][:1]
+            todo += [(child, True) for child in reversed(children)]
+            # hidden texts keep no place here, but what is inside them may be made visible again
+            shown.append({"hidden": False, "collapse": False, "visible": True}.get(style.get("visibility"), shown[-1]))
+            if tag == "textarea":
+                page.text(" ")
+            elif tag == "table":
                 page.block(1)
-                tables.append([])
+                tables.append([] if len(tables) < NESTED else None)
             elif tag == "tr" and tables:
-                tables[-1].append([])
+                if tables[-1] is None:
+                    page.block(0)
+                else:
+                    tables[-1].append([])
             elif tag in ("td", "th") and tables:
+                if tables[-1] is None:
+                    page.text(" ")
+                    continue
                 if not tables[-1]:
                     tables[-1].append([])
-                span = node.attribute("colspan") if node.attributes else None
+                spans = [number_of(node.attribute(name) if node.attributes else None, 1, most, 1)
+                         for name, most in (("colspan", MOST_COLUMNS), ("rowspan", MOST_ROWS))]
                 pages.append(Page())
-                saved.append((min(1000, max(1, int(span))) if span and span.isascii() and span.isdigit() else 1, kept, lists))
+                saved.append((*spans, kept, lists))
                 kept, lists = 0, []
             elif tag in PARAGRAPHS:
                 page.block(0 if tag in ("ul", "ol") and lists else 1)
                 if tag == "pre":
                     kept += 1
                 elif tag in ("ul", "ol"):
-                    start = node.attribute("start") if tag == "ol" and node.attributes else None
-                    lists.append((tag, int(start) if start and re.fullmatch("-?[0-9]{1,9}", start) else 1))
+                    down = tag == "ol" and node.attributes and node.attribute("reversed") is not None
+                    items = sum(isinstance(child, Node) and child.tag == "li" for child in children) if down else 1
+                    first = node.attribute("start") if tag == "ol" and node.attributes else None
+                    lists.append((tag, number_of(first, -10 ** 9, 10 ** 9, items), -1 if down else 1))
                 elif tag == "blockquote":
                     saved.append(page.indent)
-                    page.indent += " " * INDENT
+                    page.indent = deeper(page.indent, INDENT)
             elif tag == "li":
                 page.block(0)
                 saved.append((page.indent, page.marker))
-                kind, number = lists[-1] if lists else ("ul", 1)
-                page.indent += " " * len(page.marker) if page.marker else ""
-                page.marker = f"{number}. " if kind == "ol" else "- "
+                kind, number, step = lists[-1] if lists else ("ul", 1, 1)
+                number = number_of(node.attribute("value") if node.attributes else None, -10 ** 9, 10 ** 9, number)
+                page.indent = deeper(page.indent, len(page.marker)) if page.marker else page.indent
+                page.marker = (f"{number}. " if kind == "ol" else "- ") if shown[-1] else ""
                 if lists:
-                    lists[-1] = (kind, number + 1)
+                    lists[-1] = (kind, number + step, step)
             elif tag == "dd":
                 page.block(0)
                 saved.append(page.indent)
-                page.indent += " " * INDENT
+                page.indent = deeper(page.indent, INDENT)
             elif tag in BLOCKS:
                 page.block(0)
             continue
-        if tag == "table":
-            lines = table_lines(tables.pop())
+        shown.pop()
+        if tag == "textarea":
+            page.text(" ")
+        elif tag == "table":
+            rows = tables.pop()
             page.block(1)
-            page.whole(lines)
+            page.whole(table_lines(rows or []))
             page.block(1)
         elif tag in ("td", "th") and tables:
-            lines = pages.pop().done()
-            span, kept, lists = saved.pop()
-            tables[-1][-1].append((lines, span))
+            if tables[-1] is not None:
+                lines = pages.pop().done()
+                span, down, kept, lists = saved.pop()
+                tables[-1][-1].append((lines, span, down))
         elif tag in PARAGRAPHS:
             page.block(0 if tag in ("ul", "ol") and len(lists) > 1 else 1)
             if tag == "pre":

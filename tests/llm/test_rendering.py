@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -36,6 +37,19 @@ from tandem.llm.rendering import render, visible_text
     ("<p \"title=x\">a</p><i 'b'>b</i> <p =\"hidden\">c</p \"x>d", "a\n\nb\n\nc\n\nd"),
     ("<p title=\"a\"hidden\">seen<p title='a'hidden>not", "seen"),
     ("<a href=\"x>never closed</a> <i title = 'a>b'>rest</i>", "never closed rest"),
+    ("<div style='visibility:hidden'>a<p style='visibility:visible'>shown</p></div>b", "shown\n\nb"),
+    ("<div style='display:none'>a<p style='visibility:visible;display:block'>not</p></div>b", "b"),
+    ("<p style='/* no */ display /* x */ : /**/ none /* y */'>not</p><p style='color:red; display:none; display:block'>b</p>", "b"),
+    ("<p style='display:none!important;display:block'>not</p>b", "b"),
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    ("<table><tr><td rowspan=2 colspan=2>AA<td>B<tr><td>C<tr><td>D<td>E<td>F</table>", "AA    B\n      C\nD  E  F"),
+    ("x<br><br>y<br>", "x\n\ny"),
+    ("<br>x<p>y<br></p><br>z", "x\n\ny\n\n\nz"),
+    ("<pre>\n a\n\n b</pre>", " a\n\n b"),
+    ("<ol><li>a<li value=5>b<li>c</ol><ol reversed><li>x<li>y</ol>", "1. a\n5. b\n6. c\n\n2. x\n1. y"),
+    ("<details><summary>more</summary>not<p>not</details><details open><summary>s</summary>yes</details>", "more\ns\nyes"),
+    ("a<textarea>\ntyped</textarea>b", "a typed b"),
+    ("<table><tr><td>\u4f60\u597d<td>x<tr><td>abcdef<td>y</table>", "\u4f60\u597d    x\nabcdef  y"),
     ("<a href=x=\"b>c\">d</a><br/><img alt=/>e", "c\">d\ne"),
 ])
 def test_layout(html, text):
@@ -49,6 +63,25 @@ def test_deep_and_long_pages():
     assert render("<b" * 20000 + "<<<" * 1000 + "</" * 1000) is not None
 
 
+def plain_words(html):
+    """All words, by another way: tags to blanks."""
+    return re.sub("<[^>]*>", " ", html).split()
+
+
+@pytest.mark.parametrize("part, times", [
+    ("<div>", 20000), ("<table><tr><td>x", 20000), ("<blockquote>x", 50000), ("<ul><li>x", 50000), ("<dl><dd>x", 50000),
+    ("<table><tr><td rowspan=9999 colspan=1000>x<tr>", 5000), ("<tr><td>x<td colspan=1000>y", 20000), ("</p></b>x", 50000),
+    ("<p><b>x", 50000), ("<pre>x\n", 20000), ("<li value=7>x", 50000)])
+def test_work_and_output_stay_in_proportion(part, times):
+    for start in ("", "<p><button>", "<table><tr><td>"):
+        html = start + part * times
+        began = time.process_time()
+        text = render(html)
+        assert time.process_time() - began < 10
+        assert len(text) < 100 * len(html)
+        assert "".join(word for word in text.split() if word not in ("-", "7.")) == "".join(plain_words(html))
+
+
 def test_rows(spark):
     rows = [(1, "<p>a<p>b", "u"), (1, "<p>a<p>b", "u"), (2, None, "u"), (3, "", "u"), (None, "é", "u")]
     pages = spark.createDataFrame(rows, "page_id bigint, html string, text string")
