@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tandem.llm.arrow import lists, slices, texts_of
@@ -21,6 +21,7 @@ from tandem.llm.words import TOKENS, cut, grams, salted
 
 BITS = 18
 SAMPLE_PER_CLASS = 1024
+SAMPLE_BYTES = 32 << 20
 EPOCHS = 4
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -99,12 +100,15 @@ def _vectors(texts: pa.Array, bits: int) -> Iterator[tuple[np.ndarray, np.ndarra
 def quality_weights(
     documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality",
     bits: int = BITS, sample_per_class: int = SAMPLE_PER_CLASS, epochs: int = EPOCHS,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> np.ndarray:
     """Weights learnt from documents labelled 0 or 1: at most ``sample_per_class`` of each, those of least id hash.
 
-    Only ids are ranked; the texts of the sample are then read whole and learnt in one task, whose size that bound
-    fixes. Other labels, null labels and ids, and labels of no document are left out, a repeated label counts once,
-    null texts count as empty, repeated rows count once. Without any row all weights are 0 and every score is 0.5.
+    Ids are ranked first. Of the sample's texts those of more than a sixteenth of ``sample_bytes`` are left out, and
+    the others of a class as soon as they exceed it together; the rest is learnt whole in one task, whose size these
+    bounds fix. Of several texts under one id the smallest counts. Other labels, null labels and ids, and labels of no
+    document are left out, a repeated label counts once, null texts count as empty, repeated rows count once. Without
+    any row all weights are 0 and every score is 0.5.
     """
     marked = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label")).join(
         documents.select(F.col(id).alias("id")), "id", "left_semi").withColumn("h", F.xxhash64("id"))
@@ -113,7 +117,10 @@ def quality_weights(
         for value in (0, 1)]
     texts = documents.select(F.col(id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # at most 2 * sample_per_class ids
-    sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").select("h", "label", "text").distinct()
+    known = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "id").filter(
+        F.octet_length("text") * 16 <= sample_bytes).groupBy("h", "label").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy("h"))
+    sample = known.withColumn("so_far", so_far).filter(F.col("so_far") <= sample_bytes).drop("so_far")
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:

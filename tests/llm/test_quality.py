@@ -1,9 +1,11 @@
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from tandem.llm.quality import Leader, good_documents, quality_scores, quality_weights, scores
+from tandem.llm.quality import Leader, _vectors, good_documents, quality_scores, quality_weights, scores
 from tandem.llm.queries import QUERIES
 
 
@@ -61,3 +63,60 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in rows.items())
     held = [(rows[i].predicted, quality) for i, quality in labels.items() if rows[i].held_out]
     assert len(held) > 50 and np.mean([a == b for a, b in held]) > 0.97
+
+
+def plain_probability(text, weights):
+    """The score as a plain sparse dot product, a feature at a time."""
+    (at, values), = _vectors(pa.array([text]), int(len(weights)).bit_length() - 1)
+    total = sum(float(weights[i]) * float(v) for i, v in zip(at.tolist(), values.tolist()))
+    return 1 / (1 + math.exp(-max(-35.0, min(35.0, total))))
+
+
+def test_scores_are_sparse_dot_products():
+    weights = np.random.default_rng(3).standard_normal(1 << 10).astype(np.float32) / 40
+    texts = ["", "one two three", "one two three one two three", "Ünïcode wörds, and 12 marks!!", "x " * 500]
+    for text, score in zip(texts, scores(pa.array(texts), weights)):
+        assert score == pytest.approx(plain_probability(text, weights), abs=1e-6)
+
+
+def test_learner_against_a_plain_loop():
+    rng = np.random.default_rng(4)
+    bits, rows = 6, []
+    for _ in range(60):
+        at = np.unique(np.append(0, rng.integers(1, 64, 8)))
+        rows.append((at, rng.random(len(at)) + 0.1, float(rng.integers(0, 2))))
+    leader = Leader(bits)
+    z, n = [0.0] * 64, [0.0] * 64
+
+    def weight(i):
+        if abs(z[i]) <= leader.l1:
+            return 0.0
+        return -(z[i] - math.copysign(leader.l1, z[i])) / ((leader.beta + math.sqrt(n[i])) / leader.alpha + leader.l2)
+
+    for at, values, label in rows:
+        leader.update(at, values, label)
+        total = sum(weight(i) * v for i, v in zip(at.tolist(), values.tolist()))
+        error = 1 / (1 + math.exp(-max(-35.0, min(35.0, total)))) - label
+        for i, v in zip(at.tolist(), values.tolist()):
+            g = error * v
+            step = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / leader.alpha
+            old = weight(i)
+            z[i] += g - step * old
+            n[i] += g * g
+    assert leader.weights(slice(None)) == pytest.approx([weight(i) for i in range(64)], abs=1e-9)
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    docs = [(i, f"{'good' if i % 2 else 'bad'} text number {i}", "u") for i in range(40)]
+    long = [(100 + i, "good and long " * 5000, "u") for i in range(4)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(100 + i, 0) for i in range(4)], "doc_id bigint, quality int")
+    schema = "doc_id bigint, text string, h string"
+
+    def learnt(rows, **options):
+        return quality_weights(spark.createDataFrame(rows, schema), labels, **options)
+
+    assert np.array_equal(learnt(docs + long, sample_bytes=1 << 16), learnt(docs, sample_bytes=1 << 16))
+    assert not np.array_equal(learnt(docs + long), learnt(docs))
+    assert not np.any(learnt(docs, sample_bytes=16))
+    repeated = docs + [(1, "zz other text under one id " * n, "u") for n in range(1, 50)]
+    assert np.array_equal(learnt(repeated), learnt(docs))
