@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tandem.llm.arrow import bytes_of, slices, texts_of
 from tandem.llm.words import PLAIN, cut
+from tandem.session import Scratch
 
 WINDOW = 10
 PHRASE_BYTES = 4 << 20
@@ -211,7 +212,9 @@ def _marked(rows: DataFrame, text: str, items: DataFrame, item_id: str, item_tex
 
     With ``remove`` (the name of a column for the number of characters, or "") the spans are cut out of the texts.
     """
-    named = items.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).cast("string").alias("text"))
+    scratch = Scratch(rows.sparkSession)
+    named = items.select(
+        F.col(item_id).cast("string").alias("name"), F.col(item_text).cast("string").alias("text")).distinct()
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // phrase_bytes))
     schema = rows.schema
@@ -248,6 +251,8 @@ def _marked(rows: DataFrame, text: str, items: DataFrame, item_id: str, item_tex
                     yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
         rows = rows.mapInArrow(run, schema)
+        if part < parts - 1:  # a task and the driver hold one part at a time
+            rows = scratch.stage(rows, "marked")
     return rows
 
 
@@ -264,8 +269,8 @@ def contamination(
     """Per row of ``documents``: id, n_words, spans (merged, by word and by byte) and items (sorted names).
 
     A document word inside any occurrence of ``window`` consecutive words of an item is hit; an item of fewer words is
-    one window. Items travel to the tasks in parts of about ``phrase_bytes``, one pass over the documents per part, so
-    any number of items works. A null text, of document or item, has no words; an item without words hits nothing, one
+    one window. Items travel to the tasks in parts of about ``phrase_bytes``, each in a pass over the documents that is
+    stored before the next, so any number of items works and one part is held at a time. A null text, of document or item, has no words; an item without words hits nothing, one
     without id hits but is not named; repeated items are named once. Without items nothing is hit. Rows of documents
     are independent; a null id stays null; other columns are not read.
     """
