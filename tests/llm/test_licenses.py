@@ -1,7 +1,7 @@
 import random
 import re
 
-from tandem.llm.licenses import PHRASES, TEMPLATES, Template, license_spans
+from tandem.llm.licenses import COVERAGE, PAIR, PHRASES, SLACK, TEMPLATES, Template, license_spans
 from tandem.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,6 +50,50 @@ def test_notices_with_edits(spark):
     assert [span.label for span in found[7]] == ["mit", "mit"]
 
 
+def plain_spans(text):
+    """Diagonal voting by words and lists, without hashes: (first, last, label, exact, coverage) of every span."""
+    found, spans = words(text), []
+    for template in TEMPLATES:
+        own = words(template.text)
+        pairs = [tuple(own[i: i + PAIR]) for i in range(len(own) - PAIR + 1)]
+        votes = sorted((i - place, place, i) for place, pair in enumerate(pairs)
+                       for i in range(len(found) - PAIR + 1) if tuple(found[i: i + PAIR]) == pair)
+        bands = []
+        for vote in votes:
+            if not bands or vote[0] - bands[-1][-1][0] > (0 if template.exact else SLACK):
+                bands.append([])
+            bands[-1].append(vote)
+        for band in bands:
+            seen, matched = {place for _, place, _ in band}, {i for _, _, i in band}
+            first, last = min(matched), max(matched)
+            share = len(seen) / len(pairs)
+            enough = len(seen) == len(pairs) if template.exact else min(share, len(matched) / (last - first + 1)) >= COVERAGE
+            if enough:
+                spans.append((first, last + 1, template.label, template.exact, share))
+    return sorted(spans)
+
+
+def edited(rng, text):
+    parts = text.split()
+    for _ in range(rng.choice([0, 0, 1, 2, 6])):
+        at = rng.randrange(len(parts))
+        parts[at: at + rng.choice([0, 1])] = rng.choices(["really", "by", "license", "the"], k=rng.choice([0, 1, 2]))
+    return " ".join(parts)
+
+
+def test_all_spans_against_plain_voting(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        parts = [edited(rng, rng.choice(TEMPLATES).text) if rng.random() < 0.7 else "plain words of a text"
+                 for _ in range(rng.randint(0, 5))]
+        rows.append((i, " and ".join(parts)))
+    found = {r.doc_id: r.spans for r in license_spans(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, text in rows:
+        assert sorted(tuple(span) for span in found[i]) == plain_spans(text)
+    assert sum(not span.exact for spans in found.values() for span in spans) > 20
+
+
 def test_own_templates(spark):
     documents = spark.createDataFrame([(1, "to be or not to be")], "doc_id int, text string")
     found = license_spans(documents, templates=[Template("b", "to be", True)]).collect()[0]
@@ -67,4 +111,6 @@ def test_query_against_a_plain_search(spark):
         row = rows[i]
         assert (row.n_words, row.n_base, row.base_labels) == (len(words(text)), len(found), ",".join(labels))
         assert (row.first_word, row.last_word) == ((found[0][0], found[-1][0]) if found else (None, None))
-        assert set(labels) <= set(row.labels.split(",")) and 0 <= row.score <= 1
+        spans = plain_spans(text)
+        assert row.labels == ",".join(sorted({label for _, _, label, _, _ in spans}))
+        assert row.score == max((share for *_, share in spans), default=0.0)

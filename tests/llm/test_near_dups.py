@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tandem.llm import near_dups
 from tandem.llm.components import components
 from tandem.llm.near_dups import deduplicated, least_matches, near_duplicates
 from tandem.llm.queries import QUERIES
@@ -91,7 +92,9 @@ def test_same_id_with_different_texts(spark):
     assert {r.component_id for r in found.collect()} == {1}
 
 
-def test_near_threshold_group_with_repeated_rows(spark):
+@pytest.mark.parametrize("piece", [near_dups.PIECE, 3])
+def test_near_threshold_group_with_repeated_rows(spark, monkeypatch, piece):
+    monkeypatch.setattr(near_dups, "PIECE", piece)  # long lists are compared piece by piece
     rng = random.Random(4)
     words = [f"w{i}" for i in range(3000)]
     texts = {}
