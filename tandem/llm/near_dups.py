@@ -6,7 +6,8 @@ each (coordinate, value) pair is a token with a posting list. A pair of document
 from the rarest: the longest lists are skipped. In a list all members are first paired with one hub, then, where the
 confirmed links have not joined the list, with the member whose shingles most others have. What is left are pairs of
 different components; of these those go that cannot have enough in common, by what each shares with the hub and
-with other components besides.
+with other components besides. Asked to miss nothing, the shingles themselves take the signature's place: the least
+number of shingles in common follows from a set's size, and all else is the same.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from tandem.session import Scratch
 
 COORDINATES = 64
 MISSED = 1e-5
-PIECE = 64
 
 
 def least_matches(coordinates: int, percent: int, missed: float = MISSED) -> int:
@@ -70,7 +70,10 @@ def signatures(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, n: int, coordinates: int) -> DataFrame:
-    """Per row of (id, text): id, n_shingles, digest of the set, tokens; the last two null for an empty set."""
+    """Per row of (id, text): id, n_shingles, digest of the set, tokens; the digest is null for an empty set.
+
+    Without coordinates the tokens are the shingles.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -79,10 +82,10 @@ def sketches(documents: DataFrame, n: int, coordinates: int) -> DataFrame:
                 sizes = np.array([len(values) for values in sets], np.int64)
                 digests = [hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
                            for values in sets]
-                tokens = signatures(sets, coordinates).view(np.int64).ravel()
+                tokens = signatures(sets, coordinates).ravel() if coordinates else np.concatenate(sets)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(sizes), pa.array(digests, pa.binary()),
-                     lists(tokens, np.where(sizes > 0, coordinates, 0), pa.int64())],
+                     lists(tokens.view(np.int64), np.where(sizes > 0, coordinates, 0) if coordinates else sizes, pa.int64())],
                     names=["id", "n_shingles", "digest", "tokens"],
                 )
 
@@ -179,21 +182,25 @@ def beside_hub(pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(
     documents: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
-    coordinates: int = COORDINATES,
+    coordinates: int = COORDINATES, missed: float = MISSED,
 ) -> DataFrame:
     """Per row of ``documents``: id, n_shingles, component_id (smallest id reachable by links) and kept (id is it).
 
     A document's set holds its distinct shingles of ``shingle`` words (with fewer words the whole sequence as one);
     documents are linked if 100 * intersection >= percent * union, which is checked on the whole sets. A pair of just
-    that similarity goes unseen with probability ``MISSED``, a closer one more rarely; equal sets never do.
+    that similarity goes unseen with probability ``missed``, a closer one more rarely; equal sets never do. With
+    ``missed=0`` no pair does: all shingles are posted instead of signatures, which shuffles as much as the texts hold.
     Null texts and texts without words have an empty set and are linked with nothing. Rows with the same id count as
     one document. A null id gets its class's component, or null, and is not kept. An empty table gives an empty one;
     other columns are not read.
     """
     scratch = Scratch(documents.sparkSession)
     rows = documents.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    matches = least_matches(coordinates, percent)
-    sketched = scratch.stage(sketches(rows, shingle, coordinates), "sketches")
+    whole = missed == 0
+    matches = 1 if whole else least_matches(coordinates, percent, missed)
+    # so many tokens a linked document has in common with another
+    common = F.floor((F.size("tokens") * percent + 99) / 100).cast("int") if whole else F.lit(matches)
+    sketched = scratch.stage(sketches(rows, shingle, 0 if whole else coordinates), "sketches")
     classes = scratch.stage(
         sketched.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     members = scratch.stage(
@@ -203,16 +210,16 @@ def near_duplicates(
     ).dropDuplicates(["digest", "id"]).select("id", "tokens")
 
     # tokens of more than one representative, and of each representative all but its most frequent
-    posted = chosen.select("id", F.explode("tokens").alias("token"))
+    posted = chosen.select("id", common.alias("common"), F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     # a set: an id with several texts may have a token twice
-    ranked = posted.join(shared, "token").groupBy("id").agg(
+    ranked = posted.join(shared, "token").groupBy("id", "common").agg(
         F.sort_array(F.collect_set(F.struct("n", "token"))).alias("ranked")
     ).withColumn("weight", F.expr("aggregate(ranked, 0L, (sum, x) -> sum + x.n)"))
     prefixes = scratch.stage(
-        ranked.filter(F.size("ranked") >= matches).select(
+        ranked.filter(F.size("ranked") >= F.col("common")).select(
             "id", "weight",
-            F.expr(f"transform(slice(ranked, 1, size(ranked) - {matches - 1}), x -> x.token)").alias("prefix")),
+            F.expr("transform(slice(ranked, 1, size(ranked) - common + 1), x -> x.token)").alias("prefix")),
         "prefixes")
     postings = prefixes.select("id", "weight", F.explode("prefix").alias("token"))
     hubs = postings.groupBy("token").agg(F.max(F.struct("weight", "id")).alias("hub"), F.count("*").alias("n"))
@@ -220,11 +227,13 @@ def near_duplicates(
         "id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
     needed = prefixes.select("id")
-    tokens = scratch.stage(chosen.join(needed, "id", "left_semi"), "tokens")
+    tokens = chosen if whole else scratch.stage(chosen.join(needed, "id", "left_semi"), "tokens")
     # a repeated row is one set: the bounds below count its shingles once
     sets = scratch.stage(set_table(rows.join(needed, "id", "left_semi"), shingle).distinct(), "sets")
 
     def colliding(pairs: DataFrame) -> DataFrame:
+        if whole:
+            return pairs.distinct()
         left = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("left"))
         right = tokens.select(F.col("id").alias("b"), F.col("tokens").alias("right"))
         return pairs.join(left, "a").join(right, "b").filter(
@@ -267,17 +276,10 @@ def near_duplicates(
         (F.col("inside") + F.col("outside")) * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("least")
     able = scratch.stage(able.join(
         able.groupBy("id").agg(F.sort_array(F.collect_set("token")).alias("tokens")), "id"), "able")
-    # a long list is cut into pieces, and every two pieces meet under a key of their own
-    pieces = able.groupBy("token").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
-    dealt = able.join(pieces, "token").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    able = dealt.withColumn("_with", F.explode(F.sequence(F.col("piece"), F.col("pieces") - 1))).drop("pieces")
-    other = dealt.withColumn("_of", F.explode(F.sequence(F.lit(0), F.col("piece")))).select(
-        "token", "_of", *[F.col(name).alias(f"other_{name}") for name in dealt.columns if name not in ("token", "pieces")])
+    other = able.select("token", *[F.col(name).alias(f"other_{name}") for name in able.columns if name != "token"])
     most_common = F.least("inside", "other_inside") + F.least("outside", "other_outside")
-    met = (F.col("token") == F.col("_token")) & (F.col("piece") == F.col("_of")) & (F.col("_with") == F.col("other_piece"))
-    pairs = able.join(other.withColumnRenamed("token", "_token"), met, "inner").filter(
-        ((F.col("component") < F.col("other_component"))
-         | ((F.col("piece") < F.col("other_piece")) & (F.col("component") > F.col("other_component"))))
+    pairs = able.join(other, "token").filter(
+        (F.col("component") < F.col("other_component"))
         & (most_common * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent)
         & (F.array_min(F.array_intersect("tokens", "other_tokens")) == F.col("token"))
     ).select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()

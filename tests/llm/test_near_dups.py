@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-from tandem.llm import near_dups
 from tandem.llm.components import components
 from tandem.llm.near_dups import deduplicated, least_matches, near_duplicates
 from tandem.llm.queries import QUERIES
@@ -92,9 +91,7 @@ def test_same_id_with_different_texts(spark):
     assert {r.component_id for r in found.collect()} == {1}
 
 
-@pytest.mark.parametrize("piece", [near_dups.PIECE, 3])
-def test_near_threshold_group_with_repeated_rows(spark, monkeypatch, piece):
-    monkeypatch.setattr(near_dups, "PIECE", piece)  # long lists are compared piece by piece
+def test_near_threshold_group_with_repeated_rows(spark):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(3000)]
     texts = {}
@@ -112,6 +109,25 @@ def test_near_threshold_group_with_repeated_rows(spark, monkeypatch, piece):
     assert sorted(tuple(r) for r in found) == sorted((i, sizes[i], wanted[i], wanted[i] == i) for i, _ in rows)
 
 
+def test_nothing_is_missed_by_shingle_prefixes(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(200)]
+    texts = {1: None, 2: "", 3: "one", 4: "one", 5: "one two"}
+    for group in range(30):
+        base = rng.choices(words, k=rng.choice([2, 4, 8, 20, 60]))
+        for _ in range(rng.choice([1, 2, 5, 15])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts[rng.randrange(10**9)] = " ".join(copy)
+    for n, percent in ((3, 85), (1, 60)):
+        wanted, sizes = classes(texts, n, percent)
+        documents = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+        found = near_duplicates(documents, shingle=n, percent=percent, missed=0).collect()
+        assert sorted(tuple(r) for r in found) == sorted((i, sizes[i], wanted[i], wanted[i] == i) for i in texts)
+    assert near_duplicates(documents.limit(0), missed=0).count() == 0
+
+
 def test_least_matches():
     assert 1 <= least_matches(16, 50) < least_matches(16, 90) <= 16
     assert least_matches(64, 85) == 41
