@@ -9,8 +9,8 @@ from tandem.catalog import tables as t
 from tandem.catalog.registry import query
 from tandem.functions.text import chunks, eval_tokens, is_filled
 from tandem.operators import profile
-from tandem.operators.indexing import first_rows, number_rows
-from tandem.operators.pairs import language_column, to_long
+from tandem.operators.indexing import first_of_groups, first_rows, number_rows
+from tandem.operators.pairs import language_column, to_long, zip_columns
 from tandem.plans.jobs import monolingual_corpus
 from tandem.session import scratch_path, stage
 from tandem.sinks.writers import export_truth, write_lines
@@ -187,7 +187,9 @@ def q08_row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q08_first_rows", t.with_(t.SQL_WIDE) + "SELECT row_id, de AS text FROM wide WHERE row_id < 50")
 def q08_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_rows(language_column(t.wide(spark, sf_dir), "de", ["row_id"]), 50, index="row_id")
+    documents = t.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    wide = zip_columns(first_of_groups(documents, ["doc_id"], ["lang"], 50), t.LANGS, key="row_id")
+    return first_rows(language_column(wide, "de", ["row_id"]), 50, index="row_id")
 
 
 @query("q08_row_index", "SELECT doc_id, row_number() OVER (ORDER BY lang, doc_id) - 1 AS row_id FROM documents")

@@ -98,6 +98,18 @@ def number_rows(
         "_shift", "_row", "_part")
 
 
+def first_of_groups(
+    df: DataFrame, order_by: list[str], group: list[str], count: int, into: str = "row_id"
+) -> DataFrame:
+    """The first ``count`` rows of every group, numbered from 0 as :func:`number_rows` would number them.
+
+    Nothing else is numbered or moved: each task keeps only its own first ``count`` rows of a group, so a group that
+    holds most rows sends no more of them than ``count`` per task.
+    """
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
+    return df.withColumn(into, place).filter(F.col(into) <= count).withColumn(into, (F.col(into) - 1).cast("bigint"))
+
+
 def batch_number(index: Column, batch_size: int) -> Column:
     """Number of the consecutive batch that position ``index`` falls into."""
     if batch_size < 1:

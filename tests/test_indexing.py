@@ -4,9 +4,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tandem.operators.indexing import batch_number, first_rows, number_lines, number_rows, row_slice
+from tandem.operators.indexing import batch_number, first_of_groups, first_rows, number_lines, number_rows, row_slice
 from tandem.session import scratch_path, scratch_scope
 from tandem.sinks.writers import write_lines
+from tests.conftest import plan
 from tandem.sources.lines import LineIndex, numbered_lines, scan_lines
 
 
@@ -113,6 +114,21 @@ def test_slices_and_batches(spark):
         batch_number(F.col("line_no"), 0)
 
 
+def test_first_of_groups_keeps_a_few_rows_per_task(spark):
+    rows = [("hot" if i % 3 else f"g{i % 30}", i * 7919 % 5000) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, k bigint").repartition(4)
+    found = first_of_groups(df, ["k"], ["g"], 7)
+    groups = {}
+    for g, k in rows:
+        groups.setdefault(g, []).append(k)
+    assert sorted((r.g, r.k, r.row_id) for r in found.collect()) == sorted(
+        (g, k, i) for g, keys in groups.items() for i, k in enumerate(sorted(keys)[:7]))
+    executed = plan(found)
+    assert executed.index("Window [") < executed.index("WindowGroupLimit")  # rows are left out before they are moved
+    assert executed.index("Exchange hashpartitioning") < executed.rindex("WindowGroupLimit")
+    assert first_of_groups(df.limit(0), ["k"], ["g"], 7).count() == 0
+
+
 def test_empty_inputs(spark, files):
     assert numbered_lines(spark, files({"empty.txt": ""})).count() == 0
     assert number_rows(spark.range(0), ["id"]).count() == 0
