@@ -120,12 +120,10 @@ def test_nothing_is_missed_by_shingle_prefixes(spark):
             for _ in range(rng.choice([0, 1, 1, 2])):
                 copy[rng.randrange(len(copy))] = rng.choice(words)
             texts[rng.randrange(10**9)] = " ".join(copy)
-    for n, percent in ((3, 85), (1, 60)):
-        wanted, sizes = classes(texts, n, percent)
-        documents = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-        found = near_duplicates(documents, shingle=n, percent=percent, missed=0).collect()
-        assert sorted(tuple(r) for r in found) == sorted((i, sizes[i], wanted[i], wanted[i] == i) for i in texts)
-    assert near_duplicates(documents.limit(0), missed=0).count() == 0
+    wanted, sizes = classes(texts, 2, 70)
+    documents = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = near_duplicates(documents, shingle=2, percent=70, missed=0).collect()
+    assert sorted(tuple(r) for r in found) == sorted((i, sizes[i], wanted[i], wanted[i] == i) for i in texts)
 
 
 def test_least_matches():
