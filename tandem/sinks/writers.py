@@ -62,12 +62,14 @@ def flat_predictions(df: DataFrame, newlines: str = "space") -> DataFrame:
 
 
 def in_stretches(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows sorted for a partitioned write, every stretch of ``ROWS_PER_FILE`` lines of a key in one task.
+    """Rows sorted for a partitioned write, the lines of a key cut by ``ROWS_PER_FILE`` and by their bytes.
 
-    A key that holds most rows is written by many tasks. The hash shuffle computes the rows once, where a range sort
-    would run a model a second time to sample its keys.
+    A key that holds most rows is written by many tasks: stretches whose lines hold more than
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` are dealt over several, small ones share one. The hash shuffle
+    computes the rows once, where a range sort would run a model a second time to sample its keys.
     """
-    return df.repartition(*keys, F.floor(F.col("line_no") / ROWS_PER_FILE)).sortWithinPartitions(*keys, "line_no")
+    dealt = df.withColumn("_stretch", F.floor(F.col("line_no") / ROWS_PER_FILE)).hint("rebalance", *keys, "_stretch")
+    return dealt.sortWithinPartitions(*keys, "line_no").drop("_stretch")
 
 
 def write_predictions(df: DataFrame, path: str, newlines: str = "space") -> None:

@@ -86,3 +86,23 @@ def test_only_live_folders_are_read(spark, store):
     assert "dynamicpruning" in plan.lower()
     with pytest.raises(ValueError, match="nothing is staged"):
         store.commit("unknown")
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_long_lines_of_one_key_are_written_by_many_tasks(spark, store, tmp_path, adaptive):
+    """Far fewer lines than a stretch holds, and far more bytes than a task should read."""
+    options = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.enabled": adaptive}
+    lines = spark.range(0, 2000, 1, 8).selectExpr(
+        "'r' AS run", "'m' AS model", "'A' AS src_lang", "'B' AS tgt_lang", "id AS line_no",
+        "concat_ws(' ', transform(sequence(1, 40), i -> sha2(concat(id, '-', i), 256))) AS text")
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        store.write(lines)
+        files = list((tmp_path / "store" / "data").rglob("*.parquet"))
+        found = store.read().select("line_no", "text")
+        assert len(files) >= 8
+        assert found.count() == 2000 and found.exceptAll(lines.select("line_no", "text")).count() == 0
+    finally:
+        for name in options:
+            spark.conf.unset(name)
