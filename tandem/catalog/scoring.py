@@ -12,7 +12,7 @@ from tandem.functions import text as tx
 from tandem.operators.indexing import batch_number, number_rows
 from tandem.operators.matching import greedy_match
 from tandem.operators.report import segment_means
-from tandem.operators.scoring import score_batches, tokenize_batches
+from tandem.operators.scoring import score_batches, tokenize_columns
 from tandem.operators.translation import towards, translate
 from tandem.plans.jobs import translate_file, translation_run
 from tandem.session import scratch_path
@@ -50,8 +50,7 @@ FROM ids
 """)
 def q15_truncate_and_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = t.bitext(spark, sf_dir)
-    prompted = tokenize_batches(turns, code_point_tokenizer, "src", "prompt_ids")
-    both = tokenize_batches(prompted, code_point_tokenizer, "tgt", "answer_ids").withColumn(
+    both = tokenize_columns(turns, code_point_tokenizer, {"src": "prompt_ids", "tgt": "answer_ids"}).withColumn(
         "output_ids", F.concat("prompt_ids", "answer_ids")
     )
     return both.select(

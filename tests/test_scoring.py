@@ -1,13 +1,15 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tandem.catalog.evaluation import jaccard_scorer, overlap_scorer
 from tandem.catalog.scoring import code_point_tokenizer, labelled_scorer, reversing_scorer
-from tandem.operators.scoring import score_batches, score_segments, together, tokenize_batches
+from tandem.operators.scoring import pieces, score_batches, score_segments, together, tokenize_batches, tokenize_columns
 from tandem.operators.translation import towards, translate
 from tandem.plans.jobs import evaluate, monolingual_corpus, translate_file, translation_run
 from tandem.session import scratch_path, shared_dir, stage
 from tandem.streaming.incoming import incoming_lines, numbered_scores, start_numbered_scoring, start_scoring
+from tests.conftest import plan
 
 
 def sizing_scorer():
@@ -47,6 +49,32 @@ def test_tokenize(texts):
     assert [r.ids for r in found] == [[97, 98], [], [0x20BB7]]
 
 
+def test_results_leave_a_task_in_pieces(spark):
+    """The values of a piece are let go before the next one: rows that a task holds are bounded by bytes."""
+    def held():
+        def score(batch):
+            return {"rows": [len(batch)] * len(batch)}
+
+        return score
+
+    long = spark.range(0, 4000, 1, 1).withColumn("t", F.repeat(F.lit("x"), 10_000))
+    found = score_batches(long, held, ["t"], "rows int", 1000).select("id", "rows")
+    assert found.agg(F.count("*"), F.countDistinct("id"), F.max("rows") * 10_000 <= 1 << 20).first() == (4000, 4000, True)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(100)), pa.array(["x" * 100] * 99 + ["y" * 5000]), pa.array([[i] for i in range(100)])], names=["id", "t", "ids"])
+    cut = list(pieces(batch, ["t", "ids"], 8, 1000))
+    assert pa.Table.from_batches(cut).equals(pa.Table.from_batches([batch]))
+    assert all(len(piece) == 1 or piece.select(["t", "ids"]).nbytes <= 1000 for piece in cut)
+    assert [len(piece) for piece in pieces(batch, ["id"], 8, 1000)] == [100]
+
+
+def test_tokenize_columns(spark):
+    df = spark.createDataFrame([(1, "ab", "c"), (2, "", "de")], "id int, a string, b string")
+    found = tokenize_columns(df, code_point_tokenizer, {"a": "x", "b": "y"})
+    assert plan(found).count("MapInArrow ") == plan(tokenize_batches(df, code_point_tokenizer, "a")).count("MapInArrow ")
+    assert sorted(map(tuple, found.collect())) == [(1, "ab", "c", [97, 98], [99]), (2, "", "de", [], [100, 101])]
+
+
 def test_segments(spark):
     df = spark.createDataFrame([("k", "abc", "abd", "abd")], "model string, src string, mt string, ref string")
     row = score_segments(df, jaccard_scorer, "score double").first()
