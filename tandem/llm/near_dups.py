@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tandem.llm.arrow import lists, slices, texts_of
 from tandem.llm.components import components
 from tandem.llm.words import SPACED, cut, grams, salted
-from tandem.session import Scratch
+from tandem.session import Scratch, small_batches
 
 COORDINATES = 64
 MISSED = 1e-5
@@ -194,6 +194,7 @@ def near_duplicates(
     one document. A null id gets its class's component, or null, and is not kept. An empty table gives an empty one;
     other columns are not read.
     """
+    small_batches(documents.sparkSession)
     scratch = Scratch(documents.sparkSession)
     rows = documents.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     whole = missed == 0

@@ -32,6 +32,19 @@ def fixed_splits(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session's Python steps by ``BATCH_BYTES``, however long their rows are.
+
+    Spark's own bound is 64 MB, which every task holds once in the JVM and once in Python. A value that the user has set
+    stays.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet.
 

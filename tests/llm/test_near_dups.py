@@ -2,12 +2,14 @@ import itertools
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tandem.llm.components import components
 from tandem.llm.near_dups import deduplicated, least_matches, near_duplicates
 from tandem.llm.queries import QUERIES
-from tandem.session import Scratch
+from tandem.session import Scratch, small_batches
 
 
 def shingles(text, n):
@@ -156,3 +158,24 @@ def test_query_against_all_pairs(spark):
     found = QUERIES["op5_near_duplicates"](spark, sf_dir).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == {
         i: (sizes[i], wanted[i], wanted[i] == i) for i in texts}
+
+
+def test_batches_of_long_sets_are_bounded(spark):
+    """Spark's own 64 MB a batch are held by every task, in the JVM and in Python."""
+    key, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "id bigint, text string"
+    spark.conf.unset(key)
+    try:
+        near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], rows), "id").collect()
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([len(batch)]), pa.array([batch.nbytes])], names=["n", "held"])
+
+        long = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+        found = long.mapInArrow(sizes, "n bigint, held bigint").agg(F.sum("n"), F.max("held")).first()
+        assert found[0] == 400 and found[1] < 5 << 20
+        spark.conf.set(key, "8m")
+        small_batches(spark)
+        assert spark.conf.get(key) == "8m"
+    finally:
+        spark.conf.unset(key)
