@@ -54,10 +54,11 @@ def dictionary_examples(
     """CSV dictionaries to shuffled training prompts.
 
     Rows are shuffled by a digest of their place in the dictionaries, so copies of one row are dealt
-    out evenly over order and partitions.
+    out evenly over order and partitions. The range sort of the shuffle reads its input twice, so the rows are stored
+    first and their files are cut and parsed once.
     """
     keys = ["source_no", "line_no"]
-    wide = load_numbered_dictionaries(spark, paths, multi_line=multi_line)
+    wide = stage(load_numbered_dictionaries(spark, paths, multi_line=multi_line), "wide")
     languages = languages_of(wide, keys)
     return training_examples(shuffled(wide, keys, seed), keys, languages, formatting)
 

@@ -129,3 +129,11 @@ def test_checks_hold_whatever_is_selected(spark):
             action(uneven)
         with pytest.raises(Exception, match="either side must be"):
             action(valid_directions(asked))
+
+
+def test_dictionary_examples_parse_their_files_once(spark, files):
+    """The range sort reads its input twice: that is the stored rows, not the files and their records."""
+    root = files({"a.csv": 'en,fr\n"one\nline",un\ntwo,deux\n'})
+    found = dictionary_examples(spark, [f"{root}/a.csv"], multi_line=True)
+    assert "MapInArrow" not in plan(found) and "from_csv" not in plan(found)
+    assert found.count() == 4
