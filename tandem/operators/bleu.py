@@ -1,118 +1,81 @@
-"""Corpus BLEU as column arithmetic.
+"""Corpus BLEU from counts per segment.
 
-Clipped n-gram matches of a segment need nothing but that segment, so they are computed inside its row
-with array functions, in O(n log n) and without a shuffle. Only sums per key are aggregated.
+Clipped n-gram matches of a segment need nothing but that segment, so they are counted where its row is, many
+segments at once and without a shuffle. Only sums per key are aggregated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tandem.functions.text import eval_tokens
+from tandem.operators.scoring import pieces
 
 MAX_ORDER = 4
-STATISTICS = ["sys_len", "ref_len", *[f"{kind}_{n}" for kind in ("correct", "total") for n in range(1, MAX_ORDER + 1)]]
-_GLUE = "\u0001"
+CORRECT = [f"correct_{n}" for n in range(1, MAX_ORDER + 1)]
+STATISTICS = ["sys_len", "ref_len", *CORRECT, *[f"total_{n}" for n in range(1, MAX_ORDER + 1)]]
 
 
-def _gluable(tokens: Column) -> Column:
-    """The tokens with the glue inside them written otherwise, one to one, so that no two runs look alike."""
-    return F.transform(tokens, lambda token: F.replace(
-        F.replace(token, F.lit("\u0002"), F.lit("\u0002b")), F.lit(_GLUE), F.lit("\u0002a")))
+def clipped_matches(hyp: pa.Array, ref: pa.Array) -> list[pa.Array]:
+    """Clipped n-gram matches of two columns of token lists, row by row, for orders 1 to 4; NULL where a side is NULL.
 
-
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times inside ``body``."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _longer(grams: Column, tokens: Column, order: int) -> Column:
-    """The runs of ``order + 1`` tokens, made of the runs of ``order`` tokens and the token after each."""
-    count = F.greatest(F.size(tokens) - order, F.lit(0))
-    return F.zip_with(
-        F.slice(grams, 1, count), F.slice(tokens, order + 1, count), lambda gram, token: F.concat(gram, F.lit(_GLUE), token)
-    )
-
-
-def _repeats(ordered: Column) -> Column:
-    """A sorted multiset with one copy of every element taken away."""
-    return F.filter(ordered, lambda gram, i: (i > 0) & (gram == F.get(ordered, i - 1)))
-
-
-def _numbered(ordered: Column) -> Column:
-    """A sorted, non-empty multiset as a set: equal elements get 1, 2, 3, ... appended."""
-    size = F.size(ordered)
-    starts = F.filter(
-        F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
-    )
-
-    def expand(heads: Column) -> Column:
-        return F.flatten(F.transform(heads, lambda head, j: F.transform(
-            F.sequence(F.lit(1), F.coalesce(F.get(heads, j + 1), size) - head),
-            lambda copy: F.concat(F.get(ordered, head), F.lit(_GLUE), copy.cast("string")),
-        )))
-
-    return _bind(starts, expand)
-
-
-def _further_matches(left: Column, right: Column) -> Column:
-    """Matches of second, third, ... copies; there are none unless both sides repeat an element."""
-    def repeated(grams: Column) -> Column:
-        return F.size(F.array_distinct(grams)) < F.size(grams)
-
-    def copies_of(grams: Column) -> Column:
-        return _bind(_bind(F.sort_array(grams), _repeats), _numbered)
-
-    copies = F.size(F.array_intersect(copies_of(left), copies_of(right)))
-    return F.when(repeated(left) & repeated(right), copies).otherwise(0)
-
-
-def _matches(hyp: Column, ref: Column, left: Column, right: Column, order: int) -> Column:
-    """Clipped matches for ``order`` up to 4, given the runs of ``order`` tokens of both sides.
-
-    A gram matches as often as the side with fewer copies has it: once if both have it at all, and more
-    only through repeated copies, which are few in real text. Without a common gram there is no longer one.
+    A gram is numbered by the gram before its last token and that token, a token by its row and its text, so equal
+    numbers are equal grams of one row. Grams that one side lacks are left out of the next order, which they cannot match.
     """
-    def counts(common: Column) -> Column:
-        here = F.array(F.when(common == 0, 0).otherwise(common + _further_matches(left, right)))
-        if order == MAX_ORDER:
-            return here
-        deeper = _bind(_longer(left, hyp, order), lambda a: _bind(
-            _longer(right, ref, order), lambda b: _matches(hyp, ref, a, b, order + 1)))
-        nothing = F.array_repeat(F.lit(0), MAX_ORDER - order)
-        return F.concat(here, F.when(common == 0, nothing).otherwise(deeper))
-
-    return _bind(F.size(F.array_intersect(left, right)), counts)
-
-
-def clipped_matches(hyp: Column, ref: Column) -> Column:
-    """Clipped n-gram matches of two token arrays, as an array for orders 1 to 4."""
-    return _bind(hyp, lambda h: _bind(ref, lambda r: _matches(h, r, h, r, 1)))
+    rows = len(hyp)
+    lengths = np.concatenate([pc.fill_null(pc.list_value_length(side), 0).to_numpy(zero_copy_only=False) for side in (hyp, ref)])
+    texts = pa.concat_arrays([hyp.flatten(), ref.flatten()]).dictionary_encode()
+    tokens = texts.indices.to_numpy().astype(np.int64)
+    row = np.repeat(np.tile(np.arange(rows), 2), lengths)
+    following = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(tokens))
+    of_ref = np.arange(len(tokens)) >= lengths[:rows].sum()
+    starts, before, found = np.arange(len(tokens)), row, []
+    for order in range(MAX_ORDER):
+        grams, distinct = pd.factorize(before * len(texts.dictionary) + tokens[starts + order])
+        in_ref = of_ref[starts]
+        clipped = np.minimum(np.bincount(grams[in_ref], minlength=len(distinct)),
+                             np.bincount(grams[~in_ref], minlength=len(distinct)))
+        row_of = np.zeros(len(distinct), np.int64)
+        row_of[grams] = row[starts]
+        found.append(np.bincount(row_of, weights=clipped, minlength=rows).astype(np.int64))
+        longer = (clipped[grams] > 0) & (following[starts] > order + 1)
+        starts, before = starts[longer], grams[longer]
+    absent = pc.or_(hyp.is_null(), ref.is_null()).to_numpy(zero_copy_only=False)
+    return [pa.array(counts, mask=absent) for counts in found]
+
+
+def _with_matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with counts of matches for their last two columns, the token lists; in pieces of bounded bytes."""
+    for batch in batches:
+        *kept, hyp, ref = batch.schema.names
+        for piece in pieces(batch, [hyp, ref], 1):
+            matches = clipped_matches(piece[hyp], piece[ref])
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-2], *matches], names=[*kept, *CORRECT])
 
 
 def segment_statistics(df: DataFrame, keys: list[str], hyp: str = "mt", ref: str = "ref",
                        tokenize: str = "zh") -> DataFrame:
     """Per row: token counts of both sides and clipped matches for orders 1 to 4."""
     tokens = df.select(
-        *keys, eval_tokens(F.col(hyp), tokenize).alias("_hyp"), eval_tokens(F.col(ref), tokenize).alias("_ref"),
-        (F.contains(F.col(hyp), F.lit(_GLUE)) | F.contains(F.col(ref), F.lit(_GLUE))).alias("_glued"),
-    )
-    tokens = tokens.select(*keys, *[
-        F.when(F.col("_glued"), _gluable(F.col(side))).otherwise(F.col(side)).alias(side) for side in ("_hyp", "_ref")])
-    counted = tokens.withColumn("_correct", clipped_matches(F.col("_hyp"), F.col("_ref")))
-    orders = range(1, MAX_ORDER + 1)
-    matches = [F.col("_correct")[order - 1].cast("bigint").alias(f"correct_{order}") for order in orders]
+        *keys, eval_tokens(F.col(hyp), tokenize).alias("_hyp"), eval_tokens(F.col(ref), tokenize).alias("_ref"))
     totals = [
         F.greatest(F.size("_hyp") - (order - 1), F.lit(0)).cast("bigint").alias(f"total_{order}")
-        for order in orders
+        for order in range(1, MAX_ORDER + 1)
     ]
-    return counted.select(
-        *keys, F.size("_hyp").cast("bigint").alias("sys_len"), F.size("_ref").cast("bigint").alias("ref_len"),
-        *matches, *totals,
+    sized = tokens.select(
+        *keys, F.size("_hyp").cast("bigint").alias("sys_len"), F.size("_ref").cast("bigint").alias("ref_len"), *totals,
+        "_hyp", "_ref",
     )
+    schema = T.StructType([*sized.schema.fields[:-2], *[T.StructField(name, T.LongType()) for name in CORRECT]])
+    return sized.mapInArrow(_with_matches, schema).select(*keys, *STATISTICS)
 
 
 def bleu_from_statistics(sums: DataFrame, keys: list[str]) -> DataFrame:

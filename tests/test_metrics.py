@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +91,42 @@ def test_overlap_of_long_repetitive_texts(spark):
     check_bleu(spark, {"long": pairs})
 
 
+def matches_of(hyp, ref):
+    """Clipped matches of one pair of token lists."""
+    if hyp is None or ref is None:
+        return [None] * 4
+    return [sum((Counter(zip(*[hyp[i:] for i in range(n)])) & Counter(zip(*[ref[i:] for i in range(n)]))).values())
+            for n in range(1, 5)]
+
+
+@pytest.mark.parametrize("words", [1, 2, 5, 50])
+def test_matches_of_many_rows_at_once(words):
+    draw = random.Random(words)
+
+    def tokens():
+        return None if draw.random() < 0.1 else [f"t{draw.randrange(words)}" for _ in range(draw.choice([0, 1, 2, 3, 4, 9, 60]))]
+
+    for rows in (0, 1, 2, 200):
+        hyp, ref = ([tokens() for _ in range(rows)] for _ in range(2))
+        # as slices of longer columns, whose other rows do not count
+        sides = [pa.array([["t0"], *side, ["t1", "t0"]], pa.list_(pa.string())).slice(1, rows) for side in (hyp, ref)]
+        found = [counts.to_pylist() for counts in bleu.clipped_matches(*sides)]
+        assert list(map(list, zip(*found))) == [matches_of(*pair) for pair in zip(hyp, ref)]
+
+
+def test_bleu_counts_no_match_row_by_row(spark):
+    """Array functions are interpreted element by element: they took most of the time of an evaluation."""
+    physical = plan(bleu.segment_statistics(as_frame(spark, CASES), ["model"])).split("== Physical Plan ==")[1]
+    assert "MapInArrow" in physical and "array_intersect" not in physical and "lambda" not in physical
+
+
+def test_statistics_of_a_missing_text(spark):
+    df = spark.createDataFrame([("m", None, "a b"), ("n", "a b", None), ("o", "a b", "b")], "model string, mt string, ref string")
+    found = {r.model: r for r in bleu.segment_statistics(df, ["model"]).collect()}
+    assert [found[m].correct_1 for m in "mno"] == [None, None, 1]
+    assert [found[m].total_2 for m in "mno"] == [0, 1, 1] and found["n"].sys_len == 2 and found["m"].ref_len == 2
+
+
 def vectors(spark, segments, size=8, seed=1):
     draw = np.random.default_rng(seed)
     return [(seg, side, pos, draw.normal(size=size).astype("float32").tolist())
