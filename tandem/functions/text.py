@@ -49,6 +49,9 @@ _WHITESPACE_CHARACTERS = _members(WHITESPACE)
 _PUNCTUATION_CLASS = "[" + "".join(f"\\{ch}" for ch in PUNCTUATION) + "]"
 _LATIN_BLANKS = "[" + "".join(f"\\x{ord(ch):02x}" for ch in _WHITESPACE_CHARACTERS if ord(ch) < 256) + "]+"
 _WIDE = r"[\x{1680}-\x{ffef}]"
+# The first digit rule, begun at the mark and not at any character before it: marks after a non-digit that is no mark stand
+# alone, all others in pairs. The blanks differ from those of the rule, the tokens do not.
+_MARKS = (r"([\.,])(?:(?<=[^0-9\.,][\.,])|([\.,]))", " $1 $2 ")
 
 
 def strip(text: Column) -> Column:
@@ -126,7 +129,7 @@ def eval_tokens(text: Column, tokenize: str = "zh") -> Column:
         padded = F.regexp_replace(plain, f"[{CJK_RANGES}]", " $0 ")
         spaced = F.when(spaced.rlike(_WIDE), padded).otherwise(spaced)
         spaced = F.regexp_replace(spaced, _PUNCTUATION_CLASS, " $0 ")
-        for pattern, replacement in DIGIT_RULES:
+        for pattern, replacement in (_MARKS, *DIGIT_RULES[1:]):
             spaced = F.regexp_replace(spaced, pattern, replacement)
     elif tokenize == "char":
         spaced = F.regexp_replace(plain, "(?s).", "$0 ")

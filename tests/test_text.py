@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,11 @@ def test_tokenizer_equals_rules_applied_in_order(texts):
     assert column(texts(values), tx.eval_tokens(F.col("text"))) == [rules_one_by_one(v) for v in values]
 
 
+def test_marks_in_all_orders(texts):
+    values = ["".join(marks) for length in range(7) for marks in product("a1., -", repeat=length)]
+    assert column(texts(values), tx.eval_tokens(F.col("text"))) == [rules_one_by_one(v) for v in values]
+
+
 def test_other_tokenizers(texts):
     df = texts(["ab, 好\u3000c"])
     assert column(df, tx.eval_tokens(F.col("text"), "none")) == [["ab,", "好", "c"]]
