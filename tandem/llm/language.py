@@ -93,14 +93,19 @@ class CrossParser:
             moves = suffix_automaton(codes[seen[name]].tolist(), kinds)
             root = moves[1].copy()
             again = np.where(root > 0, root, 1)
-            ends = np.full(moves.shape, 1) + (root == 0)  # the phrase so far, and an unknown letter by itself
-            ends[1] = 1
-            table = np.where(moves > 0, moves, again)
-            rows.append(((table + start) * kinds) << 2 | np.where(moves > 0, 0, ends))
+            ends = 1 + (root == 0)  # the phrase so far, and an unknown letter by itself
+            # in place, some rows at a time: the driver keeps the most memory that it once took
+            for first in range(0, len(moves), 1024):
+                part = moves[first: first + 1024]
+                phrases = np.where(part > 0, 0, ends)
+                if not first:
+                    phrases[1] = part[1] == 0
+                part[:] = ((np.where(part > 0, part, again) + start) * kinds) << 2 | phrases
+            rows.append(moves)
             roots.append((start + 1) * kinds)
             start += len(moves)
         lengths = np.array([max(2, len(seen[name])) for name in names])
-        table = np.concatenate(rows).ravel().astype(np.int32) if rows else np.zeros(0, np.int32)
+        table = np.concatenate(rows).ravel() if rows else np.zeros(0, np.int32)
         return cls(names, codes, table, np.array(roots, np.int32), np.log2(lengths))
 
     def shared(self, rows: DataFrame):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandem.llm.arrow import lists, slices, texts_of
-from tandem.llm.components import components
+from tandem.llm.components import components, extended
 from tandem.llm.words import SPACED, cut, grams, salted
 from tandem.session import Scratch, small_batches
 
@@ -123,8 +123,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    with_left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
-    both = with_left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
+    # by b first: pairs that were compared by their tokens lie by b already
+    with_right = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
+    both = with_right.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     return both.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -233,12 +234,13 @@ def near_duplicates(
     sets = scratch.stage(set_table(rows.join(needed, "id", "left_semi"), shingle).distinct(), "sets")
 
     def colliding(pairs: DataFrame) -> DataFrame:
+        # distinct pairs stay so, but for ids with several texts
         if whole:
-            return pairs.distinct()
+            return pairs
         left = tokens.select(F.col("id").alias("a"), F.col("tokens").alias("left"))
         right = tokens.select(F.col("id").alias("b"), F.col("tokens").alias("right"))
         return pairs.join(left, "a").join(right, "b").filter(
-            F.size(F.array_intersect("left", "right")) >= matches).select("a", "b").distinct()
+            F.size(F.array_intersect("left", "right")) >= matches).select("a", "b")
 
     stars = scratch.stage(stars, "stars")
     first = scratch.stage(confirmed(colliding(stars), sets, percent), "first")
@@ -267,7 +269,7 @@ def near_duplicates(
         & (F.col("inside") * (100 + percent) >= (F.col("size") + F.col("hub_size")) * percent)
     ).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     second = scratch.stage(confirmed(beside_enough, sets, percent), "second")
-    joined = components(first.unionByName(second), scratch, "rejoined")
+    joined = extended(joined, second, scratch, "rejoined")
 
     # what is left then: pairs across components that could share enough, each in one list
     across = placed(measured.select("token", "id", "size", "inside", "outside"), joined)
@@ -284,8 +286,8 @@ def near_duplicates(
         & (most_common * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent)
         & (F.array_min(F.array_intersect("tokens", "other_tokens")) == F.col("token"))
     ).select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
-    third = confirmed(colliding(pairs), sets, percent)
-    found = components(first.unionByName(second).unionByName(third), scratch, "found")
+    third = scratch.stage(confirmed(colliding(pairs), sets, percent), "third")
+    found = extended(joined, third, scratch, "found")
     result = scratch.stage(members.join(
         found.select(F.col("id").alias("rep"), F.col("component").alias("component_id")), "rep", "left"
     ).select(

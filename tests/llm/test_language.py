@@ -1,4 +1,6 @@
 import itertools
+import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -84,3 +86,15 @@ def test_held_out_accuracy(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     held = [(r.lang_pred, langs[r.doc_id]) for r in QUERIES["op7_language"](spark, sf_dir).collect() if r.held_out]
     assert len(held) > 200 and np.mean([a == b for a, b in held]) > 0.98
+
+
+def test_learning_takes_little_more_than_the_tables():
+    rng = random.Random(2)
+    samples = {name: bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz    ", k=1 << 13)) for name in "abcd"}
+    tracemalloc.start()
+    try:
+        parser = CrossParser.learn(samples)
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 4 * parser.table.nbytes

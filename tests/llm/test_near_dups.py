@@ -151,6 +151,34 @@ def test_components(spark):
     assert all(found.get(i, i) == top(i) for i in parent)
 
 
+def test_driver_has_few_tasks_to_keep_where_there_are_many_partitions(spark):
+    """Every task and job leaves its mark on the driver, which holds them until the session ends."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(500)]
+    texts = {}
+    for group in range(6):
+        base = rng.choices(words, k=80)
+        for i in range(12):
+            texts[100 * group + i] = " ".join(base[:rng.randrange(80)] + rng.choices(words, k=rng.choice([0, 1, 3])) + base)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in held}
+    context = spark.sparkContext
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        context.setJobGroup("tasks of near duplicates", "")
+        check(spark, texts, 3, 85)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    tracker = context.statusTracker()
+    stages = {k for job in tracker.getJobIdsForGroup("tasks of near duplicates") for k in tracker.getJobInfo(job).stageIds}
+    tasks = sum(info.numTasks for info in map(tracker.getStageInfo, stages) if info and info.numCompletedTasks)
+    assert tasks < 2500
+
+
 def test_query_against_all_pairs(spark):
     sf_dir = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
